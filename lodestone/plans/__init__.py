@@ -5,7 +5,7 @@ import importlib
 from lodestone.plans.registry import ORACLES, QUERIES
 
 for _module in (
-    "basics", "joins", "aggregates", "windows", "scalars", "reports",
+    "basics", "joins", "aggregates", "windows", "scalars", "reports", "streams", "udfs",
 ):
     importlib.import_module(f"lodestone.plans.{_module}")
 
