@@ -77,6 +77,20 @@ def map_partitions(df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFram
     return df.mapInPandas(run, schema)
 
 
+def group_map(
+    df: DataFrame, keys: Sequence[str], function: Callable[[pd.DataFrame], pd.DataFrame], schema: str, rows: int = 50_000
+) -> DataFrame:
+    """Apply a function to whole groups, many groups per call, about ``rows`` rows at a time.
+
+    The function gets every row of each group it sees, so it groups by the keys itself; one
+    call for many small groups saves the cost of a call per group. Groups must be small:
+    aggregate first when a key may be hot.
+    """
+    buckets = max(1, -(-df.count() // rows))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    return df.groupBy(bucket.alias("_bucket")).applyInPandas(lambda frame: function(frame), schema)
+
+
 def sql_transform(df: DataFrame, statement: str) -> DataFrame:
     """Run SQL text over the table that the text calls __THIS__."""
     return df.sparkSession.sql(statement.replace("__THIS__", "{df}"), df=df)

@@ -60,10 +60,10 @@ def group_map(t):
     )
 
     def history(frame):
-        frame = frame.sort_values("year")
-        return frame.assign(delta=frame["spent"].diff())[["o_custkey", "year", "delta"]]
+        frame = frame.sort_values(["o_custkey", "year"])
+        return frame.assign(delta=frame.groupby("o_custkey")["spent"].diff())[["o_custkey", "year", "delta"]]
 
-    deltas = yearly.groupBy("o_custkey").applyInPandas(history, "o_custkey bigint, year bigint, delta double")
+    deltas = udfs.group_map(yearly, ["o_custkey"], history, "o_custkey bigint, year bigint, delta double")
     return deltas.withColumn("delta", F.round(F.nanvl("delta", F.lit(None).cast("double")), 2))
 
 
