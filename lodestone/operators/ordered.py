@@ -161,7 +161,7 @@ def with_neighbours(
     return out.drop("_n")
 
 
-def with_group_values(df: DataFrame, keys: Sequence[str], **aggregates: Column) -> DataFrame:
+def with_group_values(df: DataFrame, keys: Sequence[str], /, **aggregates: Column) -> DataFrame:
     """Put aggregates of the group beside every row: aggregate with map-side combine, join back."""
     values = df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggregates.items()])
     if not keys:
