@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,3 +49,18 @@ def by_key_rule(df: DataFrame, rule: Column, parts: int, name: str = "part") ->
 def last_digit_rule(key: Column, parts: int) -> Column:
     """Partition number from the last character of a key."""
     return F.pmod(F.right(key, F.lit(1)).cast("int"), F.lit(parts))
+
+
+def random_split(df: DataFrame, keys: Sequence[str], shares: Mapping[str, float], seed: int, name: str = "part") -> DataFrame:
+    """Assign every row to a part at random by a seeded hash of its key.
+
+    The parts are disjoint and cover the table, and a row keeps its part however the data is
+    partitioned or recomputed. Rows with equal keys stay together.
+    """
+    uniform = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    total = sum(shares.values())
+    reached, part = 1.0, None
+    for label, share in reversed(shares.items()):
+        part = F.lit(label) if part is None else F.when(uniform < reached, F.lit(label)).otherwise(part)
+        reached -= share / total
+    return df.withColumn(name, part)

@@ -191,8 +191,8 @@ def sample(t):
 @query("prj_random_split")
 def random_split(t):
     """A seeded 60/40 split; the parts are disjoint and cover the table."""
-    train, test = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey").randomSplit([0.6, 0.4], seed=123)
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    return relational.random_split(rows, rows.columns, {"train": 0.6, "test": 0.4}, seed=123)
 
 
 @query("prj_digit_split", """

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import columns as fn
 from lodestone.operators import features as fe
-from lodestone.operators import metrics, models, ordered
+from lodestone.operators import metrics, models, ordered, relational
 from lodestone.plans.registry import query
 from lodestone.session import stored
 
@@ -114,7 +114,8 @@ def cluster_report(t):
 @query("ml_kmeans_sweep")
 def kmeans_sweep(t):
     rows = _vectors(t).select("vec_id", array_to_vector("x").alias("features"))
-    train, test = rows.randomSplit([0.6, 0.4], seed=123)
+    parts = relational.random_split(rows, ["vec_id"], {"train": 0.6, "test": 0.4}, seed=123)
+    train, test = parts.where("part = 'train'"), parts.where("part = 'test'")
     return models.kmeans_sweep(train, test, "features", [2, 3, 4, 5, 10, 20], seed=7)
 
 
@@ -219,8 +220,9 @@ def model_compare(t):
 @query("rp_fraud_report")
 def fraud_report(t):
     """Split, balance by class weights, fit, and evaluate on both parts."""
-    train, test = _returns(t).select("label", "features").randomSplit([0.7, 0.3], seed=12345)
-    train = stored(fe.class_weight(train, "label", "weight"), "train")
+    parts = relational.random_split(_returns(t), LINE, {"train": 0.7, "test": 0.3}, seed=12345)
+    train, test = parts.where("part = 'train'"), parts.where("part = 'test'")
+    train = stored(fe.class_weight(train.select("label", "features"), "label", "weight"), "train")
     model = LogisticRegression(maxIter=10, weightCol="weight").fit(train)
     out = None
     for name, part in (("train", train), ("test", test)):

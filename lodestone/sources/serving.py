@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def batch_writer(path: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
@@ -26,7 +26,7 @@ def batch_writer(path: str, transform: Callable[[DataFrame], DataFrame] | None =
 
 def all_batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The rows of every batch, with their batch number."""
-    return spark.read.schema(StructType(schema.fields).add("batch", LongType())).parquet(path)
+    return spark.read.schema(StructType([*schema.fields, StructField("batch", LongType())])).parquet(path)
 
 
 def newest(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str]) -> DataFrame:
