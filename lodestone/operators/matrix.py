@@ -1,8 +1,9 @@
 """Sparse matrices as (i, j, value) rows.
 
-A product joins on the inner index. An inner index with many rows and columns would make one
-key emit all pairs, so such indices go through tiles instead: both sides are cut into blocks
-of bounded size, and each block pair is multiplied with numpy in its own task.
+A sparse product joins on the inner index. An inner index with many rows and columns would
+make one key emit all pairs, so such indices go through tiles instead: both sides are cut into
+blocks of bounded size, and each block pair is multiplied with numpy in its own task. When the
+pairs of all indices outnumber the cells that tiles would move, everything goes through tiles.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.operators.ordered import broadcast_if_small
 from lodestone.session import stored
 
 MAX_PAIRS = 1_000_000
@@ -43,16 +45,22 @@ def multiply(a: DataFrame, b: DataFrame, max_pairs: int = MAX_PAIRS, tile: int =
     """Matrix product of two matrices that hold each cell once."""
     left = a.select("i", F.col("j").alias("k"), F.col("value").alias("x"))
     right = b.select(F.col("i").alias("k"), "j", F.col("value").alias("y"))
-    fans = (
+    fans = stored(
         left.groupBy("k").agg(F.count(F.lit(1)).alias("rows"))
         .join(right.groupBy("k").agg(F.count(F.lit(1)).alias("columns")), "k")
+        .withColumn("pairs", F.col("rows") * F.col("columns")),
+        "fans",
     )
-    heavy = fans.where(F.col("rows") * F.col("columns") > max_pairs).select("k")
-    if heavy.isEmpty():
+    size = fans.agg(F.sum("pairs"), F.max("pairs"), F.sum("rows"), F.sum("columns")).first()
+    pairs, largest, rows, columns = (x or 0 for x in size)
+    if largest <= max_pairs and pairs <= max_pairs:
         return _joined(left, right).groupBy("i", "j").agg(F.sum("value").alias("value"))
-    heavy = stored(heavy, "heavy")
+    tiles = _tiles(left, "i", tile), _tiles(right, "j", tile), _tiles(left, "k", tile)
+    if pairs > 2 * (rows * tiles[1] + columns * tiles[0]):
+        return _tiled(left, right, tiles).groupBy("i", "j").agg(F.sum("value").alias("value"))
+    heavy = broadcast_if_small(fans.where(F.col("pairs") > max_pairs).select("k"))
     light = _joined(left.join(heavy, "k", "left_anti"), right)
-    dense = _tiled(left.join(heavy, "k", "left_semi"), right.join(heavy, "k", "left_semi"), tile)
+    dense = _tiled(left.join(heavy, "k", "left_semi"), right.join(heavy, "k", "left_semi"), tiles)
     return light.unionByName(dense).groupBy("i", "j").agg(F.sum("value").alias("value"))
 
 
@@ -64,9 +72,9 @@ def _tiles(df: DataFrame, column: str, tile: int) -> int:
     return max(1, -(-df.select(column).distinct().count() // tile))
 
 
-def _tiled(left: DataFrame, right: DataFrame, tile: int) -> DataFrame:
+def _tiled(left: DataFrame, right: DataFrame, tiles: tuple[int, int, int]) -> DataFrame:
     """Block product: each (row tile, column tile, inner tile) holds about tile x tile cells per side."""
-    row_tiles, column_tiles, inner_tiles = _tiles(left, "i", tile), _tiles(right, "j", tile), _tiles(left, "k", tile)
+    row_tiles, column_tiles, inner_tiles = tiles
 
     def place(column, tiles):
         return F.pmod(F.xxhash64(column), F.lit(tiles))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.operators.ordered import with_group_values, with_neighbours, with_running
+from lodestone.session import stored
 
 
 def score_counts(df: DataFrame, score: str, label: str, keys: list[str] | None = None) -> DataFrame:
@@ -27,17 +28,16 @@ def area_under_roc(df: DataFrame, score: str, label: str, keys: list[str] | None
 
 def auc_of_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
     """Area under ROC from (score, pos, neg) rows, one per score and key."""
-    counts = with_running(counts, keys, ["score"], {"_neg": ("sum", F.col("neg"))})
+    counts = with_running(stored(counts, "scores"), keys, ["score"], {"_neg": ("sum", F.col("neg"))})
     wins = F.col("pos") * (F.col("_neg") - F.col("neg") + F.col("neg") / 2)
     return counts.groupBy(*keys).agg(F.try_divide(F.sum(wins), F.sum("pos") * F.sum("neg")).alias("auc"))
 
 
 def threshold_points(df: DataFrame, score: str, label: str) -> DataFrame:
     """Cumulative true and false positives per threshold, from the highest score down."""
-    counts = with_running(
-        score_counts(df, score, label), [], [F.col("score").desc()], {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))}
-    )
-    return with_group_values(counts, [], positives=F.sum("pos"), negatives=F.sum("neg"))
+    counts = stored(score_counts(df, score, label), "scores")
+    totals = with_group_values(counts, [], positives=F.sum("pos"), negatives=F.sum("neg"))
+    return with_running(totals, [], [F.col("score").desc()], {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))})
 
 
 def roc_points(df: DataFrame, score: str, label: str) -> DataFrame:

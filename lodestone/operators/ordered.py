@@ -15,12 +15,22 @@ from pyspark.sql import functions as F
 
 from lodestone.session import stored
 
+BROADCAST_ROWS = 100_000
 GROUP_ROWS_SETTING = "spark.lodestone.maxGroupRows"
 GROUP_ROWS = 2_000_000
 
 _AGGREGATES = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 
 
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a table for broadcast when it is proven to hold at most ``rows`` rows.
+
+    The proof reads at most ``rows + 1`` rows. A larger table is returned as it is, and
+    Spark picks a shuffled join, which splits skewed partitions at run time.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def group_row_bound(df: DataFrame) -> int:
     """Rows of one group that a single task may hold; a session setting overrides it."""
     return int(df.sparkSession.conf.get(GROUP_ROWS_SETTING, str(GROUP_ROWS)))
@@ -162,15 +172,20 @@ def with_neighbours(
 
 
 def with_group_values(df: DataFrame, keys: Sequence[str], /, **aggregates: Column) -> DataFrame:
-    """Put aggregates of the group beside every row: aggregate with map-side combine, join back."""
+    """Put aggregates of the group beside every row: aggregate with map-side combine, join back.
+
+    The aggregates are stored and counted. A table of few groups is broadcast, so the rows are
+    not shuffled on a handful of hot keys; otherwise the join is shuffled, and Spark splits
+    skewed partitions at run time. Store an input that is costly to compute: it is read twice.
+    """
     values = df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggregates.items()])
     if not keys:
         return df.join(F.broadcast(values))  # one row
-    renamed = values.select(*[F.col(k).alias(f"_g_{k}") for k in keys], *aggregates)
+    renamed = stored(values.select(*[F.col(k).alias(f"_g_{k}") for k in keys], *aggregates), "groups")
     condition = F.lit(True)
     for k in keys:
         condition = condition & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
-    return df.join(renamed, condition).select(*df.columns, *aggregates)
+    return df.join(broadcast_if_small(renamed), condition).select(*df.columns, *aggregates)
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, name: str) -> DataFrame:
@@ -189,12 +204,12 @@ def exact_median(df: DataFrame, keys: Sequence[str], column: str, name: str) ->
     Values are counted first, so the shuffle carries distinct values, and no task collects
     a group's values in memory.
     """
-    values = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_rows"))
+    values = with_group_values(stored(counts, "values"), keys, _total=F.sum("_rows"))
     scanned = with_running(values, keys, [F.col(column)], {"_upto": ("sum", F.col("_rows"))})
-    sized = with_group_values(scanned, keys, _total=F.sum("_rows"))
     low = F.expr("(_total + 1) div 2")
     high = F.expr("_total div 2 + 1")
-    return sized.groupBy(*keys).agg(
+    return scanned.groupBy(*keys).agg(
         (
             (F.min(F.when(F.col("_upto") >= low, F.col(column))) + F.min(F.when(F.col("_upto") >= high, F.col(column)))) / 2
         ).alias(name)

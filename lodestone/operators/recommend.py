@@ -11,7 +11,7 @@ from lodestone.functions import columns as fn
 from lodestone.operators import matrix
 from lodestone.operators.ordered import top_per_group
 
-BLOCK = 4096
+BLOCK = 2048
 
 
 def item_cosine(ratings: DataFrame, user: str, item: str, value: str, threshold: float) -> DataFrame:
@@ -73,18 +73,18 @@ def score_all(users: DataFrame, items: DataFrame, user: str, item: str, vector:
     right = side(items, item, "_i", item_blocks, "_u", user_blocks).groupBy("_u", "_i")
 
     def best(u: pd.DataFrame, i: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(u) and len(i):
-            i = i.sort_values("id")
-            ids = i["id"].to_numpy()
-            scores = np.vstack(u["x"].to_numpy()) @ np.vstack(i["x"].to_numpy()).T
-            for own, row in zip(u["id"].to_numpy(), scores):
-                row[ids == own] = -np.inf
-                # Rounding before the choice keeps ties equal however the products are added.
-                top = np.argsort(-np.round(row, 9), kind="stable")[:n]
-                top = top[np.isfinite(row[top])]
-                out.append(pd.DataFrame({"user": own, "item": ids[top], "score": row[top]}))
-        return pd.concat(out) if out else pd.DataFrame({"user": [], "item": [], "score": []})
+        if not len(u) or not len(i):
+            return pd.DataFrame({"user": [], "item": [], "score": []})
+        i = i.sort_values("id")
+        own, ids = u["id"].to_numpy(), i["id"].to_numpy()
+        # Rounding before the choice keeps ties equal however the products are added.
+        scores = np.round(np.vstack(u["x"].to_numpy()) @ np.vstack(i["x"].to_numpy()).T, 9)
+        scores[own[:, None] == ids[None, :]] = -np.inf
+        top = np.argsort(-scores, axis=1, kind="stable")[:, :n]
+        out = pd.DataFrame({
+            "user": np.repeat(own, top.shape[1]), "item": ids[top].ravel(), "score": np.take_along_axis(scores, top, axis=1).ravel(),
+        })
+        return out[np.isfinite(out["score"])]
 
     partial = left.cogroup(right).applyInPandas(best, "user bigint, item bigint, score double")
     rounded = partial.withColumn("score", F.round("score", 9))

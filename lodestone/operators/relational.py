@@ -7,17 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a table for broadcast when it is proven to hold at most ``rows`` rows.
-
-    The proof reads at most ``rows + 1`` rows. A larger table is returned as it is, and
-    Spark picks a shuffled join, which splits skewed partitions at run time.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
+from lodestone.operators.ordered import broadcast_if_small
 
 def lookup(df: DataFrame, key: str, dictionary: DataFrame, dictionary_key: str, value: str) -> DataFrame:
     """Add ``value`` from a dictionary table; a missing key gives NULL."""

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.operators.ordered import top_per_group, with_group_values, with_row_number
+from lodestone.session import spread, stored
 
 # The custom stop-word list of the cleaning chain.
 STOP_WORDS = [
@@ -29,7 +30,7 @@ def word_tokens(df: DataFrame, text: str, name: str) -> DataFrame:
 
 def token_rows(df: DataFrame, key: str, text: str) -> DataFrame:
     """One row per token: key, position, token."""
-    return word_tokens(df.select(key, text), text, "_tokens").select(key, F.posexplode("_tokens").alias("pos", "token"))
+    return word_tokens(spread(df.select(key, text)), text, "_tokens").select(key, F.posexplode("_tokens").alias("pos", "token"))
 
 
 def no_digits(token: Column) -> Column:
@@ -97,7 +98,7 @@ def clean_frequencies(df: DataFrame, key: str, text: str) -> DataFrame:
     text is tokenized once and a frequent term is one row per document.
     """
     tokens = token_rows(df, key, text)
-    tf = term_frequencies(tokens.where(clean_token(F.col("token"))), key)
+    tf = stored(term_frequencies(tokens.where(clean_token(F.col("token"))), key), "tf")
     return with_group_values(tf, ["term"], total=F.sum("tf"), df=F.count(F.lit(1))).where(F.col("total") >= 2)
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from lodestone.operators import ordered, profile
 from lodestone.plans.registry import query
+from lodestone.session import stored
 
 AMOUNT = "l_extendedprice * (1 - l_discount)"
 
@@ -131,7 +132,7 @@ def bestseller(t):
         .join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
         .groupBy("year", "l_partkey").agg(F.round(F.sum("l_quantity"), 2).alias("quantity"))
     )
-    best = ordered.with_group_values(sold, ["year"], best=F.max("quantity"))
+    best = ordered.with_group_values(stored(sold, "sold"), ["year"], best=F.max("quantity"))
     return best.where(F.col("quantity") == F.col("best")).drop("best")
 
 

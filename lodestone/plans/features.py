@@ -13,6 +13,7 @@ from lodestone.functions import columns as fn
 from lodestone.operators import features as fe
 from lodestone.operators import spectral
 from lodestone.plans.registry import query
+from lodestone.session import stored
 
 LINE = ["l_orderkey", "l_linenumber", "l_partkey"]
 
@@ -245,4 +246,4 @@ select o_custkey, chunk, string_agg(l_partkey || ':' || q, ' ' order by l_partke
 def sparse_rows(t):
     rows = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
     cells = rows.groupBy("o_custkey", "l_partkey").agg(F.sum("l_quantity").cast("bigint").alias("q"))
-    return fe.sparse_rows(cells, "o_custkey", "l_partkey", "q", 16)
+    return fe.sparse_rows(stored(cells, "cells"), "o_custkey", "l_partkey", "q", 16)

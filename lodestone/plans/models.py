@@ -14,7 +14,7 @@ from lodestone.functions import columns as fn
 from lodestone.operators import features as fe
 from lodestone.operators import metrics, models, ordered, relational
 from lodestone.plans.registry import query
-from lodestone.session import stored
+from lodestone.session import spread, stored
 
 LINE = ["l_orderkey", "l_linenumber", "l_partkey"]
 
@@ -22,7 +22,8 @@ LINE = ["l_orderkey", "l_linenumber", "l_partkey"]
 def _returns(t):
     label = F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0)
     features = fe.vector("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-    return t.lineitem.select(*LINE, label.alias("label"), features.alias("features"))
+    # Every iteration reads all rows: use all cores even when the table is one file.
+    return spread(t.lineitem.select(*LINE, label.alias("label"), features.alias("features")))
 
 
 def _predicted(model, rows):
@@ -135,7 +136,7 @@ def als_topn(t):
 
 @query("ml_grid_search")
 def grid_search(t):
-    rows = _returns(t).select("label", "features")
+    rows = stored(_returns(t).select("label", "features"), "rows")
     estimator = LogisticRegression(maxIter=5)
     return models.grid_search(estimator, {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.5]}, rows, "label", 0.6, 123)
 
@@ -207,7 +208,7 @@ def baseline_rmse(t):
 @query("rp_model_compare")
 def model_compare(t):
     """Accuracy, ROC and PR area of four models on the same rows."""
-    rows = _returns(t).select("label", "features")
+    rows = stored(_returns(t).select("label", "features"), "rows")
     fitted = {
         "logistic regression": LogisticRegression(maxIter=10).fit(rows),
         "linear svm": LinearSVC(maxIter=10).fit(rows),

@@ -47,7 +47,7 @@ with p as (select distinct o_custkey, l_partkey from orders join lineitem on o_o
 select o_custkey, chunk, list(l_partkey order by l_partkey) items from n group by 1, 2""")
 def user_items(t):
     pairs = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", "l_partkey").distinct()
-    return ordered.chunked_lists(pairs, ["o_custkey"], ["l_partkey"], F.col("l_partkey"), 16, "items")
+    return ordered.chunked_lists(stored(pairs, "pairs"), ["o_custkey"], ["l_partkey"], F.col("l_partkey"), 16, "items")
 
 
 @query("rc_item_based", _RATINGS + """

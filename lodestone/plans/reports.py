@@ -139,7 +139,8 @@ _CAREER_SQL = _SEASON_SQL + """, c as (select player, year, z_total, n_total, ye
 
 
 def _careers(t):
-    return seasons.careers(_scored(t).select("player", "year", "z_total", "n_total"), "player", "year", ["z_total", "n_total"])
+    totals = stored(_scored(t).select("player", "year", "z_total", "n_total"), "totals")
+    return seasons.careers(totals, "player", "year", ["z_total", "n_total"])
 
 
 def _curve(df, by):
@@ -150,7 +151,7 @@ def _curve(df, by):
 @query("rp_by_experience", _CAREER_SQL + f"""
 select exp, {_CURVE_SQL} from c where player not in (select player from c where year = 1995) group by exp""")
 def by_experience(t):
-    return _curve(seasons.started_after(_careers(t), "player", "year", 1995), "exp")
+    return _curve(seasons.started_after(stored(_careers(t), "careers"), "player", "year", 1995), "exp")
 
 
 @query("rp_by_age", _CAREER_SQL + f"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestone.operators import ordered, text
 from lodestone.plans.registry import query
-from lodestone.session import stored
+from lodestone.session import spread, stored
 
 _STOP = ", ".join(f"'{w}'" for w in text.STOP_WORDS)
 _TOKENS = r"""
@@ -42,7 +42,7 @@ def tokenize_ws(t):
 @query("tx_tokenize_regex", _TOKENS + """
 select doc_id, len(tokens) n, md5(array_to_string(tokens, ' ')) digest from d""")
 def tokenize_regex(t):
-    out = text.word_tokens(t.documents.select("doc_id", "text"), "text", "tokens")
+    out = text.word_tokens(spread(t.documents.select("doc_id", "text")), "text", "tokens")
     return out.select("doc_id", F.size("tokens").cast("bigint").alias("n"), _joined("tokens").alias("digest"))
 
 
@@ -60,7 +60,7 @@ def token_counts(t):
 select doc_id, len(list_filter(tokens, lambda x: x not in ({_STOP}))) n,
   md5(array_to_string(list_filter(tokens, lambda x: x not in ({_STOP})), ' ')) digest from d""")
 def stopwords(t):
-    tokens = text.word_tokens(t.documents.select("doc_id", "text"), "text", "tokens")
+    tokens = text.word_tokens(spread(t.documents.select("doc_id", "text")), "text", "tokens")
     out = StopWordsRemover(inputCol="tokens", outputCol="kept", stopWords=text.STOP_WORDS).transform(tokens)
     return out.select("doc_id", F.size("kept").cast("bigint").alias("n"), _joined("kept").alias("digest"))
 
@@ -105,14 +105,14 @@ def ngrams(t):
 , v as (select term, row_number() over (order by sum(tf) desc, term) - 1 idx from tf group by term having count(*) >= 2)
 select doc_id, idx, tf from tf join v using (term) where idx < 1000""")
 def count_vectorizer(t):
-    tf = stored(_frequencies(t), "tf")
+    tf = stored(_frequencies(t), "frequencies")
     return text.count_cells(tf, "doc_id", text.vocabulary(tf, "doc_id", 1000, least_documents=2))
 
 
 @query("tx_hashing_tf", _TOKENS + "select doc_id, len(tokens) total from d")
 def hashing_tf(t):
     """Hashed term counts keep each document's token total, whatever slots collide."""
-    tokens = text.word_tokens(t.documents.select("doc_id", "text"), "text", "tokens")
+    tokens = text.word_tokens(spread(t.documents.select("doc_id", "text")), "text", "tokens")
     hashed = HashingTF(numFeatures=1 << 18, inputCol="tokens", outputCol="tf").transform(tokens)
     counts = F.from_json(F.get_json_object(F.to_json(F.struct("tf")), "$.tf.values"), "array<double>")
     return hashed.select("doc_id", F.aggregate(counts, F.lit(0.0), lambda a, x: a + x).cast("bigint").alias("total"))
@@ -158,7 +158,7 @@ def doc_cosine(t):
 @query("tx_word2vec")
 def word2vec(t):
     """Twenty synonyms of the most frequent token, from vectors trained on all documents."""
-    tokens = stored(text.word_tokens(t.documents.select("doc_id", "text"), "text", "tokens").select("doc_id", "tokens"), "tokens")
+    tokens = stored(text.word_tokens(spread(t.documents.select("doc_id", "text")), "text", "tokens").select("doc_id", "tokens"), "tokens")
     counts = text.token_counts(tokens.select(F.explode("tokens").alias("token")))
     word = counts.orderBy(F.col("n").desc(), "token").first()["token"]
     tasks = t.spark.sparkContext.defaultParallelism

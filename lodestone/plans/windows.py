@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from lodestone.operators import ordered
 from lodestone.plans.registry import query
+from lodestone.session import stored
 
 BY_DATE = ["o_orderdate", "o_orderkey"]
 
@@ -141,7 +142,7 @@ def zip_index(t):
 with y as (select o_custkey, year(o_orderdate) as year, round(sum(o_totalprice), 2) spent from orders group by 1, 2)
 select o_custkey, year, spent, round(spent - lag(spent) over (partition by o_custkey order by year), 2) delta from y""")
 def delta(t):
-    out = ordered.with_neighbours(_yearly(t), ["o_custkey"], ["year"], {"last": ("spent", 1, None)})
+    out = ordered.with_neighbours(stored(_yearly(t), "yearly"), ["o_custkey"], ["year"], {"last": ("spent", 1, None)})
     return out.select("o_custkey", "year", "spent", F.round(F.col("spent") - F.col("last"), 2).alias("delta"))
 
 
@@ -150,5 +151,5 @@ with y as (select o_custkey, year(o_orderdate) as year, count(*) n from orders g
 select o_custkey, year, year - min(year) over (partition by o_custkey) exp from y""")
 def experience(t):
     years = t.orders.select("o_custkey", F.year("o_orderdate").cast("bigint").alias("year")).distinct()
-    beside = ordered.with_group_values(years, ["o_custkey"], first=F.min("year"))
+    beside = ordered.with_group_values(stored(years, "years"), ["o_custkey"], first=F.min("year"))
     return beside.select("o_custkey", "year", (F.col("year") - F.col("first")).alias("exp"))

@@ -61,6 +61,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over at least one partition per core, for work that costs far more than a shuffle.
+
+    A table that already comes in enough splits is left as it is, so a large scan is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 class Tables:
     """The Parquet tables below one folder, as attributes."""
 

@@ -48,7 +48,7 @@ def test_matrix_sum_scale_transpose(spark):
     assert got == {(0, 0): 3.0, (1, 0): 4.0, (1, 1): 9.0, (0, 1): 2.0}
 
 
-@pytest.mark.parametrize("block", [4096, 37])
+@pytest.mark.parametrize("block", [2048, 37])
 def test_score_all_in_blocks(t, block):
     rows = t.embeddings.collect()
     vectors = np.array([r["embedding"] for r in rows], dtype=float)
@@ -120,8 +120,8 @@ def test_singular_values_against_numpy(t):
 
 def test_sample_is_seeded(t):
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    once = sorted(map(tuple, t.lineitem.sample(0.2, seed=42).select(*keys).collect()))
-    assert once == sorted(map(tuple, t.lineitem.sample(0.2, seed=42).select(*keys).collect()))
+    once = sorted(map(tuple, t.lineitem.sample(fraction=0.2, seed=42).select(*keys).collect()))
+    assert once == sorted(map(tuple, t.lineitem.sample(fraction=0.2, seed=42).select(*keys).collect()))
     assert 0.15 < len(once) / t.lineitem.count() < 0.25
 
 
