@@ -45,11 +45,10 @@ def multiply(a: DataFrame, b: DataFrame, max_pairs: int = MAX_PAIRS, tile: int =
     """Matrix product of two matrices that hold each cell once."""
     left = a.select("i", F.col("j").alias("k"), F.col("value").alias("x"))
     right = b.select(F.col("i").alias("k"), "j", F.col("value").alias("y"))
-    fans = stored(
+    fans = (
         left.groupBy("k").agg(F.count(F.lit(1)).alias("rows"))
         .join(right.groupBy("k").agg(F.count(F.lit(1)).alias("columns")), "k")
-        .withColumn("pairs", F.col("rows") * F.col("columns")),
-        "fans",
+        .withColumn("pairs", F.col("rows") * F.col("columns"))
     )
     size = fans.agg(F.sum("pairs"), F.max("pairs"), F.sum("rows"), F.sum("columns")).first()
     pairs, largest, rows, columns = (x or 0 for x in size)
@@ -58,7 +57,7 @@ def multiply(a: DataFrame, b: DataFrame, max_pairs: int = MAX_PAIRS, tile: int =
     tiles = _tiles(left, "i", tile), _tiles(right, "j", tile), _tiles(left, "k", tile)
     if pairs > 2 * (rows * tiles[1] + columns * tiles[0]):
         return _tiled(left, right, tiles).groupBy("i", "j").agg(F.sum("value").alias("value"))
-    heavy = broadcast_if_small(fans.where(F.col("pairs") > max_pairs).select("k"))
+    heavy = broadcast_if_small(stored(fans.where(F.col("pairs") > max_pairs).select("k"), "heavy"))
     light = _joined(left.join(heavy, "k", "left_anti"), right)
     dense = _tiled(left.join(heavy, "k", "left_semi"), right.join(heavy, "k", "left_semi"), tiles)
     return light.unionByName(dense).groupBy("i", "j").agg(F.sum("value").alias("value"))

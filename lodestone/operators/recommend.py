@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import columns as fn
 from lodestone.operators import matrix
-from lodestone.operators.ordered import top_per_group
+from lodestone.operators.ordered import broadcast_if_small, top_per_group
 
 BLOCK = 2048
 
@@ -40,7 +40,7 @@ def most_similar(pairs: DataFrame, n: int) -> DataFrame:
 def item_based(seen: DataFrame, similar: DataFrame, user: str, item: str, n: int) -> DataFrame:
     """Items similar to a user's items and not yet seen, by highest similarity."""
     mine = seen.select(user, F.col(item).alias("item")).distinct()
-    candidates = mine.join(similar.select("item", "other", "similarity"), "item")
+    candidates = mine.join(broadcast_if_small(similar.select("item", "other", "similarity")), "item")
     best = candidates.groupBy(user, F.col("other").alias("item")).agg(F.max("similarity").alias("score"))
     return top_per_group(best.join(mine, [user, "item"], "left_anti"), [user], [F.col("score").desc(), F.col("item")], n, "place")
 
@@ -78,14 +78,13 @@ def score_all(users: DataFrame, items: DataFrame, user: str, item: str, vector:
         i = i.sort_values("id")
         own, ids = u["id"].to_numpy(), i["id"].to_numpy()
         # Rounding before the choice keeps ties equal however the products are added.
-        scores = np.round(np.vstack(u["x"].to_numpy()) @ np.vstack(i["x"].to_numpy()).T, 9)
+        scores = np.vstack(u["x"].to_numpy()) @ np.vstack(i["x"].to_numpy()).T
         scores[own[:, None] == ids[None, :]] = -np.inf
-        top = np.argsort(-scores, axis=1, kind="stable")[:, :n]
+        top = np.argsort(-np.round(scores, 9), axis=1, kind="stable")[:, :n]
         out = pd.DataFrame({
             "user": np.repeat(own, top.shape[1]), "item": ids[top].ravel(), "score": np.take_along_axis(scores, top, axis=1).ravel(),
         })
         return out[np.isfinite(out["score"])]
 
     partial = left.cogroup(right).applyInPandas(best, "user bigint, item bigint, score double")
-    rounded = partial.withColumn("score", F.round("score", 9))
-    return top_per_group(rounded, ["user"], [F.col("score").desc(), F.col("item")], n, "place")
+    return top_per_group(partial, ["user"], [F.round("score", 9).desc(), F.col("item")], n, "place")

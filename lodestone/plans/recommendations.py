@@ -56,7 +56,7 @@ select u, item, score, row_number() over (partition by u order by score desc, it
 where (u, item) not in (select (u, item) from r) qualify place <= 10""")
 def item_based(t):
     ratings = stored(_ratings(t), "ratings")
-    similar = recommend.most_similar(_similar(ratings), 20)
+    similar = stored(recommend.most_similar(_similar(ratings), 20), "similar")
     return recommend.item_based(ratings, similar, "u", "item", 10)
 
 
@@ -72,8 +72,8 @@ def vector_topk(t):
 
 @query("rc_score_all", """
 with v as (select vec_id, list_transform(embedding, lambda x: x::double) a from embeddings),
-     s as (select p.vec_id as user, q.vec_id as item, round(list_dot_product(p.a, q.a), 9) score from v p join v q on p.vec_id <> q.vec_id)
-select user, item, round(score, 6) score, row_number() over (partition by user order by score desc, item) place from s qualify place <= 10""")
+     s as (select p.vec_id as user, q.vec_id as item, list_dot_product(p.a, q.a) score from v p join v q on p.vec_id <> q.vec_id)
+select user, item, round(score, 6) score, row_number() over (partition by user order by round(s.score, 9) desc, item) place from s qualify place <= 10""")
 def score_all(t):
     out = recommend.score_all(t.embeddings, t.embeddings, "vec_id", "vec_id", "embedding", 10)
     return out.withColumn("score", F.round("score", 6))
