@@ -111,19 +111,19 @@ def _scored(t):
     return seasons.season_scores(stored(_season_lines(t), "seasons"), "year", STATS)
 
 
-def _round_all(df, keys, digits=4):
+def _round_all(df, keys, digits=6):
     return df.select(*keys, *[(F.round(c, digits) + 0.0).alias(c) for c in df.columns if c not in keys])
 
 
 @query("rp_zscore", _SEASON_SQL + "select player, year, " + ", ".join(
-    f"round(z_{s.name}, 4) + 0.0 z_{s.name}" for s in STATS) + ", round(z_total, 4) + 0.0 z_total from v")
+    f"round(z_{s.name}, 6) + 0.0 z_{s.name}" for s in STATS) + ", round(z_total, 6) + 0.0 z_total from v")
 def zscore(t):
     out = _scored(t).select("player", "year", *[f"z_{s.name}" for s in STATS], "z_total")
     return _round_all(out, ["player", "year"])
 
 
 @query("rp_normscore", _SEASON_SQL + "select player, year, " + ", ".join(
-    f"round(z_{s.name} / nullif(l_{s.name}, 0), 4) + 0.0 n_{s.name}" for s in STATS) + ", round(n_total, 4) + 0.0 n_total from v")
+    f"round(z_{s.name} / nullif(l_{s.name}, 0), 6) + 0.0 n_{s.name}" for s in STATS) + ", round(n_total, 6) + 0.0 n_total from v")
 def normscore(t):
     out = _scored(t).select("player", "year", *[f"n_{s.name}" for s in STATS], "n_total")
     return _round_all(out, ["player", "year"])
