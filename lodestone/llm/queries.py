@@ -47,8 +47,8 @@ def op4_bpe(t: Tables) -> DataFrame:
 
 @query("op7_quality_rules", r"""
 with d as (
-    select doc_id, coalesce(text, '') t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') w,
-        list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) l
+    select doc_id, coalesce(text, '') t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') w,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) l
     from documents),
 win as (
     select doc_id, i, array_to_string(w[i : i + 4], ' ') g from d, unnest(range(1, len(w) - 3)) r(i)),
@@ -59,7 +59,7 @@ m as (
     select doc_id, len(w)::bigint n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::bigint word_chars,
         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint n_symbols, (len(l) - len(list_distinct(l)))::bigint n_dup_lines,
         coalesce(n_repeat_words, 0)::bigint n_repeat_words, len(l)::bigint n_lines,
-        len(list_filter(w, x -> lower(trim(x, '.,;:!?"''()')) in (STOP_WORDS)))::bigint n_stop_words
+        len(list_filter(w, lambda x: lower(trim(x, '.,;:!?"''()')) in (STOP_WORDS)))::bigint n_stop_words
     from d left join n_rep using (doc_id)),
 v as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words base_failed from m)
 select *, not base_failed and n_words between 10 and 1000000 and word_chars / n_words between 2 and 12 and n_symbols / n_words <= 0.1
