@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, chat, counts, decontaminate, quality
+from lodestone.llm import bpe, chat, counts, decontaminate, quality, token_files, toxicity
 from lodestone.session import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op3_token_files")
+def op3_token_files(t: Tables) -> DataFrame:
+    """Ids of every document, written in id order as byte planes and read back from the files."""
+    manifest = token_files.write(t.documents, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read(manifest, "bigint", digest=True).withColumnRenamed("id", "doc_id")
+
+
 @query("op4_bpe")
 def op4_bpe(t: Tables) -> DataFrame:
     """Ids of every document by the multilingual byte-level vocabulary, and the text that decoding them gives."""
@@ -128,3 +135,16 @@ def op7_quality_rules(t: Tables) -> DataFrame:
 def op8_token_counts(t: Tables) -> DataFrame:
     """Bytes and tokens of every document, and whether it exceeds 512 tokens."""
     return counts.with_token_counts(t.documents, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"), 512)
+
+
+def held_out() -> Column:
+    """Rows that training never sees."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
+
+
+@query("op10_toxicity")
+def op10_toxicity(t: Tables) -> DataFrame:
+    """Score of every document by a classifier trained on the labels that are not held out."""
+    model = toxicity.train(t.documents, t.labels.where(~held_out()))
+    scored = toxicity.with_scores(t.documents.select("doc_id", "text", "lang"), "text", "lang", model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "toxic_flag")
