@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, chat, counts, decontaminate, quality, token_files, toxicity
+from lodestone.llm import bpe, chat, counts, decontaminate, html, quality, token_files, toxicity
 from lodestone.session import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_main_text")
+def op1_main_text(t: Tables) -> DataFrame:
+    """The article of every page, without what its host's style tree and the page itself mark as something else."""
+    return html.with_main_text(t.pages.select("page_id", "url", "html"), "url", "html").select("page_id", "url", "text", "n_chars")
+
+
 @query("op3_token_files")
 def op3_token_files(t: Tables) -> DataFrame:
     """Ids of every document, written in id order as byte planes and read back from the files."""
