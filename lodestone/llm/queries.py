@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, chat, counts, decontaminate, html, quality, token_files, toxicity
+from lodestone.llm import bpe, chat, counts, decontaminate, html, jaccard, quality, token_files, toxicity
 from lodestone.session import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,12 @@ def op1_main_text(t: Tables) -> DataFrame:
     return html.with_main_text(t.pages.select("page_id", "url", "html"), "url", "html").select("page_id", "url", "text", "n_chars")
 
 
+@query("op2_jaccard_join")
+def op2_jaccard_join(t: Tables) -> DataFrame:
+    """Class of near-duplicates and number of links of every document: five-word shingles, similarity of 0.8 or more."""
+    return jaccard.near_duplicates(t.documents, "doc_id", "text", n=5, threshold=0.8)
+
+
 @query("op3_token_files")
 def op3_token_files(t: Tables) -> DataFrame:
     """Ids of every document, written in id order as byte planes and read back from the files."""
