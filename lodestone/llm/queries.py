@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, chat, counts, decontaminate, html, jaccard, quality, token_files, toxicity
+from lodestone.llm import bpe, chat, counts, decontaminate, html, jaccard, quality, suffix_index, token_files, toxicity
 from lodestone.session import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,6 +149,13 @@ def op8_token_counts(t: Tables) -> DataFrame:
     return counts.with_token_counts(t.documents, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"), 512)
 
 
+@query("op9_suffix_dedup")
+def op9_suffix_dedup(t: Tables) -> DataFrame:
+    """What is left of every document without the bytes of 400-byte strings that start anywhere else."""
+    cut = suffix_index.deduplicated(t.documents.select("doc_id", "text"), "doc_id", "text", length=400)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def held_out() -> Column:
     """Rows that training never sees."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
