@@ -183,7 +183,8 @@ def _verified(table: pa.Table, threshold: float) -> pa.Table:
 
 
 def near_duplicates(df: DataFrame, id_col: str, text_col: str, n: int = 5, threshold: float = 0.8, recall: float = 0.999, broadcast_bytes: int = 64 << 20) -> DataFrame:
-    """(id, class_id, n_links) for every row: its group of near-duplicates, named by its least id, and the rows linked to it.
+    """(id, text_hash, class_id, n_links, keep) for every row: its group of near-duplicates, named by its least id, the number
+    of rows linked to it, and whether it is the row that stands for the group.
 
     Two rows are linked if the Jaccard similarity of their word n-grams (lower case, cut at white space) is at least
     `threshold`; a class is a connected component of links. Rows with equal sets are found first and compared once; they
@@ -229,10 +230,29 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, n: int = 5, thres
     links = linked.groupBy("content").agg(F.sum("links").alias("links"))
     named = contents.join(classes.withColumnRenamed("u", "content"), "content", "left").join(links, "content", "left")
     named = stored(named.select(
-        "content", F.coalesce("v", "content").alias("root"), F.col("first.id").alias("id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "named")
-    # NULL ids are kept by comparing structs
-    least = named.groupBy("root").agg(F.min(F.struct("id")).alias("class"))
-    named = stored(named.join(least, "root").select("content", F.col("class.id").alias("class_id"), "n_links"), "classes")
-    rows = sketches.select("id", "content", "size").join(named, "content", "left")
+        "content", F.coalesce("v", "content").alias("root"), "first", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "named")
+    # structs are compared field by field, NULL before any id
+    least = named.groupBy("root").agg(F.min("first").alias("class"))
+    named = stored(named.join(least, "root").select("content", "class", "n_links"), "classes")
+    rows = sketches.select("id", "text_hash", "content", "size").join(named, "content", "left")
     own = F.col("size") == 0
-    return rows.select(F.col("id").alias(id_col), F.when(own, F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.when(own, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"))
+    return rows.select(
+        F.col("id").alias(id_col), "text_hash", F.when(own, F.col("id")).otherwise(F.col("class.id")).alias("class_id"),
+        F.when(own, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"),
+        (own | (F.col("id").eqNullSafe(F.col("class.id")) & (F.col("text_hash") == F.col("class.text_hash")))).alias("keep"))
+
+
+def without_near_duplicates(df: DataFrame, id_col: str, text_col: str, n: int = 5, threshold: float = 0.8) -> DataFrame:
+    """One row of each class of `near_duplicates`, the one with the least id; all columns stay.
+
+    Rows without words all stay. Of rows with equal id and text one stays.
+    """
+    found = stored(near_duplicates(df, id_col, text_col, n, threshold), "near-duplicates")
+    keys = found.groupBy(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash")).agg(F.max("keep").alias("_keep"), F.max("n_links").alias("links"), F.count("*").alias("_n"))
+    # what stays as it is need not be looked up
+    keys = stored(keys.where(~F.col("_keep") | ((F.col("_n") > 1) & (F.col("links") > 0))).select("_id", "_hash", "_keep"), "dropped")
+    side = F.broadcast(keys) if keys.count() * 48 <= 64 << 20 else keys
+    hashed = df.withColumns({"_i": F.col(id_col), "_x": F.xxhash64(F.col(text_col).cast("string"))})
+    both = hashed.join(side, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_x") == F.col("_hash")), "left")
+    single = both.where("_keep IS NULL").select(*df.columns)
+    return single.unionByName(both.where("_keep").dropDuplicates(["_i", "_x"]).select(*df.columns))

@@ -40,7 +40,7 @@ def op1_main_text(t: Tables) -> DataFrame:
 @query("op2_jaccard_join")
 def op2_jaccard_join(t: Tables) -> DataFrame:
     """Class of near-duplicates and number of links of every document: five-word shingles, similarity of 0.8 or more."""
-    return jaccard.near_duplicates(t.documents, "doc_id", "text", n=5, threshold=0.8)
+    return jaccard.near_duplicates(t.documents, "doc_id", "text", n=5, threshold=0.8).select("doc_id", "class_id", "n_links")
 
 
 @query("op3_token_files")
