@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.operators.ordered import chunked_lists, with_group_values, with_row_number, with_running
+from lodestone.session import stored
 
 
 def vector(*columns: str) -> Column:
@@ -28,11 +29,15 @@ def apply(df: DataFrame, stage, column: str, digits: int = 6) -> DataFrame:
 def quantile_splits(df: DataFrame, column: str, buckets: int) -> list[float]:
     """Exact split points: the value at rank ceil(n * i / buckets) for each inner split.
 
-    Distinct values are counted and scanned in slices; only the split points reach the driver.
+    Distinct values are counted and scanned in slices; only the split points reach the driver. NULL and NaN have no rank; a
+    column without any other value has no split points.
     """
-    values = df.groupBy(F.col(column).cast("double").alias("x")).agg(F.count(F.lit(1)).alias("_rows"))
+    x = F.col(column).cast("double")
+    values = stored(df.where(x.isNotNull() & ~F.isnan(x)).groupBy(x.alias("x")).agg(F.count(F.lit(1)).alias("_rows")), "values")
+    total = values.agg(F.sum("_rows")).first()[0]
+    if not total:
+        return []
     scanned = with_running(values, [], ["x"], {"_upto": ("sum", F.col("_rows"))})
-    total = df.count()
     ranks = [-(-total * i // buckets) for i in range(1, buckets)]
     row = scanned.agg(*[F.min(F.when(F.col("_upto") >= r, F.col("x"))).alias(f"q{i}") for i, r in enumerate(ranks)]).first()
     return sorted(set(row))

@@ -57,27 +57,32 @@ def transition(edges: DataFrame) -> DataFrame:
     return matrix.add(down, up)
 
 
-def simrank(edges: DataFrame, damp: float, steps: int, smallest: float = 0.0) -> DataFrame:
-    """Similarity of all nodes: S <- damp * T' S T + (1 - damp) * I, from S = (1 - damp) * I.
+def _moved(vectors: DataFrame, step: DataFrame) -> DataFrame:
+    """step * x for every vector x, as (query, node, x) rows."""
+    moved = vectors.join(step, vectors["node"] == step["j"]).select("query", F.col("i").alias("node"), (F.col("x") * F.col("value")).alias("x"))
+    return moved.groupBy("query", "node").agg(F.sum("x").alias("x"))
 
-    Each step is written to shared storage, so plans stay short and a lost executor costs one
-    step. Similarities up to ``smallest`` in magnitude may be dropped to keep S sparse; 0 keeps all.
+
+def simrank(edges: DataFrame, queries: DataFrame, query: str, damp: float, steps: int) -> DataFrame:
+    """(i, j, value): similarity of each query node i to every node j that it reaches.
+
+    S <- damp * T' S T + (1 - damp) * I, ``steps`` times from (1 - damp) * I, is the sum of damp^m T'^m T^m, so a row of S needs
+    one vector per query node, moved forward m times and back. No node x node matrix is built; the work grows with the
+    queries and what they reach.
     """
-    nodes = edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct()
     step = stored(transition(edges), "transition")
-    base = stored(matrix.identity(nodes, "node", 1 - damp), "base")
-    current = base
+    back = matrix.transpose(step)
+    start = queries.select(F.col(query).alias("query")).distinct().withColumns({"node": F.col("query"), "x": F.lit(1.0)})
+    forward = [start]
     for _ in range(steps):
-        left = stored(matrix.multiply(matrix.transpose(step), current), "simrank-left")
-        moved = matrix.add(matrix.scale(matrix.multiply(left, step), damp), base)
-        if smallest > 0:
-            moved = moved.where(F.abs("value") > smallest)
-        current = stored(moved, "simrank")
-    return current
-
-
-def item_similarity(similarity: DataFrame, items: DataFrame, item: str) -> DataFrame:
-    """Pairs whose first node is an item, without self pairs, to six decimals."""
-    wanted = items.select(F.col(item).alias("i")).distinct()
-    pairs = similarity.where(F.col("i") != F.col("j")).join(wanted, "i")
-    return pairs.select("i", "j", F.round("value", 6).alias("value"))
+        forward.append(stored(_moved(forward[-1], step), "forward"))
+    row = forward[-1]
+    for vectors in reversed(forward[:-1]):
+        returned = _moved(row, back).withColumn("x", F.col("x") * damp)
+        row = vectors.unionByName(returned).groupBy("query", "node").agg(F.sum("x").alias("x"))
+    return row.select(F.col("query").alias("i"), F.col("node").alias("j"), (F.col("x") * (1 - damp)).alias("value"))
+
+
+def without_self(similarity: DataFrame) -> DataFrame:
+    """Pairs of different nodes, to six decimals."""
+    return similarity.where(F.col("i") != F.col("j")).select("i", "j", F.round("value", 6).alias("value"))

@@ -1,9 +1,7 @@
 """Sparse matrices as (i, j, value) rows.
 
-A sparse product joins on the inner index. An inner index with many rows and columns would
-make one key emit all pairs, so such indices go through tiles instead: both sides are cut into
-blocks of bounded size, and each block pair is multiplied with numpy in its own task. When the
-pairs of all indices outnumber the cells that tiles would move, everything goes through tiles.
+A product cuts both sides into tiles of bounded size, and each pair of tiles is multiplied with numpy in its own task. An
+inner index with many rows and columns therefore never emits all their pairs.
 """
 
 from __future__ import annotations
@@ -13,10 +11,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.operators.ordered import broadcast_if_small
-from lodestone.session import stored
-
-MAX_PAIRS = 1_000_000
 TILE = 512
 
 
@@ -41,37 +35,20 @@ def identity(names: DataFrame, column: str, value: float = 1.0) -> DataFrame:
     return names.select(F.col(column).alias("i"), F.col(column).alias("j"), F.lit(float(value)).alias("value"))
 
 
-def multiply(a: DataFrame, b: DataFrame, max_pairs: int = MAX_PAIRS, tile: int = TILE) -> DataFrame:
-    """Matrix product of two matrices that hold each cell once."""
+def multiply(a: DataFrame, b: DataFrame, tile: int = TILE, upper: bool = False) -> DataFrame:
+    """Matrix product of two matrices that hold each cell once; with `upper` only the cells with i < j."""
     left = a.select("i", F.col("j").alias("k"), F.col("value").alias("x"))
     right = b.select(F.col("i").alias("k"), "j", F.col("value").alias("y"))
-    fans = (
-        left.groupBy("k").agg(F.count(F.lit(1)).alias("rows"))
-        .join(right.groupBy("k").agg(F.count(F.lit(1)).alias("columns")), "k")
-        .withColumn("pairs", F.col("rows") * F.col("columns"))
-    )
-    size = fans.agg(F.sum("pairs"), F.max("pairs"), F.sum("rows"), F.sum("columns")).first()
-    pairs, largest, rows, columns = (x or 0 for x in size)
-    if largest <= max_pairs and pairs <= max_pairs:
-        return _joined(left, right).groupBy("i", "j").agg(F.sum("value").alias("value"))
     tiles = _tiles(left, "i", tile), _tiles(right, "j", tile), _tiles(left, "k", tile)
-    if pairs > 2 * (rows * tiles[1] + columns * tiles[0]):
-        return _tiled(left, right, tiles).groupBy("i", "j").agg(F.sum("value").alias("value"))
-    heavy = broadcast_if_small(stored(fans.where(F.col("pairs") > max_pairs).select("k"), "heavy"))
-    light = _joined(left.join(heavy, "k", "left_anti"), right)
-    dense = _tiled(left.join(heavy, "k", "left_semi"), right.join(heavy, "k", "left_semi"), tiles)
-    return light.unionByName(dense).groupBy("i", "j").agg(F.sum("value").alias("value"))
-
-
-def _joined(left: DataFrame, right: DataFrame) -> DataFrame:
-    return left.join(right, "k").select("i", "j", (F.col("x") * F.col("y")).alias("value"))
+    cells = _tiled(left, right, tiles, upper)
+    return cells.groupBy("i", "j").agg(F.sum("value").alias("value"))
 
 
 def _tiles(df: DataFrame, column: str, tile: int) -> int:
     return max(1, -(-df.select(column).distinct().count() // tile))
 
 
-def _tiled(left: DataFrame, right: DataFrame, tiles: tuple[int, int, int]) -> DataFrame:
+def _tiled(left: DataFrame, right: DataFrame, tiles: tuple[int, int, int], upper: bool) -> DataFrame:
     """Block product: each (row tile, column tile, inner tile) holds about tile x tile cells per side."""
     row_tiles, column_tiles, inner_tiles = tiles
 
@@ -99,7 +76,10 @@ def _tiled(left: DataFrame, right: DataFrame, tiles: tuple[int, int, int]) -> Da
         xk, yk = inner.get_indexer(x["k"]), inner.get_indexer(y["k"])
         m[i, xk], p[i, xk] = x["x"], 1.0
         n[yk, j], q[yk, j] = y["y"], 1.0
-        at = np.nonzero(p @ q)  # cells with at least one term, also when the terms cancel
+        some = p @ q > 0  # cells with at least one term, also when the terms cancel
+        if upper:
+            some &= np.asarray(rows)[:, None] < np.asarray(columns)[None, :]
+        at = np.nonzero(some)
         return pd.DataFrame({"i": np.asarray(rows)[at[0]], "j": np.asarray(columns)[at[1]], "value": (m @ n)[at]})
 
     grouped = a.groupBy(*key).cogroup(b.groupBy(*key))

@@ -15,15 +15,21 @@ from pyspark.sql import functions as F
 from lodestone.functions import columns as fn
 from lodestone.operators.metrics import area_under_pr, area_under_roc, auc_of_counts
 from lodestone.operators.ordered import top_per_group
+from lodestone.session import stored
 
 
 def binary_report(models: Mapping[str, object], df: DataFrame, label: str) -> DataFrame:
-    """Accuracy, area under ROC and area under PR of several fitted models, one row each."""
+    """Accuracy, area under ROC and area under PR of several fitted models, one row each.
+
+    Rows are ordered by the probability of the label, where a model gives one, else by the margin. Each model scores the
+    table once.
+    """
     out = None
     for name, model in models.items():
         scored = model.transform(df)
-        score = vector_to_array("rawPrediction")[1] if "rawPrediction" in scored.columns else F.col("prediction")
-        rows = scored.select(F.col(label).alias("label"), score.alias("score"), "prediction")
+        column = next((c for c in ("probability", "rawPrediction") if c in scored.columns), None)
+        score = vector_to_array(column)[1] if column else F.col("prediction")
+        rows = stored(scored.select(F.col(label).alias("label"), score.alias("score"), "prediction"), "scored")
         right = rows.agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"))
         row = (
             right.join(F.broadcast(area_under_roc(rows, "score", "label")))  # one row each

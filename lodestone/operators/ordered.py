@@ -23,12 +23,11 @@ _AGGREGATES = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a table for broadcast when it is proven to hold at most ``rows`` rows.
+    """Mark a table for broadcast when it is counted to hold at most ``rows`` rows; store a table that is costly to compute.
 
-    The proof reads at most ``rows + 1`` rows. A larger table is returned as it is, and
-    Spark picks a shuffled join, which splits skewed partitions at run time.
+    A larger table is returned as it is, and Spark picks a shuffled join, which splits skewed partitions at run time.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def group_row_bound(df: DataFrame) -> int:
@@ -52,8 +51,10 @@ def null_safe(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Colu
 
 
 def in_slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """Rows range-partitioned by (keys, order) and stored with their slice number."""
-    ranged = df.repartitionByRange(*keys, *order).withColumn("_slice", F.spark_partition_id())
+    """Rows range-partitioned by (keys, order) and stored with their slice number; as many slices as the rows need."""
+    bound = group_row_bound(df)
+    slices = max(2, -(-df.count() // bound)) if bound > 0 else 8
+    ranged = df.repartitionByRange(slices, *keys, *order).withColumn("_slice", F.spark_partition_id())
     return stored(ranged, "slices")
 
 

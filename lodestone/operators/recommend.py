@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lodestone.functions import columns as fn
 from lodestone.operators import matrix
 from lodestone.operators.ordered import broadcast_if_small, top_per_group
+from lodestone.session import stored
 
 BLOCK = 2048
 
@@ -17,19 +18,16 @@ BLOCK = 2048
 def item_cosine(ratings: DataFrame, user: str, item: str, value: str, threshold: float) -> DataFrame:
     """Cosine of the rating columns of every two items, both directions, at least ``threshold``.
 
-    The product of the rating matrix with itself; a user with very many items goes through
-    tiles, so no user emits all pairs of its items. Each (user, item) must occur once.
+    Ratings are divided by the norm of their item first; the product of the matrix with itself is taken for item < other
+    only, cut at the threshold, and mirrored. Each (user, item) must occur once.
     """
     cells = ratings.select(F.col(user).alias("i"), F.col(item).alias("j"), F.col(value).cast("double").alias("value"))
-    products = matrix.multiply(matrix.transpose(cells), cells)
     norms = cells.groupBy(F.col("j").alias("item")).agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"))
-    return (
-        products.where(F.col("i") != F.col("j"))
-        .join(norms.select(F.col("item").alias("i"), F.col("norm").alias("_a")), "i")
-        .join(norms.select(F.col("item").alias("j"), F.col("norm").alias("_b")), "j")
-        .select(F.col("i").alias("item"), F.col("j").alias("other"), (F.col("value") / (F.col("_a") * F.col("_b"))).alias("similarity"))
-        .where(F.col("similarity") >= threshold)
-    )
+    unit = cells.join(norms, F.col("j") == F.col("item")).select("i", "j", F.try_divide("value", "norm").alias("value")).where("value IS NOT NULL")
+    unit = stored(unit, "unit")
+    half = matrix.multiply(matrix.transpose(unit), unit, upper=True).where(F.col("value") >= threshold)
+    both = F.explode(F.array(F.struct(F.col("i").alias("item"), F.col("j").alias("other")), F.struct(F.col("j").alias("item"), F.col("i").alias("other"))))
+    return half.select(both.alias("p"), "value").select("p.item", "p.other", F.col("value").alias("similarity"))
 
 
 def most_similar(pairs: DataFrame, n: int) -> DataFrame:
@@ -53,9 +51,9 @@ def nearest_to(df: DataFrame, key: str, vector: str, query: list[float], n: int,
 
 
 def score_all(users: DataFrame, items: DataFrame, user: str, item: str, vector: str, n: int, block: int = BLOCK) -> DataFrame:
-    """The n best items of every user by dot product, each user's own key left out.
+    """The n best items of every user of a given set by dot product, each user's own key left out.
 
-    Both sides are cut into blocks; every block pair is one matrix product in one task that
+    The users are the queries of the search, the items all rows. Both sides are cut into blocks; every block pair is one matrix product in one task that
     keeps the n best items per user, and the partial lists are merged. Neither side is
     collected or broadcast, and ties go to the smaller item key.
     """

@@ -1,20 +1,17 @@
 """Principal components and singular values of a vector column.
 
-Each task folds its rows into one d x d product matrix; the matrices are added by Spark, and
-only d * d numbers reach the driver, where d is the vector length.
+The decomposition is Spark's own; k vectors of the length of a row reach the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_SLOTS = 4096
-
 
 def column_means(df: DataFrame, column: str) -> list[float]:
     cells = df.select(F.posexplode(column).alias("slot", "x")).groupBy("slot").agg(F.avg("x").alias("mean"))
@@ -27,35 +24,13 @@ def centred(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.zip_with(F.col(column).cast("array<double>"), means, lambda x, m: x - m))
 
 
-def gramian(df: DataFrame, column: str) -> np.ndarray:
-    """Sum over the rows of x' x."""
-    size = df.select(F.max(F.size(column))).first()[0]
-    if size > MAX_SLOTS:
-        raise ValueError(f"vectors have {size} slots, at most {MAX_SLOTS} are supported")
-
-    def partial(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((size, size))
-        for frame in frames:
-            block = np.vstack(frame["x"].to_numpy()).astype(float)
-            total += block.T @ block
-        slots = np.arange(size)
-        yield pd.DataFrame({"i": np.repeat(slots, size), "j": np.tile(slots, size), "value": total.ravel()})
-
-    rows = df.select(F.col(column).cast("array<double>").alias("x"))
-    cells = rows.mapInPandas(partial, "i int, j int, value double").groupBy("i", "j").agg(F.sum("value").alias("value"))
-    out = np.zeros((size, size))
-    for row in cells.toPandas().itertuples():
-        out[row.i, row.j] = row.value
-    return out
-
-
 def singular(df: DataFrame, column: str, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The k largest singular values and their right vectors (one per column), signs fixed."""
-    values, vectors = np.linalg.eigh(gramian(df, column))
-    order = np.argsort(values)[::-1][:k]
-    vectors = vectors[:, order]
-    signs = np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(len(order))])
-    return np.sqrt(np.maximum(values[order], 0.0)), vectors * signs
+    rows = df.select(array_to_vector(F.col(column).cast("array<double>")).alias("x"))
+    found = RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "x")).computeSVD(k)
+    vectors = found.V.toArray()
+    signs = np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(vectors.shape[1])])
+    return found.s.toArray(), vectors * signs
 
 
 def project(df: DataFrame, column: str, directions: np.ndarray, name: str) -> DataFrame:
@@ -66,4 +41,4 @@ def project(df: DataFrame, column: str, directions: np.ndarray, name: str) -> Da
     return df.withColumn(name, F.array(*parts))
 
 
-__all__ = ["centred", "column_means", "gramian", "project", "singular"]
+__all__ = ["centred", "column_means", "project", "singular"]

@@ -4,6 +4,7 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier, LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier,
 )
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import CountVectorizerModel, Interaction, OneHotEncoder
 from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import columns as fn
 from lodestone.operators import features as fe
-from lodestone.operators import metrics, models, ordered, relational
+from lodestone.operators import metrics, models, ordered, relational, text
 from lodestone.plans.registry import query
 from lodestone.session import spread, stored
 
@@ -69,10 +70,12 @@ def naive_bayes(t):
     """Class priors and likelihoods of a multinomial model: part type from its size in its brand's slot."""
     brands = fe.dictionary(t.part, "p_brand", "slot")
     slots = brands.count()
+    slot_vector = OneHotEncoder(inputCol="slot", outputCol="hot", dropLast=False)
     types = [row["p_type"] for row in fe.dictionary(t.part, "p_type").orderBy("idx").collect()]  # the classes
-    hot = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(slots - 1).cast("bigint")), lambda i: F.when(i == F.col("slot"), F.col("p_size").cast("double")).otherwise(0.0))
     label = F.array_position(F.array(*[F.lit(x) for x in types]), F.col("p_type")) - 1
-    rows = t.part.join(brands, "p_brand").select(label.cast("double").alias("label"), array_to_vector(hot).alias("features"))
+    sized = stored(t.part.join(brands, "p_brand").select(label.cast("double").alias("label"), "slot", F.col("p_size").cast("double").alias("size")), "sized")
+    # a sparse vector holds one slot, times the size
+    rows = Interaction(inputCols=["size", "hot"], outputCol="features").transform(slot_vector.fit(sized).transform(sized))
     model = NaiveBayes(modelType="multinomial", smoothing=0.5).fit(rows)
     table = [
         (types[k], j, float(model.pi[k]), float(model.theta[k, j])) for k in range(len(types)) for j in range(slots)
@@ -122,16 +125,104 @@ def kmeans_sweep(t):
 
 @query("ml_als_topn")
 def als_topn(t):
-    ratings = (
-        t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
-        .groupBy(F.col("o_custkey").cast("int").alias("user"), F.col("l_partkey").cast("int").alias("item"))
-        .agg(F.avg("l_quantity").alias("rating"))
-    )
-    model = ALS(rank=10, maxIter=5, regParam=0.1, seed=7, coldStartStrategy="drop").fit(stored(ratings, "ratings"))
-    top = model.recommendForAllUsers(10)
-    return top.select("user", F.posexplode("recommendations").alias("place", "r")).select(
-        "user", (F.col("place") + 1).alias("place"), F.col("r.item").alias("item"), F.col("r.rating").alias("rating")
-    )
+    """Ten best parts of every fiftieth customer by factors."""
+    ratings, users, items = _ratings(t)
+    model = ALS(rank=10, maxIter=5, regParam=0.1, seed=7, coldStartStrategy="drop").fit(ratings)
+    asked = users.where(F.col("o_custkey") % 50 == 0).select(F.col("user").cast("int"))
+    top = model.recommendForUserSubset(asked, 10)
+    rows = top.select("user", F.posexplode("recommendations").alias("place", "r"))
+    rows = rows.select("user", (F.col("place") + 1).alias("place"), F.col("r.item").alias("item"), F.col("r.rating").alias("rating"))
+    return rows.join(users, "user").join(items, "item").select(F.col("o_custkey").alias("user"), "place", F.col("l_partkey").alias("item"), "rating")
+
+
+def _ratings(t):
+    """Mean quantities per (customer, part) with dense numbers for both, and the two dictionaries."""
+    bought = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_custkey", "l_partkey").agg(F.avg("l_quantity").alias("rating"))
+    bought = stored(bought, "bought")
+    users = stored(fe.dictionary(bought, "o_custkey", "user"), "users")
+    items = stored(fe.dictionary(bought, "l_partkey", "item"), "items")
+    rows = bought.join(users, "o_custkey").join(items, "l_partkey")
+    return stored(rows.select("o_custkey", "l_partkey", F.col("user").cast("int"), F.col("item").cast("int"), "rating"), "ratings"), users, items
+
+
+def _als_errors(t, points):
+    """(rank, reg, validation, test, baseline): errors of every point, and of the mean rating, on rows held out."""
+    ratings, _, _ = _ratings(t)
+    parts = stored(relational.random_split(ratings, ["o_custkey", "l_partkey"], {"train": 0.6, "validation": 0.2, "test": 0.2}, seed=42), "parts")
+    train = parts.where("part = 'train'")
+    mean = train.agg(F.avg("rating")).first()[0]
+    rmse = lambda e: F.sqrt(F.avg(e * e))
+    out = None
+    for rank, reg in points:
+        scored = ALS(rank=rank, maxIter=5, regParam=reg, seed=7).fit(train).transform(parts.where("part <> 'train'"))
+        # a user or item without training rows has no factors and takes the mean
+        error = F.col("rating") - F.coalesce(F.nanvl(F.col("prediction").cast("double"), F.lit(mean)), F.lit(mean))
+        row = scored.agg(
+            F.lit(rank).alias("rank"), F.lit(reg).alias("reg"), rmse(F.when(F.col("part") == "validation", error)).alias("validation"),
+            rmse(F.when(F.col("part") == "test", error)).alias("test"), rmse(F.when(F.col("part") == "test", F.col("rating") - mean)).alias("baseline"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("ml_als_rmse")
+def als_rmse(t):
+    """Error of one factorization on rows held out, and the improvement on the mean rating in percent."""
+    errors = _als_errors(t, [(10, 0.1)])
+    return errors.withColumn("improvement", (F.col("baseline") - F.col("test")) / F.col("baseline") * 100)
+
+
+@query("ml_als_grid")
+def als_grid(t):
+    """Errors over rank and regularisation; the best is the one with the least error on the validation rows."""
+    errors = stored(_als_errors(t, [(r, l) for r in (4, 10) for l in (0.1, 1.0)]), "errors")
+    least = errors.agg(F.min("validation").alias("least"))  # one row
+    return errors.join(F.broadcast(least)).withColumn("best", F.col("validation") == F.col("least")).drop("least")
+
+
+@query("ml_kmeans_cost")
+def kmeans_cost(t):
+    """Sum of squared distances to the fitted centres, and the members nearest to each."""
+    rows = stored(_vectors(t).select("vec_id", "x", array_to_vector("x").alias("features")), "rows")
+    model = KMeans(k=10, maxIter=10, seed=7, initMode="random").fit(rows)
+    centres = t.spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "cluster int, centre array<double>")
+    members = model.transform(rows).select("vec_id", "x", F.col("prediction").alias("cluster"))
+    best = models.cluster_report(members, "vec_id", "x", "cluster", F.broadcast(centres), "centre", 10)  # k rows
+    return best.withColumn("cost", F.lit(float(model.summary.trainingCost)))
+
+
+@query("ml_text_classify", """
+with s as (select doc_id, source, md5(doc_id::varchar) < 'b' train from documents),
+  x as (select doc_id, list_filter(string_split_regex(lower(text), '\W+'), lambda w: w <> '') ws from documents),
+  o as (select doc_id, unnest(ws) token from x),
+  v as (select 'raw' variant, doc_id, token, count(*) tf from o group by 2, 3
+        union all select 'clean', doc_id, token, count(*) from o where not regexp_matches(token, '[0-9]') and length(token) >= 2 and token not in (STOP) group by 2, 3),
+  i as (select variant, token, ln(((select count(*) from documents where md5(doc_id::varchar) < 'b') + 1.0) / (count(*) + 1)) idf
+        from v join s using (doc_id) where train group by 1, 2),
+  w as (select variant, doc_id, token, tf * idf x from v join i using (variant, token)),
+  c as (select variant, source, token, sum(x) x from w join s using (doc_id) where train group by 1, 2, 3),
+  size as (select variant, count(distinct token) n from i group by 1),
+  tot as (select variant, source, sum(x) x from c group by 1, 2),
+  prior as (select source, ln(count(*)) p from s where train group by 1),
+  base as (select variant, source, p, ln(x + 0.1 * n) z, n from tot join size using (variant) join prior using (source)),
+  score as (select w.variant, w.doc_id, c.source, sum(w.x * (ln(c.x + 0.1) - ln(0.1))) hit from w join s on s.doc_id = w.doc_id and not train
+            join c on c.variant = w.variant and c.token = w.token group by 1, 2, 3),
+  mass as (select variant, doc_id, sum(x) m from w group by 1, 2),
+  every as (select b.variant, s.doc_id, s.source actual, b.source, round(p + coalesce(m, 0) * (ln(0.1) - z) + coalesce(hit, 0), 6) score
+            from s join base b on not train left join mass m on m.variant = b.variant and m.doc_id = s.doc_id
+            left join score h on h.variant = b.variant and h.doc_id = s.doc_id and h.source = b.source),
+  pick as (select variant, doc_id, actual, source predicted from every qualify row_number() over (partition by variant, doc_id order by score desc, source) = 1)
+select variant, actual, predicted, count(*) n from pick group by 1, 2, 3""".replace("STOP", ", ".join(f"'{w}'" for w in text.STOP_WORDS)))
+def text_classify(t):
+    """Confusion cells of multinomial naive Bayes over TF-IDF weights, documents to source, on raw and on cleaned tokens."""
+    train = F.md5(F.col("doc_id").cast("string")) < "b"
+    labels = t.documents.select("doc_id", F.col("source").alias("actual"), train.alias("train"))
+    tf = stored(text.term_frequencies(text.token_rows(t.documents, "doc_id", "text"), "doc_id"), "tf")
+    out = None
+    for variant, rows in (("raw", tf), ("clean", tf.where(text.clean_token(F.col("term"))))):
+        cells = text.classified(rows, labels, "doc_id", smoothing=0.1).groupBy("actual", "predicted").agg(F.count(F.lit(1)).alias("n"))
+        cells = cells.select(F.lit(variant).alias("variant"), "actual", "predicted", "n")
+        out = cells if out is None else out.unionByName(cells)
+    return out
 
 
 @query("ml_grid_search")
@@ -151,7 +242,7 @@ union all select x.i || ',' || y.i || ',' || z.i, count(*) from b x join b y on
 def fpgrowth(t):
     """Brand sets bought together; an order's list holds distinct brands, so it is never longer than the brand dictionary."""
     lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    baskets = lines.groupBy("l_orderkey").agg(F.collect_set("p_brand").alias("items"))
+    baskets = stored(lines.groupBy("l_orderkey").agg(F.collect_set("p_brand").alias("items")), "baskets")
     sets = FPGrowth(itemsCol="items", minSupport=0.01).fit(baskets).freqItemsets
     return sets.select(F.array_join(F.array_sort("items"), ",").alias("items"), "freq")
 
@@ -161,13 +252,11 @@ def ctr_weights(t):
     """One weight per brand: whether an order is finished, from the multi-hot set of its brands."""
     lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("o_orderkey"), "p_brand")
     words = fe.dictionary(t.part, "p_brand")
-    n = words.count()
-    slots = fe.multi_hot(lines, "o_orderkey", "p_brand", words)
-    hot = F.transform(
-        F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")), lambda i: F.array_contains(F.col("slots"), i).cast("double")
-    )
+    names = [row["p_brand"] for row in words.orderBy("idx").collect()]  # the dictionary, as long as the weights
+    brands = lines.groupBy("o_orderkey").agg(F.collect_set("p_brand").alias("brands"))  # never longer than the dictionary
     label = F.when(F.col("o_orderstatus") == "F", 1.0).otherwise(0.0)
-    rows = t.orders.join(slots, "o_orderkey").select(label.alias("label"), array_to_vector(hot).alias("features"))
+    orders = t.orders.join(brands, "o_orderkey").select(label.alias("label"), "brands")
+    rows = stored(CountVectorizerModel.from_vocabulary(names, inputCol="brands", outputCol="features", binary=True).transform(orders).select("label", "features"), "rows")
     model = LogisticRegression(maxIter=10, regParam=0.01).fit(rows)
     return models.weight_table(t.spark, model.coefficients, words, "p_brand").withColumnRenamed("p_brand", "feature")
 

@@ -72,10 +72,11 @@ def vector_topk(t):
 
 @query("rc_score_all", """
 with v as (select vec_id, list_transform(embedding, lambda x: x::double) a from embeddings),
-     s as (select p.vec_id as user, q.vec_id as item, list_dot_product(p.a, q.a) score from v p join v q on p.vec_id <> q.vec_id)
+     s as (select p.vec_id as user, q.vec_id as item, list_dot_product(p.a, q.a) score from v p join v q on p.vec_id <> q.vec_id where p.vec_id % 50 = 0)
 select user, item, round(score, 6) score, row_number() over (partition by user order by round(s.score, 9) desc, item) place from s qualify place <= 10""")
 def score_all(t):
-    out = recommend.score_all(t.embeddings, t.embeddings, "vec_id", "vec_id", "embedding", 10)
+    """Every fiftieth vector as a user against all vectors as items."""
+    out = recommend.score_all(t.embeddings.where(F.col("vec_id") % 50 == 0), t.embeddings, "vec_id", "vec_id", "embedding", 10)
     return out.withColumn("score", F.round("score", 6))
 
 
@@ -173,18 +174,17 @@ with e as (select 'N' || c_nationkey a, c_mktsegment b, count(*) n from customer
               union all select i, j, v from s0) group by 1, 2)""" for k in range(1, 6))
 
 
-def _simrank(t):
-    return graph.simrank(stored(_market(t), "market"), 0.6, 5)
-
-
-@query("rc_simrank", _SIMRANK + " select i, j, round(v, 6) as value from s5")
+@query("rc_simrank", _SIMRANK + " select i, j, round(v, 6) as value from s5 where i in (select 'N' || n_nationkey from nation where n_nationkey % 5 = 0)")
 def simrank(t):
-    return _simrank(t).withColumn("value", F.round("value", 6))
+    """Similarity of every fifth nation to all nodes."""
+    nations = t.nation.where(F.col("n_nationkey") % 5 == 0).select(F.concat(F.lit("N"), "n_nationkey").alias("node"))
+    return graph.simrank(stored(_market(t), "market"), nations, "node", 0.6, 5).withColumn("value", F.round("value", 6))
 
 
 @query("rc_simrank_items", _SIMRANK + " select i, j, round(v, 6) as value from s5 where i <> j and i in (select b from e)")
 def simrank_items(t):
-    return graph.item_similarity(_simrank(t), t.customer, "c_mktsegment")
+    market = stored(_market(t), "market")
+    return graph.without_self(graph.simrank(market, t.customer.select("c_mktsegment").distinct(), "c_mktsegment", 0.6, 5))
 
 
 @query("rc_matrix_ops", """

@@ -1,7 +1,7 @@
 """Text processing plans over the whole documents."""
 
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizer, HashingTF, StopWordsRemover, Word2Vec
+from pyspark.ml.feature import CountVectorizer, StopWordsRemover, Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -71,7 +71,7 @@ def rare_tokens(t):
 
 
 @query("tx_clean_docs", _TOKENS + """
-select doc_id, count(*) n, md5(string_agg(token, ' ' order by pos)) digest from f group by doc_id""")
+select doc_id, count(token) n, md5(coalesce(string_agg(token, ' ' order by pos), '')) digest from documents left join f using (doc_id) group by doc_id""")
 def clean_docs(t):
     out = text.clean_documents(t.documents, "doc_id", "text")
     return out.select("doc_id", F.size("tokens").cast("bigint").alias("n"), _joined("tokens").alias("digest"))
@@ -109,13 +109,11 @@ def count_vectorizer(t):
     return text.count_cells(tf, "doc_id", text.vocabulary(tf, "doc_id", 1000, least_documents=2))
 
 
-@query("tx_hashing_tf", _TOKENS + "select doc_id, len(tokens) total from d")
+@query("tx_hashing_tf", _TOKENS + """
+select doc_id, (('0x' || substr(md5(token), 1, 8))::ubigint % 262144)::bigint slot, count(*) n from o group by 1, 2""")
 def hashing_tf(t):
-    """Hashed term counts keep each document's token total, whatever slots collide."""
-    tokens = text.word_tokens(spread(t.documents.select("doc_id", "text")), "text", "tokens")
-    hashed = HashingTF(numFeatures=1 << 18, inputCol="tokens", outputCol="tf").transform(tokens)
-    counts = F.from_json(F.get_json_object(F.to_json(F.struct("tf")), "$.tf.values"), "array<double>")
-    return hashed.select("doc_id", F.aggregate(counts, F.lit(0.0), lambda a, x: a + x).cast("bigint").alias("total"))
+    """Term counts of every document in 2^18 hashed slots."""
+    return text.hashed_counts(text.token_rows(t.documents, "doc_id", "text"), "doc_id", 1 << 18)
 
 
 @query("tx_tfidf", _TOKENS + "select doc_id, term, tf, round(weight, 6) weight from w")
@@ -142,7 +140,7 @@ def tfidf_range(t):
   nm as (select doc_id, sqrt(sum(weight * weight)) norm from w group by 1),
   dots as (select a, b, kind, sum(x.weight * y.weight) dot from pairs join w x on x.doc_id = a join w y on y.doc_id = b and y.term = x.term group by 1, 2, 3)
 select a, b, pairs.kind, round(coalesce(dot / nullif(n1.norm * n2.norm, 0), 0.0), 6) cosine
-from pairs left join dots using (a, b, kind) join nm n1 on n1.doc_id = a join nm n2 on n2.doc_id = b""")
+from pairs left join dots using (a, b, kind) left join nm n1 on n1.doc_id = a left join nm n2 on n2.doc_id = b""")
 def doc_cosine(t):
     """Every document against the next one of its own source, and the next one when its source differs."""
     documents = t.documents.select("doc_id", "source")
@@ -162,15 +160,23 @@ def word2vec(t):
     counts = text.token_counts(tokens.select(F.explode("tokens").alias("token")))
     word = counts.orderBy(F.col("n").desc(), "token").first()["token"]
     tasks = t.spark.sparkContext.defaultParallelism
-    model = Word2Vec(vectorSize=20, minCount=5, maxIter=1, seed=7, numPartitions=tasks, inputCol="tokens", outputCol="v").fit(tokens)
+    model = Word2Vec(vectorSize=20, seed=7, numPartitions=tasks, inputCol="tokens", outputCol="v").fit(tokens)
     return model.findSynonyms(word, 20).withColumn("query", F.lit(word))
 
 
+@query("tx_doc_vectors")
+def doc_vectors(t):
+    """Mean Word2Vec vector of every document."""
+    tokens = stored(text.word_tokens(spread(t.documents.select("doc_id", "text")), "text", "tokens").select("doc_id", "tokens"), "tokens")
+    model = Word2Vec(vectorSize=20, seed=7, numPartitions=t.spark.sparkContext.defaultParallelism, inputCol="tokens", outputCol="v").fit(tokens)
+    return model.transform(tokens).select("doc_id", vector_to_array("v").alias("v"))
+
+
 @query("tx_lda")
 def lda(t):
-    """Topic weights of every document under five topics."""
+    """Topic weights of every document under five topics; zeros for a document of which cleaning leaves no word."""
     tokens = stored(text.clean_documents(t.documents, "doc_id", "text"), "clean")
-    counts = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=2000, minDF=2.0).fit(tokens).transform(tokens)
+    counts = CountVectorizer(inputCol="tokens", outputCol="features", minDF=2.0).fit(tokens).transform(tokens)
     model = LDA(k=5, maxIter=5, seed=7, optimizer="online").fit(counts)
     return model.transform(counts).select("doc_id", vector_to_array("topicDistribution").alias("topics"))
 

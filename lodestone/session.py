@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLE_NAMES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -36,17 +38,32 @@ def _local_root(application_id: str) -> str:
     return tempfile.mkdtemp(prefix="lodestone-")
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder for intermediate tables, below the folder named in spark.checkpoint.dir.
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder for intermediate tables, below the folder named in spark.checkpoint.dir.
 
-    Executors on other machines must see it, so only a local master may go without the setting.
+    All executors must see it. Without the setting only a master whose executors are threads of the driver may run; on a
+    cluster the setting must name a file system (file://, hdfs://, s3a:// ...), so that a local path is not taken by mistake.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    threads = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not threads:
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = _local_root(spark.sparkContext.applicationId)
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    elif not threads and "://" not in root and not re.match(r"[a-z0-9]+:/", root):
+        raise RuntimeError(f"spark.checkpoint.dir names no file system: {root}")
+    return f"{root.rstrip('/')}/lodestone-{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; results that still read them can no longer be computed."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -62,12 +79,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over at least one partition per core, for work that costs far more than a shuffle.
+    """Rows over `spark.lodestone.spread` partitions, if that is set, before work that costs far more than a shuffle.
 
-    A table that already comes in enough splits is left as it is, so a large scan is not shuffled.
+    For small files of one row group, which Spark cannot split; large tables come in enough splits.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    parts = df.sparkSession.conf.get("spark.lodestone.spread", None)
+    return df.repartition(int(parts)) if parts else df
 
 
 class Tables:
@@ -76,6 +93,7 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._schemas: dict[str, StructType] = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
@@ -83,4 +101,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLE_NAMES:
             raise AttributeError(name)
-        return self.spark.read.parquet(self.path(name))
+        if name in self._schemas:  # finding the schema is a job
+            return self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
+        df = self.spark.read.parquet(self.path(name))
+        self._schemas[name] = df.schema
+        return df

@@ -15,8 +15,8 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def delimited(spark: SparkSession, path: str, separator: str, schema: StructType, header: bool = False) -> DataFrame:
-    """Typed columns from text with a separator of one or more characters."""
-    return spark.read.csv(path, sep=separator, schema=schema, header=header)
+    """Typed columns from text with a separator of one or more characters; quotes are ordinary characters."""
+    return spark.read.csv(path, sep=separator, schema=schema, header=header, quote="")
 
 
 def headed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -62,10 +62,13 @@ def tagged_by_file(spark: SparkSession, path: str, pattern: str, name: str) -> D
     return lines.select(F.regexp_extract("_metadata.file_name", pattern, 1).alias(name), "value")
 
 
-def count_per_file(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of every input file, in one job."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("file"))
-    return lines.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+def count_per_file(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, file, n): lines of every input file, 0 for an empty one. Files are told apart by their whole path."""
+    text = spark.read.text(path)
+    lines = text.select(F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    # the list that Spark has made on the driver anyway; empty files have no rows to be found by
+    files = spark.createDataFrame([(f,) for f in text.inputFiles()], "path string")
+    return files.join(lines, "path", "left").select("path", F.element_at(F.split("path", "/"), -1).alias("file"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:

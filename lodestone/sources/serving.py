@@ -43,6 +43,20 @@ def upsert(spark: SparkSession, path: str, changes: DataFrame, number: int, keys
     return newest(spark, path, changes.schema, keys)
 
 
+def append(spark: SparkSession, path: str, rows: DataFrame, number: int) -> DataFrame:
+    """Store one numbered set of rows beside all earlier ones; a repeated number replaces its rows. All rows."""
+    batch_writer(path)(rows, number)
+    return all_batches(spark, path, rows.schema).select(*rows.columns)
+
+
+def increment(spark: SparkSession, path: str, changes: DataFrame, number: int, keys: Sequence[str]) -> DataFrame:
+    """Store one numbered set of amounts per key; a repeated number replaces its amounts. The sums per key."""
+    values = [f.name for f in changes.schema.fields if f.name not in keys]
+    totals = changes.groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values])
+    batch_writer(path)(totals, number)
+    return all_batches(spark, path, totals.schema).groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values])
+
+
 def compact(spark: SparkSession, path: str, target: str, schema: StructType, keys: Sequence[str]) -> None:
     """Write the current rows as batch 0 of a new table."""
     newest(spark, path, schema, keys).write.mode("overwrite").parquet(f"{target}/batch=0")

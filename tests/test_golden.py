@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from lodestone.functions import columns as fn
 from lodestone.functions import udfs
 from lodestone.operators import features as fe
-from lodestone.operators import ordered, profile, relational, seasons, text
+from lodestone.operators import ordered, profile, relational, seasons, text, weblog
 
-SCORES = [("a", 1, 80), ("b", 1, 78), ("c", 1, 95), ("d", 2, 74), ("e", 2, 92), ("f", 3, 99), ("g", 3, 99), ("h", 3, 45), ("i", 3, 55), ("j", 3, 78)]
+SCORES = [("k", 1, 41), ("l", 1, 63), ("m", 1, 12), ("n", 2, 88), ("o", 2, 35), ("p", 3, 70), ("q", 3, 70), ("r", 3, 9), ("s", 3, 64), ("t", 3, 23)]
 
 
 @pytest.fixture(params=["2000000", "0"], ids=["plain", "sliced"])
@@ -32,12 +32,12 @@ def scores(spark):
 
 def test_rank_one_keeps_ties(scores, route):
     ranked = ordered.with_rank(scores, ["class"], "score", "r", descending=True)
-    assert {r["name"] for r in ranked.where("r = 1").collect()} == {"c", "e", "f", "g"}
+    assert {r["name"] for r in ranked.where("r = 1").collect()} == {"l", "n", "p", "q"}
 
 
 def test_dense_rank(scores, route):
     ranked = {r["name"]: r["r"] for r in ordered.with_rank(scores, ["class"], "score", "r", descending=True, dense=True).collect()}
-    assert [ranked[n] for n in "fgjih"] == [1, 1, 2, 3, 4]
+    assert [ranked[n] for n in "pqstr"] == [1, 1, 2, 3, 4]
 
 
 def test_running_and_neighbours_with_null_keys(spark, route):
@@ -63,21 +63,21 @@ def test_mode_keeps_ties(spark):
 
 
 def test_valid_and_reject(spark):
-    df = spark.createDataFrame([(x,) for x in "1 2a 3 4b 5 6 7cd 8 9".split()], "x string")
+    df = spark.createDataFrame([(x,) for x in "12 x7 -4 9q 30 8- 11".split()], "x string")
     valid, rejected = relational.split_valid(df, "x", r"^-?\d+$")
-    assert valid.agg(F.sum(F.col("x").cast("int"))).first()[0] == 32
-    assert {r["x"] for r in rejected.collect()} == {"2a", "4b", "7cd"}
+    assert valid.agg(F.sum(F.col("x").cast("int"))).first()[0] == 49
+    assert {r["x"] for r in rejected.collect()} == {"x7", "9q", "8-"}
 
 
 def test_value_histogram(spark):
-    df = spark.createDataFrame([(x,) for x in "abcdeac"], "x string")
-    assert {r["x"]: r["count"] for r in df.groupBy("x").count().collect()} == {"a": 2, "b": 1, "c": 2, "d": 1, "e": 1}
+    df = spark.createDataFrame([(x,) for x in "qwqzzq"], "x string")
+    assert {r["x"]: r["count"] for r in df.groupBy("x").count().collect()} == {"q": 3, "w": 1, "z": 2}
 
 
 def test_partition_rule(spark):
-    df = spark.createDataFrame([(x,) for x in "aa.2 bb.2 cc.3 dd.3 ee.5".split()], "x string")
+    df = spark.createDataFrame([(x,) for x in "p.7 q.7 r.1 s.9 t.4".split()], "x string")
     placed = relational.by_key_rule(df, relational.last_digit_rule(F.col("x"), 5), 5)
-    assert {r["part"]: r["count"] for r in placed.groupBy("part").count().collect()} == {2: 2, 3: 2, 0: 1}
+    assert {r["part"]: r["count"] for r in placed.groupBy("part").count().collect()} == {2: 2, 1: 1, 4: 2}
     assert placed.rdd.getNumPartitions() == 5
     tasks = placed.select("part", F.spark_partition_id().alias("task")).distinct().collect()
     assert len(tasks) == 3  # each rule value lies in one partition
@@ -111,6 +111,29 @@ def test_quantile_buckets(spark, route):
     assert got == {18.0: 2.0, 19.0: 2.0, 8.0: 1.0, 5.0: 1.0, 2.2: 0.0}
 
 
+def test_quantile_buckets_leave_missing_values_out(spark, route):
+    df = spark.createDataFrame([(None,)] * 4 + [(float("nan"),)] + [(float(x),) for x in (1, 2, 3, 4)], "x double")
+    assert fe.quantile_splits(df, "x", 2) == [2.0]
+    assert fe.quantile_splits(df.where("x IS NULL"), "x", 2) == []
+
+
+def test_address_is_checked_by_value(spark):
+    lines = ["10.0.0.7 - x", "at 300.1.1.1 y", "1.2.3.4.5", "v1.22.33.255.", ""]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    assert [r[0] for r in df.select(weblog.ip_of(F.col("value"))).collect()] == ["10.0.0.7", "", "", "1.22.33.255", ""]
+
+
+def test_clean_documents_keep_every_document(spark):
+    df = spark.createDataFrame([(1, "apple pear apple"), (2, "the 12"), (3, None), (4, ""), (5, "pear once")], "k int, t string")
+    assert {r["k"]: r["tokens"] for r in text.clean_documents(df, "k", "t").collect()} == {1: ["apple", "pear", "apple"], 2: [], 3: [], 4: [], 5: ["pear"]}
+
+
+def test_pairs_without_terms_have_cosine_zero(spark):
+    weights = spark.createDataFrame([(1, "a", 1.0), (2, "a", 2.0)], "k int, term string, weight double")
+    pairs = spark.createDataFrame([(1, 2), (1, 3)], "x int, y int")
+    assert {(r["x"], r["y"]): r["cosine"] for r in text.pair_cosine(weights, "k", pairs, "x", "y").collect()} == {(1, 2): 1.0, (1, 3): 0.0}
+
+
 def test_string_indexer_skips_unseen(spark):
     df = spark.createDataFrame([(x,) for x in "abcaac"], "x string")
     model = StringIndexer(inputCol="x", outputCol="i", handleInvalid="skip").fit(df)
@@ -130,9 +153,9 @@ def test_hadamard_assembler_slicer(spark):
 
 
 def test_sql_transformer(spark):
-    df = spark.createDataFrame([(0, 1.0, 3.0), (2, 2.0, 5.0)], "id int, v1 double, v2 double")
+    df = spark.createDataFrame([(5, 4.0, 0.5), (6, 1.5, 2.0)], "id int, v1 double, v2 double")
     out = udfs.sql_transform(df, "SELECT *, (v1 + v2) AS v3, (v1 * v2) AS v4 FROM __THIS__")
-    assert [(r["v3"], r["v4"]) for r in out.orderBy("id").collect()] == [(4.0, 3.0), (7.0, 10.0)]
+    assert [(r["v3"], r["v4"]) for r in out.orderBy("id").collect()] == [(4.5, 2.0), (3.5, 3.0)]
 
 
 def test_chi_square_top_two(spark):

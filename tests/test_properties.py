@@ -5,12 +5,14 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
+from pyspark.ml.linalg import Vectors
 from pyspark.mllib.evaluation import RankingMetrics
 from pyspark.sql import functions as F
 
 from lodestone import plans
 from lodestone.operators import matrix, metrics, models, ordered, recommend, relational, spectral
-from lodestone.session import Tables, scratch_path
+from lodestone.session import Tables, clear_scratch, scratch_path, stored
 from lodestone.sources import serving
 from lodestone.streaming import jobs
 
@@ -29,14 +31,14 @@ def cells(spark, a):
     return spark.createDataFrame([(int(i), int(j), float(a[i, j])) for i, j in zip(*np.nonzero(a))], "i bigint, j bigint, value double")
 
 
-@pytest.mark.parametrize("max_pairs, tile", [(1_000_000, 512), (40, 7), (0, 4)], ids=["join", "mixed", "tiles"])
-def test_product_on_every_route(spark, max_pairs, tile):
+@pytest.mark.parametrize("tile", [512, 7, 4])
+def test_product_in_tiles(spark, tile):
     random = np.random.default_rng(3)
     a = random.integers(-3, 4, (23, 17)) * (random.random((23, 17)) < 0.4)
     b = random.integers(-3, 4, (17, 19)) * (random.random((17, 19)) < 0.4)
     a[:, 5], b[5, :] = 1, 1  # one inner index that meets everything
     got = np.zeros((23, 19))
-    for row in matrix.multiply(cells(spark, a), cells(spark, b), max_pairs, tile).collect():
+    for row in matrix.multiply(cells(spark, a), cells(spark, b), tile).collect():
         got[row["i"], row["j"]] = row["value"]
     assert np.array_equal(got, a @ b)
 
@@ -178,13 +180,52 @@ def test_model_reports(spark):
     assert {(r["part"], r["label"]) for r in fraud} == {(p, y) for p in ("train", "test") for y in (0.0, 1.0)}
 
 
+def test_model_areas_against_pairs(spark):
+    """Area under ROC is the chance that a positive row is scored above a negative one, by probability."""
+    random = np.random.default_rng(5)
+    rows = [(float(y), Vectors.dense([abs(y + random.normal()), abs(random.normal())])) for y in random.integers(0, 2, 120)]
+    df = spark.createDataFrame(rows, ["label", "features"])
+    fitted = {"tree": DecisionTreeClassifier(maxDepth=3, seed=1).fit(df), "bayes": NaiveBayes().fit(df), "logistic": LogisticRegression().fit(df)}
+    for row in models.binary_report(fitted, df, "label").collect():
+        scored = [(r["label"], float(r["probability"][1])) for r in fitted[row["model"]].transform(df).collect()]
+        pairs = [(a > b) + (a == b) / 2 for y, a in scored if y == 1 for z, b in scored if z == 0]
+        assert math.isclose(row["roc"], sum(pairs) / len(pairs), abs_tol=1e-9) and row["roc"] >= 0.5
+
+
+def test_scratch_needs_a_shared_folder():
+    class Conf(dict):
+        pass
+
+    class Context:
+        applicationId, master = "app", "spark://host:7077"
+
+    class Session:
+        sparkContext = Context()
+
+        def __init__(self, folder=None):
+            self.conf = Conf({"spark.checkpoint.dir": folder} if folder else {})
+
+    with pytest.raises(RuntimeError):
+        scratch_path(Session(), "x")
+    with pytest.raises(RuntimeError):
+        scratch_path(Session("/tmp/x"), "x")
+    assert scratch_path(Session("hdfs://n/x"), "y").startswith("hdfs://n/x/lodestone-app/y-")
+
+
+def test_scratch_is_cleared(spark, t):
+    stored(t.nation, "nation")
+    clear_scratch(spark)
+    assert not Path(scratch_path(spark, "x")).parent.exists()
+
+
 def test_synonyms_and_topics(spark):
     rows = plans.QUERIES["tx_word2vec"](spark, FOLDER).collect()
     similarities = [r["similarity"] for r in rows]
     assert len(rows) == 20 and similarities == sorted(similarities, reverse=True)
     assert all(-1.0001 <= s <= 1.0001 for s in similarities)
-    for row in plans.QUERIES["tx_lda"](spark, FOLDER).collect():
-        assert math.isclose(sum(row["topics"]), 1.0, abs_tol=1e-6)
+    topics = [sum(row["topics"]) for row in plans.QUERIES["tx_lda"](spark, FOLDER).collect()]
+    assert len(topics) == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+    assert all(math.isclose(x, 1.0, abs_tol=1e-6) or x == 0 for x in topics)  # 0 where no word is left
 
 
 def test_model_summary(spark, t):

@@ -128,7 +128,22 @@ def test_tag_and_count_by_file(spark, folder):
     tagged = readers.tagged_by_file(spark, f"{folder}/leagues_*", r"leagues_(\d{4})", "year")
     assert sorted(tuple(r) for r in tagged.collect()) == [("1980", "1,x"), ("1980", "2,y"), ("1981", "3,z")]
     counts = readers.count_per_file(spark, folder)
-    assert sorted(tuple(r) for r in counts.collect()) == [("leagues_1980_a.csv", 2), ("leagues_1981_a.csv", 1)]
+    assert sorted((r["file"], r["n"]) for r in counts.collect()) == [("leagues_1980_a.csv", 2), ("leagues_1981_a.csv", 1)]
+    for name in ("a", "b"):
+        Path(folder, name).mkdir()
+        Path(folder, name, "part-0.txt").write_text("1\n2\n")
+    Path(folder, "b", "part-1.txt").write_text("")
+    counts = readers.count_per_file(spark, [f"{folder}/a", f"{folder}/b"])
+    assert sorted((r["file"], r["n"]) for r in counts.collect()) == [("part-0.txt", 2), ("part-0.txt", 2), ("part-1.txt", 0)]
+
+
+def test_append_and_increment(spark, folder):
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n long")
+    serving.append(spark, f"{folder}/all", rows, 1)
+    assert serving.append(spark, f"{folder}/all", rows, 2).count() == 4
+    assert serving.append(spark, f"{folder}/all", rows, 2).count() == 4
+    serving.increment(spark, f"{folder}/sums", rows, 1, ["k"])
+    assert sorted(tuple(r) for r in serving.increment(spark, f"{folder}/sums", rows, 2, ["k"]).collect()) == [("a", 2), ("b", 4)]
 
 
 def test_wide_text_to_parquet_prunes_and_pushes_down(spark, folder, capsys):
