@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,7 +69,7 @@ def count_per_file(spark: SparkSession, path: str | list[str]) -> DataFrame:
     text = spark.read.text(path)
     lines = text.select(F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.count(F.lit(1)).alias("n"))
     # the list that Spark has made on the driver anyway; empty files have no rows to be found by
-    files = spark.createDataFrame([(f,) for f in text.inputFiles()], "path string")
+    files = spark.createDataFrame([(re.sub(r"^file:/+", "file:/", f),) for f in text.inputFiles()], "path string")
     return files.join(lines, "path", "left").select("path", F.element_at(F.split("path", "/"), -1).alias("file"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
