@@ -1,9 +1,8 @@
 """Byte-level BPE as a transducer that is determinised while it reads, and decoding of id streams.
 
 The encoding of a piece is the only sequence of tokens in which every neighbouring pair is stable, that is, in which no
-merge across the border would have been made before the merges inside. Hence the last token of every prefix is fixed by
-the last tokens of shorter prefixes. A state of the transducer is the last token already emitted and the bytes read since;
-positions at which no longer token can start any more are given up, and what all remaining readings share is emitted.
+merge across the border would have been made before the merges inside. So the token written last is all that the next one
+depends on besides the bytes ahead, and the merges never have to be replayed over a text.
 """
 
 from __future__ import annotations
@@ -30,21 +29,20 @@ class Merges:
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.halves = {rank: self._halves(token) for token, rank in ranks.items()}
-        self._stable: dict[int, bool] = {}
         self.child: dict[int, int] = {}  # node << 8 | byte
         self.token = [START]  # by node
-        self.inner = [True]  # whether a longer token goes on
+        self.parent = [0]
+        self.size = {rank: len(token) for token, rank in ranks.items()}
         for token, rank in ranks.items():
             if len(token) > 1 and self.halves[rank] is None:
                 continue  # no merges lead to it; it only ever stands for a whole piece
             node = 0
             for byte in token:
-                self.inner[node] = True
-                key = node << 8 | byte
-                node = self.child.setdefault(key, len(self.token))
-                if node == len(self.token):
+                below = self.child.setdefault(node << 8 | byte, len(self.token))
+                if below == len(self.token):
                     self.token.append(START)
-                    self.inner.append(False)
+                    self.parent.append(node)
+                node = below
             self.token[node] = rank
 
     def _halves(self, token: bytes) -> tuple[int, int] | None:
@@ -59,17 +57,10 @@ class Merges:
         return (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else None
 
     def stable(self, left: int, right: int) -> bool:
-        """Whether merging the bytes of both tokens gives these two tokens again."""
-        key = left << 32 | right
-        known = self._stable.get(key)
-        if known is None:
-            if len(self._stable) > 1_000_000:
-                self._stable.clear()
-            known = self._stable[key] = self._undo(left, right)
-        return known
-
-    def _undo(self, left: int, right: int) -> bool:
-        """Take the merges of both sides back, latest first, and look at the border before each of them."""
+        """Whether merging the bytes of both tokens gives these two tokens again.
+
+        The merges of both sides are taken back, latest first, with a look at the border before each of them.
+        """
         later = NEVER  # the merge at the border would have to come before this one
         while True:
             across = self.ranks.get(self.bytes_of[left] + self.bytes_of[right])
@@ -86,71 +77,67 @@ class Merges:
 
 
 class Transducer:
-    """Bytes in, tokens out. `limit` bounds the stored arcs; beyond it, they are worked out anew."""
+    """Bytes in, tokens out.
+
+    A state is the token written last; an arc reads ahead to the longest token that can start here, never further than the
+    longest token of the vocabulary, and writes one of its prefixes. The arc's outputs, longest first, are those that are
+    stable beside the state's token. Arcs are determined when first needed and kept, `limit` of them at most.
+    """
 
-    def __init__(self, merges: Merges, limit: int = 400_000):
+    def __init__(self, merges: Merges, limit: int = 300_000):
         self.merges = merges
         self.limit = limit
-        self._forget()
-
-    def _forget(self) -> None:
-        # the last token emitted, and each reading that can go on: the tokens since, and the trie node of the bytes after them
-        self.states: list[tuple[int, tuple[tuple[int, tuple[int, ...]], ...]]] = []
-        self.names: dict[tuple, int] = {}
-        self.arcs: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self._name(START, ((0, ()),))
-
-    def _name(self, last: int, readings: tuple) -> int:
-        # the longest reading holds all bytes since the last token
-        state = self.names.setdefault((last, readings[0]), len(self.states))
-        if state == len(self.states):
-            self.states.append((last, readings))
-        return state
-
-    def _arc(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """The next state and the tokens that are now certain, because all readings share them."""
-        last, readings = self.states[state]
-        merges = self.merges
-        after, found = [], None
-        for node, path in readings:
-            node = merges.child.get(node << 8 | byte)
-            if node is None:
-                continue
-            if found is None:
-                token = merges.token[node]
-                if token != START:
-                    before = path[-1] if path else last
-                    if before == START or merges.stable(before, token):
-                        found = path + (token,)
-            if merges.inner[node]:
-                after.append((node, path))
-        if found is not None:
-            after.append((0, found))
-        first = after[0][1]
-        shared = len(first)
-        for _, path in after:
-            while path[:shared] != first[:shared]:
-                shared -= 1
-        if not shared:
-            return self._name(last, tuple(after)), ()
-        return self._name(first[shared - 1], tuple([(node, path[shared:]) for node, path in after])), first[:shared]
+        self.longest = max(map(len, merges.ranks))
+        self.arcs: dict[int, tuple[int, ...]] = {}
+
+    def _arc(self, last: int, node: int) -> tuple[int, ...]:
+        """The tokens on the way to a node of the trie that may follow `last`, longest first."""
+        out, merges = [], self.merges
+        while node:
+            token = merges.token[node]
+            if token != START and (last == START or merges.stable(last, token)):
+                out.append(token)
+            node = merges.parent[node]
+        return tuple(out)
 
     def encode(self, data: bytes) -> list[int]:
-        """The tokens of one piece."""
+        """The tokens of one piece. Where no token may follow, the one before is taken back for its next shorter choice."""
         whole = self.merges.ranks.get(data)
         if whole is not None:
             return [whole]
-        if len(self.arcs) > self.limit:
-            self._forget()
-        tokens, state, arcs = [], 0, self.arcs
-        for byte in data:
-            key = state << 8 | byte
+        arcs, child, size, longest = self.arcs, self.merges.child, self.merges.size, self.longest
+        if len(arcs) > self.limit:
+            arcs.clear()
+        n, at, last = len(data), 0, START
+        tokens: list[int] = []
+        choices: list[tuple[tuple[int, ...], int]] = []
+        dead: set[int] | None = None
+        while at < n:
+            node = 0
+            for byte in data[at:at + longest]:
+                below = child.get(node << 8 | byte)
+                if below is None:
+                    break
+                node = below
+            key = last << 32 | node
             arc = arcs.get(key)
             if arc is None:
-                arc = arcs[key] = self._arc(state, byte)
-            state, out = arc
-            tokens += out
-        tokens += self.states[state][1][-1][1]  # the last reading ends with the last byte
+                arc = arcs[key] = self._arc(last, node)
+            pick = 0
+            while pick >= len(arc) or (dead and at + size[arc[pick]] in dead):
+                if pick < len(arc):
+                    pick += 1
+                    continue
+                dead = dead or set()
+                dead.add(at)  # the tokens before a place are the same on all ways, so the place itself leads nowhere
+                at -= size[tokens.pop()]
+                arc, pick = choices.pop()
+                pick += 1
+            token = arc[pick]
+            tokens.append(token)
+            choices.append((arc, pick))
+            at += size[token]
+            last = token
         return tokens
 
 
@@ -204,14 +191,14 @@ def _encoder(path: str, pattern: str) -> PieceMemory:
         for piece in pieces:
             ids: list[int] = []
             if piece.isascii() and piece.lstrip(" ").isalpha():
-                ids = transducer.encode(piece.encode())
+                ids = transducer.encode(piece.encode())  # one match of any such pattern
             else:
                 for match in matches(piece):
                     ids += transducer.encode(match.encode())
             out.append(np.array(ids, "<i4").tobytes())
         return out
 
-    return PieceMemory(PIECES, encode_all)
+    return PieceMemory(PIECES, encode_all, limit=400_000)
 
 
 @lru_cache(maxsize=2)

@@ -10,20 +10,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.pieces import PIECES, PieceMemory
+from lodestone.llm.pieces import PIECES, LibraryMemory
 
 
 @lru_cache(maxsize=2)
 def _tokenizers_counter(path: str):
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task has one core
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    memory = PieceMemory(PIECES, lambda batch: [len(e) for e in tokenizer.encode_batch_fast(batch, add_special_tokens=False)])
+    memory = LibraryMemory(path, PIECES, len)
     return lambda text: sum(memory.of(text))
 
 

@@ -1,7 +1,8 @@
 """Splitting of texts at boundaries that no tokenizer pattern crosses, and a bounded memory of what pieces encode to.
 
-Between a character that is not white space and white space, the patterns of the supported vocabularies always cut. A text
-may therefore be encoded piece by piece, whatever its length, and a piece that comes again need not be encoded again.
+Before white space, and after a run of letters that ends at ASCII punctuation, the patterns of the supported vocabularies
+always cut. A text may therefore be encoded piece by piece, whatever its length, and a piece that comes again need not be
+encoded again.
 """
 
 from __future__ import annotations
@@ -12,10 +13,15 @@ from collections.abc import Callable
 #: The characters with the Unicode property White_Space, as the body of a character class.
 WHITE = "\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
 
-#: A word with the one space before it; of other white space, all but the last character goes alone.
-PIECES = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-#: Words only, for vocabularies that drop white space.
-WORDS = re.compile(f"[^{WHITE}]+")
+#: Latin letters (not U+0130, whose lower case ends with a mark), and what may follow a run of them without being joined to it by a pattern or a normaliser.
+LATIN = "A-Za-z\\xC0-\\xD6\\xD8-\\xF6\\xF8-\\u012F\\u0131-\\u024F"
+BREAK = f"(?=[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F{WHITE}]|\\Z)"
+
+#: A run of letters, or else all up to white space, with the one space before it; of other white space, all but the last
+#: character goes alone.
+PIECES = re.compile(f" ?[{LATIN}]+{BREAK}| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+#: The same without white space, for vocabularies that drop it.
+WORDS = re.compile(f"[{LATIN}]+{BREAK}|[^{WHITE}]+")
 
 #: Longer pieces are encoded each time, so that a few of them cannot fill the memory.
 LONGEST_KEPT = 64
@@ -59,3 +65,30 @@ class PieceMemory:
             if len(piece) > LONGEST_KEPT:
                 del known[piece]
         return out
+
+
+class LibraryMemory:
+    """The memory over a file of the tokenizers library; `result` is what is kept of an encoding.
+
+    Special strings are cut out first, as the library does; what stands before one ends there.
+    """
+
+    def __init__(self, path: str, pattern: re.Pattern, result: Callable):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task has one core
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        special = tokenizer.get_added_tokens_decoder().values()
+        if any(t.lstrip or t.rstrip or t.single_word for t in special):
+            raise ValueError("special tokens that take white space or words around them are not supported")
+        self.marks = re.compile("(" + "|".join(re.escape(t.content) for t in sorted(special, key=lambda t: -len(t.content))) + ")") if special else None
+        self.memory = PieceMemory(pattern, lambda batch: [result(e) for e in tokenizer.encode_batch_fast(batch, add_special_tokens=False)])
+
+    def of(self, text: str) -> list:
+        if self.marks is None or not self.marks.search(text):
+            return self.memory.of(text)
+        return [x for part in self.marks.split(text) if part for x in self.memory.of(part)]

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.pieces import WORDS, PieceMemory
+from lodestone.llm.pieces import WORDS, LibraryMemory
 from lodestone.session import scratch_path, stored
 
 MAGIC = b"LSPLANE1"
@@ -131,16 +131,8 @@ class Reader:
 
 
 @lru_cache(maxsize=2)
-def _word_encoder(path: str) -> PieceMemory:
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task has one core
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return PieceMemory(WORDS, lambda batch: [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(batch, add_special_tokens=False)])
+def _word_encoder(path: str) -> LibraryMemory:
+    return LibraryMemory(path, WORDS, lambda e: np.array(e.ids, "<u4").tobytes())
 
 
 def encode_text(text: str, path: str) -> np.ndarray:
