@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.llm.rows import unwrapped, wrapped
 from lodestone.session import stored
 
 #: What separates words, after and before A-Z are lowered.
@@ -98,21 +99,20 @@ def decontaminate(docs: DataFrame, id_col: str, text_col: str, benchmark: DataFr
     text and keeps all rows. NULL and empty texts have no words and stay; an empty benchmark changes nothing; repeated rows
     are treated alike; all columns of `docs` stay.
     """
+    if remove not in ("documents", "spans"):
+        raise ValueError(f"remove must be documents or spans, not {remove}")
     hits = find_hits(docs, id_col, text_col, benchmark, item_col, item_text, n)
-    marked = docs.withColumns({"_k": F.col(id_col), "_x": F.xxhash64(F.col(text_col).cast("string"))})
+    hits = hits.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans"))
+    rows = wrapped(docs, id=F.col(id_col), text=F.col(text_col).cast("string"))
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
     if remove == "documents":
-        keys = hits.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"))
-        left = marked.join(keys, marked["_k"].eqNullSafe(keys["_id"]) & (marked["_x"] == keys["_hash"]), "left_anti")
-        return left.select(*docs.columns)
-    if remove != "spans":
-        raise ValueError(f"remove must be documents or spans, not {remove}")
-    keys = hits.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans"))
-    both = marked.join(keys, marked["_k"].eqNullSafe(keys["_id"]) & (marked["_x"] == keys["_hash"]), "left")
-    both = both.withColumn("_w", F.when(F.col("_spans").isNotNull(), F.regexp_extract_all(text_col, F.lit(WORD_ANY_CASE), F.lit(0))))
-    both = both.withColumn("_between", F.when(F.col("_spans").isNotNull(), F.split(text_col, WORD_ANY_CASE, -1)))
+        return unwrapped(rows.join(hits, same, "left_anti"), docs.columns)
+    both = rows.join(hits, same, "left")
+    both = both.withColumn("_w", F.when(F.col("_spans").isNotNull(), F.regexp_extract_all("text", F.lit(WORD_ANY_CASE), F.lit(0))))
+    both = both.withColumn("_between", F.when(F.col("_spans").isNotNull(), F.split("text", WORD_ANY_CASE, -1)))
     hit = lambda i: F.exists("_spans", lambda s: (s["first"] <= i) & (i < s["end"]))
     inside = lambda i: F.exists("_spans", lambda s: (s["first"] <= i) & (i + 1 < s["end"]))
     parts = F.transform("_w", lambda w, i: F.concat(F.when(hit(i + 1), "").otherwise(w), F.when(inside(i + 1), "").otherwise(F.get("_between", i + 1))))
     cut = F.concat(F.get("_between", F.lit(0)), F.array_join(parts, ""))
-    text = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(cut)
-    return both.withColumn(text_col, text).select(*docs.columns)
+    changed = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut)
+    return unwrapped(both, docs.columns, **{text_col: changed}).select(*docs.columns)

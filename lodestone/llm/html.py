@@ -17,7 +17,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
+from lodestone.llm.rows import unwrapped, wrapped
 from lodestone.session import stored
 
 TOKEN = re.compile(
@@ -260,23 +262,21 @@ def with_main_text(pages: DataFrame, url_col: str, html_col: str, threshold: flo
     stored; they reach the pages by broadcast if they take at most `broadcast_bytes`, else by a join on the host, whose large
     partitions Spark splits.
     """
-    keep = [c for c in pages.columns if c not in ("text", "n_chars")]
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url_col).cast("string"), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/?#:]*)", 1), F.lit("")))
-    nodes = node_importance(pages.select(host.alias("host"), F.col(html_col).cast("string").alias("html")), "host", "html")
+    source = F.col(html_col).cast("string")
+    nodes = node_importance(pages.select(host.alias("host"), source.alias("html")), "host", "html")
     low = nodes.where((F.col("importance") < threshold) & (F.col("pages") >= least_pages))
-    cut = stored(low.groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("_low")), "style-trees")
-    size = cut.agg(F.sum(F.size("_low") * 8 + 64)).first()[0] or 0
+    cut = stored(low.groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("low")), "style-trees")
+    size = cut.agg(F.sum(F.size("low") * 8 + 64)).first()[0] or 0
     cut = F.broadcast(cut) if size <= broadcast_bytes else cut
-    rows = pages.select(*keep).withColumn("_host", host)
-    rows = rows.join(cut.withColumnRenamed("host", "_h"), F.col("_host") == F.col("_h"), "left").select(*keep, F.col(html_col).cast("string").alias("_html"), "_low")
-    first = len(keep)
+    rows = wrapped(pages, host=host, html=source).join(cut, "host", "left").select("row", "html", "low")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes: dict[tuple[int, str], int] = {}
         for batch in batches:
             texts = []
             known: dict[bytes, frozenset] = {}
-            for source, paths in zip(batch.column(first).to_pylist(), batch.column(first + 1)):
+            for source, paths in zip(batch.column(1).to_pylist(), batch.column(2)):
                 low = frozenset()
                 if paths.is_valid:
                     values = paths.values.to_numpy(zero_copy_only=False)
@@ -285,9 +285,7 @@ def with_main_text(pages: DataFrame, url_col: str, html_col: str, threshold: flo
                         known[key] = frozenset(values.tolist())
                     low = known[key]
                 texts.append(" ".join(chosen(parse(source, hashes), low)) if source else "")
-            yield pa.RecordBatch.from_arrays([*batch.columns[:first], pa.array(texts, pa.string())], names=[*keep, "text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])
 
-    from pyspark.sql.types import StringType, StructType
-
-    schema = StructType([pages.schema[c] for c in keep]).add("text", StringType())
-    return rows.mapInArrow(run, schema).withColumn("n_chars", F.length("text").cast("long"))
+    found = rows.mapInArrow(run, StructType([rows.schema["row"]]).add("text", StringType()))
+    return unwrapped(found, pages.columns, text=F.col("text"), n_chars=F.length("text").cast("long"))

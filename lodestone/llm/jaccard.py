@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.components import labelled
+from lodestone.llm.rows import unwrapped, wrapped
 from lodestone.session import stored
 
 TREES, DEPTH = 20, 6
@@ -251,8 +252,8 @@ def without_near_duplicates(df: DataFrame, id_col: str, text_col: str, n: int =
     keys = found.groupBy(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash")).agg(F.max("keep").alias("_keep"), F.max("n_links").alias("links"), F.count("*").alias("_n"))
     # what stays as it is need not be looked up
     keys = stored(keys.where(~F.col("_keep") | ((F.col("_n") > 1) & (F.col("links") > 0))).select("_id", "_hash", "_keep"), "dropped")
-    side = F.broadcast(keys) if keys.count() * 48 <= 64 << 20 else keys
-    hashed = df.withColumns({"_i": F.col(id_col), "_x": F.xxhash64(F.col(text_col).cast("string"))})
-    both = hashed.join(side, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_x") == F.col("_hash")), "left")
-    single = both.where("_keep IS NULL").select(*df.columns)
-    return single.unionByName(both.where("_keep").dropDuplicates(["_i", "_x"]).select(*df.columns))
+    side = F.broadcast(keys) if keys.count() * 112 <= 64 << 20 else keys
+    rows = wrapped(df, id=F.col(id_col), hash=F.xxhash64(F.col(text_col).cast("string")))
+    both = rows.join(side, F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")), "left")
+    single = both.where("_keep IS NULL").select("row")
+    return unwrapped(single.unionByName(both.where("_keep").dropDuplicates(["id", "hash"]).select("row")), df.columns)

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.llm.rows import unwrapped, wrapped
+
 #: Characters counted as symbols, and the white space that separates words.
 SYMBOLS = "#*$%&|<>"
 SPACE = "\\x20\\x09-\\x0D"
@@ -78,16 +80,15 @@ def with_quality(df: DataFrame, text_col: str, rules: tuple[Rule, ...] = RULES)
     Words are runs without white space. base_failed: fewer than 10 words, or over a fifth of them in repeated windows. kept:
     not base_failed, and all rules hold. A NULL or empty text has no words and fails. One projection per row, no shuffle.
     """
-    own = [*METRICS, "base_failed", "kept", "mean_word_chars", "symbol_ratio", "dup_line_ratio", "repeat_ratio", "stop_word_ratio"]
-    keep = [c for c in df.columns if c not in own]
-    text = F.coalesce(F.col("_t"), F.lit(""))
-    df = df.withColumn("_t", F.col(text_col).cast("string")).select(*keep, "_t")
+    columns = df.columns
+    text = F.col("_t")
+    df = wrapped(df, _t=F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     df = df.withColumn("_w", F.filter(F.split(text, f"[{SPACE}]+"), lambda w: w != ""))
     df = df.withColumn("_l", F.filter(F.split(text, "\n"), lambda line: F.translate(line, " \t\n\x0b\f\r", "") != ""))
     df = _repeated_words(df)
     plain = F.transform("_w", lambda w: F.lower(F.btrim(w, F.lit(".,;:!?\"'()"))))
     counted = df.select(
-        *keep,
+        "row",
         F.size("_w").cast("long").alias("n_words"),
         F.length(F.translate(text, " \t\n\x0b\f\r", "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -102,4 +103,5 @@ def with_quality(df: DataFrame, text_col: str, rules: tuple[Rule, ...] = RULES)
         "repeat_ratio": F.col("n_repeat_words") / words, "stop_word_ratio": F.col("n_stop_words") / words,
         "base_failed": (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")),
     }
-    return counted.withColumns(ratios).withColumn("kept", ~F.col("base_failed") & compiled(rules))
+    judged = counted.withColumns(ratios).withColumn("kept", ~F.col("base_failed") & compiled(rules))
+    return unwrapped(judged, columns, **{c: F.col(c) for c in [*METRICS, *ratios, "kept"]})

@@ -15,6 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
+
+from lodestone.llm.rows import unwrapped, wrapped
 
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 20
@@ -250,16 +253,14 @@ def with_scores(df: DataFrame, text_col: str, lang_col: str, model: Model) -> Da
     Columns of these names are replaced. NULL and empty texts are scored as texts without words; NULL languages take the
     general threshold. No shuffle; a text is read whole, at any length.
     """
-    names = [c for c in df.columns if c not in ("score", "toxic_flag")]
-    rows = df.select(*names)
+    rows = wrapped(df, text=F.col(text_col).cast("string"), lang=F.col(lang_col).cast("string"))
     shared = df.sparkSession.sparkContext.broadcast(model)
-    at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         tables, known = model.tables(), {}
         for batch in batches:
-            texts = batch.column(at).to_pylist()
+            texts = batch.column(1).to_pylist()
             scores, docs, size = [], [], 0
             for i, text in enumerate(texts):
                 ids = np.array(buckets(text, known), np.int64) if text else np.empty(0, np.int64)
@@ -269,14 +270,11 @@ def with_scores(df: DataFrame, text_col: str, lang_col: str, model: Model) -> Da
                     scores.append(model.scores(model.logits(docs, tables).astype(float)))
                     docs, size = [], 0
             found = np.concatenate(scores) if scores else np.empty(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, "score"])
-
-    from pyspark.sql.types import DoubleType, StructType
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.float64())], names=["row", "lang", "score"])
 
-    schema = StructType([*rows.schema.fields]).add("score", DoubleType())
-    scored = rows.mapInArrow(run, schema)
+    scored = rows.mapInArrow(run, StructType([rows.schema["row"], rows.schema["lang"]]).add("score", DoubleType()))
     limit = F.lit(model.thresholds.get("", 0.5))
     for lang, value in sorted(model.thresholds.items()):
         if lang:
-            limit = F.when(F.col(lang_col) == lang, F.lit(value)).otherwise(limit)
-    return scored.withColumn("toxic_flag", F.col("score") >= limit)
+            limit = F.when(F.col("lang") == lang, F.lit(value)).otherwise(limit)
+    return unwrapped(scored, df.columns, score=F.col("score"), toxic_flag=F.col("score") >= limit)
