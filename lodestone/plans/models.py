@@ -192,7 +192,7 @@ def kmeans_cost(t):
 
 @query("ml_text_classify", """
 with s as (select doc_id, source, md5(doc_id::varchar) < 'b' train from documents),
-  x as (select doc_id, list_filter(string_split_regex(lower(text), '\W+'), lambda w: w <> '') ws from documents),
+  x as (select doc_id, list_filter(string_split_regex(lower(text), '\\W+'), lambda w: w <> '') ws from documents),
   o as (select doc_id, unnest(ws) token from x),
   v as (select 'raw' variant, doc_id, token, count(*) tf from o group by 2, 3
         union all select 'clean', doc_id, token, count(*) from o where not regexp_matches(token, '[0-9]') and length(token) >= 2 and token not in (STOP) group by 2, 3),
