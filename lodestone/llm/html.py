@@ -193,11 +193,15 @@ def _open(stack: list[_Open], tag: str, attrs: str, hashes: dict[tuple[int, str]
     stack.append(_Open(tag, path, not names, noise, comment))
 
 
+def digest(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text) >> 1
+
+
 def chosen(page: Page, low: frozenset[int] | set[int]) -> list[str]:
     """The texts of the blocks to keep: of articles if the page has any, else of its main element, else of the body.
 
-    A block goes if a node of its path is in `low`. Inside an article or main element, nodes without class and id are the
-    text itself, which many pages of a host may well share, and are never cut.
+    A block goes if a node of its path is in `low`, or its own text at its path. Inside an article or main element, nodes
+    without class and id are the text itself, which many pages of a host may well share, and are never cut.
     """
     kinds = {b.kind for b in page.blocks}
     wanted = "article" if "article" in kinds else "main" if "main" in kinds else ""
@@ -207,29 +211,33 @@ def chosen(page: Page, low: frozenset[int] | set[int]) -> list[str]:
             continue
         if low and any(p in low and (b.article < 0 or (i > b.article and not b.plain[i])) for i, p in enumerate(b.paths)):
             continue
-        if b.article < 0 and b.links_only:
+        if b.article < 0 and (b.links_only or (low and b.paths[-1] ^ digest(b.text) in low)):
             continue
         out.append(b.text)
     return out
 
 
-def node_importance(pages: DataFrame, host: str, html_col: str, gamma: float = 0.9) -> DataFrame:
-    """(host, path, pages, importance) of every node of the style tree of every host.
+STYLE, OWN, BELOW = 0, 1, 2
 
-    With m pages that have the node: presentation = entropy of its child sequences, to the base m; content = 1 - mean of
-    log_m(pages with the block) over the text blocks below it; importance = (1 - gamma^k) presentation + gamma^k content for k
-    child sequences. Counts are taken per (host, path, feature) first, so a large host is spread over all tasks.
+
+def style_counts(pages: DataFrame, host: str, html_col: str) -> DataFrame:
+    """(host, path, kind, feature, count): on how many pages of the host a node has a feature.
+
+    A feature is the child sequence of the node (STYLE), or the text of a block, at its own path if it stands outside the
+    article (OWN), else and at all nodes above it as BELOW. Large hosts are dealt out by feature.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes: dict[tuple[int, str], int] = {}
-        digest = lambda s: xxhash.xxh3_64_intdigest(s) >> 1
         for batch in batches:
             hosts, paths, kinds, features = [], [], [], []
             for name, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 page = parse(source, hashes)
-                rows = [(path, 0, digest(repr(sorted(styles)))) for path, styles in page.styles.items()]
-                rows += {(path, 1, digest(b.text)) for b in page.blocks for path in b.paths}
+                rows = {(path, STYLE, digest(repr(sorted(styles)))) for path, styles in page.styles.items()}
+                for b in page.blocks:
+                    feature = digest(b.text)
+                    rows.update((path, BELOW, feature) for path in b.paths[:-1])
+                    rows.add((b.paths[-1], OWN if b.article < 0 else BELOW, feature))
                 for path, kind, feature in rows:
                     hosts.append(name)
                     paths.append(path)
@@ -239,8 +247,17 @@ def node_importance(pages: DataFrame, host: str, html_col: str, gamma: float = 0
                                              names=["host", "path", "kind", "feature"])
 
     rows = pages.select(F.col(host).alias("host"), F.col(html_col).alias("html")).where("html IS NOT NULL").mapInArrow(run, "host string, path bigint, kind int, feature bigint")
-    counts = rows.groupBy("host", "path", "kind", "feature").count()
-    style, content = F.col("kind") == 0, F.col("kind") == 1
+    return rows.groupBy("host", "path", "kind", "feature").count()
+
+
+def node_importance(counts: DataFrame, gamma: float = 0.9) -> DataFrame:
+    """(host, path, pages, importance) of every node of the style tree of every host.
+
+    With m pages that have the node: presentation = entropy of its child sequences, to the base m; content = 1 - mean of
+    log_m(pages with the block) over the text blocks below it; importance = (1 - gamma^k) presentation + gamma^k content for k
+    child sequences.
+    """
+    style, content = F.col("kind") == STYLE, F.col("kind") != STYLE
     nodes = counts.groupBy("host", "path").agg(
         F.sum(F.when(style, F.col("count"))).alias("pages"),
         F.sum(F.when(style, F.col("count") * F.log("count"))).alias("n_log_n"),
@@ -254,19 +271,28 @@ def node_importance(pages: DataFrame, host: str, html_col: str, gamma: float = 0
     return nodes.select("host", "path", "pages", ((1 - weight) * presentation + weight * F.coalesce(text, F.lit(0.0))).alias("importance"))
 
 
+def template_parts(counts: DataFrame, threshold: float, least_pages: int) -> DataFrame:
+    """(host, part): nodes of low importance, and single blocks outside articles that most pages share at one path."""
+    nodes = node_importance(counts).where(F.col("pages") >= least_pages)
+    low = nodes.where(F.col("importance") < threshold).select("host", "path")
+    blocks = counts.where((F.col("kind") == OWN) & (F.col("count") >= least_pages)).join(nodes.select("host", "path", "pages"), ["host", "path"])
+    shared = blocks.where(1 - F.log("count") / F.log("pages") < threshold)
+    return low.select("host", F.col("path").alias("part")).unionByName(shared.select("host", F.col("path").bitwiseXOR(F.col("feature")).alias("part")))
+
+
 def with_main_text(pages: DataFrame, url_col: str, html_col: str, threshold: float = 0.2, least_pages: int = 4, broadcast_bytes: int = 32 << 20) -> DataFrame:
     """All rows and columns, with `text` and `n_chars`, replacing columns of these names.
 
-    Nodes below `threshold` on at least `least_pages` pages of their host are cut. The host is that of the URL, lower-cased;
-    a NULL URL is the host ''. A NULL or empty page has an empty text; repeated rows are pages of their own. The cut nodes are
+    Parts below `threshold` on at least `least_pages` pages of their host are cut. The host is that of the URL, lower-cased;
+    a NULL URL is the host ''. A NULL or empty page has an empty text; repeated rows are pages of their own. What is cut is
     stored; they reach the pages by broadcast if they take at most `broadcast_bytes`, else by a join on the host, whose large
     partitions Spark splits.
     """
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url_col).cast("string"), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/?#:]*)", 1), F.lit("")))
     source = F.col(html_col).cast("string")
-    nodes = node_importance(pages.select(host.alias("host"), source.alias("html")), "host", "html")
-    low = nodes.where((F.col("importance") < threshold) & (F.col("pages") >= least_pages))
-    cut = stored(low.groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("low")), "style-trees")
+    counts = style_counts(pages.select(host.alias("host"), source.alias("html")), "host", "html")
+    low = template_parts(counts, threshold, least_pages)
+    cut = stored(low.groupBy("host").agg(F.sort_array(F.collect_set("part")).alias("low")), "style-trees")
     size = cut.agg(F.sum(F.size("low") * 8 + 64)).first()[0] or 0
     cut = F.broadcast(cut) if size <= broadcast_bytes else cut
     rows = wrapped(pages, host=host, html=source).join(cut, "host", "left").select("row", "html", "low")
