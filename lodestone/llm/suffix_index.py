@@ -17,7 +17,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructType
 
+from lodestone.llm.rows import unwrapped, wrapped
 from lodestone.session import stored
 
 GRAM = 16
@@ -128,8 +130,36 @@ class SuffixFamily:
 
 
 def sized(df: DataFrame, row_bytes: int, most: int = 64 << 20) -> DataFrame:
-    """A stored table as it is, or to be broadcast if its rows take at most `most` bytes."""
-    return F.broadcast(df) if df.count() * (row_bytes + 16) <= most else df
+    """A stored table as it is, or to be broadcast if its rows, with what a hash table adds, take at most `most` bytes."""
+    return F.broadcast(df) if df.count() * (row_bytes + 64) <= most else df
+
+
+def packed(df: DataFrame, kind: str, values: str, merge: int = 0) -> DataFrame:
+    """(_id, _hash, values) with an array of structs of ints as one binary column of little-endian 32-bit integers.
+
+    With `merge`, pairs (first, last) of starts of strings of that length become disjoint, sorted (begin, end) pairs.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for own in batch.column(2):
+                fields = [f.to_numpy(zero_copy_only=False) for f in own.values.flatten()]
+                if merge:
+                    order = np.argsort(fields[0], kind="stable")
+                    begin, end = fields[0][order], np.maximum.accumulate(fields[1][order] + merge)
+                    heads = np.flatnonzero(np.concatenate([[True], begin[1:] > end[:-1]]))
+                    fields = [begin[heads], end[np.append(heads[1:], len(begin)) - 1]]
+                out.append(np.stack(fields, axis=1).astype("<i4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["_id", "_hash", values])
+
+    return df.mapInArrow(run, f"_id {kind}, _hash bigint, {values} binary")
+
+
+def sized_lists(df: DataFrame, values: str, most: int = 64 << 20) -> DataFrame:
+    """The same for a table of packed lists."""
+    size = df.agg(F.sum(F.octet_length(values) + 96)).first()[0] or 0
+    return F.broadcast(df) if size <= most else df
 
 
 def _told_apart(rows: DataFrame, key: list[str], same: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -147,9 +177,8 @@ def repeated_runs(family: SuffixFamily, docs: DataFrame) -> DataFrame:
     found, open_ones = _told_apart(family.candidates(), ["key"], ["same"])
     marks = [found.select("id", "text_hash", (F.col("p") - F.col("hi")).alias("first"), (F.col("p") - F.col("lo")).alias("last"))]
     runs_of = open_ones.groupBy("id", "text_hash").agg(F.collect_list(F.struct("p", "lo", "hi")).alias("runs"))
-    runs_of = stored(runs_of.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "runs"), "open-runs")
-    n_runs = runs_of.agg(F.sum(F.size("runs") * 16 + 32)).first()[0] or 0
-    side = F.broadcast(runs_of) if n_runs <= 64 << 20 else runs_of
+    runs_of = stored(packed(runs_of, family.id_type, "runs"), "open-runs")
+    side = sized_lists(runs_of, "runs")
     texts = docs.select("id", F.xxhash64("text").alias("text_hash"), "text").join(side, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
     kind = family.id_type
 
@@ -158,12 +187,12 @@ def repeated_runs(family: SuffixFamily, docs: DataFrame) -> DataFrame:
             row, ps, los, his, around = [], [], [], [], []
             for i, (text, own) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
                 data = (text or "").encode()
-                for r in own:
+                for p, lo, hi in np.frombuffer(own, "<i4").reshape(-1, 3).tolist():
                     row.append(i)
-                    ps.append(r["p"])
-                    los.append(r["lo"])
-                    his.append(r["hi"])
-                    around.append(data[r["p"] - r["hi"]:r["p"] - r["lo"] + length])
+                    ps.append(p)
+                    los.append(lo)
+                    his.append(hi)
+                    around.append(data[p - hi:p - lo + length])
             take = pa.array(row, pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), *(pa.array(x, pa.int32()) for x in (ps, los, his)), pa.array(around, pa.binary())],
                                              names=["id", "text_hash", "p", "lo", "hi", "around"])
@@ -219,59 +248,42 @@ def repeated_runs(family: SuffixFamily, docs: DataFrame) -> DataFrame:
     return out
 
 
-def deduplicated(df: DataFrame, id_col: str, text_col: str, length: int = 400, batches: int = 4) -> DataFrame:
-    """All rows and columns, with `kept` (binary), `n_bytes`, `n_removed` and `n_spans`; columns of these names are replaced.
+def deduplicated(df: DataFrame, id_col: str, text_col: str, length: int = 400, batches: int = 4, as_text: bool = False) -> DataFrame:
+    """All rows and columns, with `kept` (bytes, or with `as_text` text without characters of which a part was cut off), `n_bytes`, `n_removed` and `n_spans`; columns of these names are replaced.
 
     A byte goes if a string of `length` bytes that covers it starts anywhere else in the input as well, in the same text too.
     Matches do not cross texts and are judged on the input. NULL texts are empty; texts shorter than `length` stay whole;
     repeated rows of at least `length` bytes remove each other; no rows give no rows. The rows come in `batches` parts by hash.
     """
-    spark = df.sparkSession
-    keep = [c for c in df.columns if c not in ("kept", "n_bytes", "n_removed", "n_spans")]
-    docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    family = SuffixFamily(spark, docs.schema["id"].dataType.simpleString(), length)
+    rows = wrapped(df, id=F.col(id_col), text=F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    docs = rows.select("id", "text")
+    family = SuffixFamily(df.sparkSession, docs.schema["id"].dataType.simpleString(), length)
     for b in range(batches):
         family.ingest(docs.where(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(batches)) == b))
     marks = repeated_runs(family, docs)
-    spans = stored(marks.groupBy("id", "text_hash").agg(F.collect_list(F.struct("first", "last")).alias("_spans")).select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "_spans"), "spans")
-    size = spans.agg(F.sum(F.size("_spans") * 8 + 48)).first()[0] or 0
-    spans = F.broadcast(spans) if size <= 64 << 20 else spans
-    rows = df.select(*keep).withColumns({"_t": F.coalesce(F.col(text_col).cast("string"), F.lit("")), "_i": F.col(id_col)}).withColumn("_x", F.xxhash64("_t"))
-    rows = rows.join(spans, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_x") == F.col("_hash")), "left").select(*keep, "_t", "_spans")
-    first = len(keep)
+    starts = marks.groupBy("id", "text_hash").agg(F.collect_list(F.struct("first", "last")).alias("starts"))
+    spans = sized_lists(stored(packed(starts, family.id_type, "spans", merge=length), "spans"), "spans")
+    both = rows.join(spans, F.col("id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left").select("row", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, sizes, removed, counts = [], [], [], []
-            for text, own in zip(batch.column(first).to_pylist(), batch.column(first + 1)):
+            for text, own in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 data = text.encode()
                 at, gone, n, parts = 0, 0, 0, []
-                if own.is_valid:
-                    values = own.values
-                    begin, end = (values.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
-                    order = np.argsort(begin, kind="stable")
-                    begin, end = begin[order], np.maximum.accumulate(end[order] + length)
-                    heads = np.flatnonzero(np.concatenate([[True], begin[1:] > end[:-1]]))
-                    tails = np.append(heads[1:], len(begin)) - 1
-                    for a, b in zip(begin[heads].tolist(), end[tails].tolist()):
-                        parts.append(data[at:a])
-                        at, gone, n = b, gone + b - a, n + 1
+                for a, b in np.frombuffer(own or b"", "<i4").reshape(-1, 2).tolist():
+                    parts.append(data[at:a])
+                    at, gone, n = b, gone + b - a, n + 1
                 parts.append(data[at:])
-                kept.append(b"".join(parts))
+                kept.append("".join([p.decode("utf-8", "ignore") for p in parts]) if as_text else b"".join(parts))
                 sizes.append(len(data))
                 removed.append(gone)
                 counts.append(n)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:first], pa.array(kept, pa.binary()), *(pa.array(x, pa.int64()) for x in (sizes, removed, counts))],
-                                             names=[*keep, "kept", "n_bytes", "n_removed", "n_spans"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string() if as_text else pa.binary()), *(pa.array(x, pa.int64()) for x in (sizes, removed, counts))],
+                                             names=["row", "kept", "n_bytes", "n_removed", "n_spans"])
 
-    from pyspark.sql.types import BinaryType, LongType, StructType
-
-    schema = StructType([df.schema[c] for c in keep]).add("kept", BinaryType())
-    for name in ("n_bytes", "n_removed", "n_spans"):
+    new = ["n_bytes", "n_removed", "n_spans"]
+    schema = StructType([rows.schema["row"]]).add("kept", StringType() if as_text else BinaryType())
+    for name in new:
         schema = schema.add(name, LongType())
-    return rows.mapInArrow(cut, schema)
-
-
-def as_text(kept):
-    """Kept bytes as text: a character of which only a part is left goes."""
-    return F.regexp_replace(F.decode(kept, "UTF-8"), "�", "")
+    return unwrapped(both.mapInArrow(cut, schema), df.columns, **{c: F.col(c) for c in ["kept", *new]})
