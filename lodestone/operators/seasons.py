@@ -40,8 +40,9 @@ def season_scores(df: DataFrame, season: str, stats: Sequence[Stat]) -> DataFram
 
     spread = {}
     for s in stats:
-        spread[f"_avg_{s.name}"] = F.avg(f"_w_{s.name}")
-        spread[f"_std_{s.name}"] = F.stddev_pop(f"_w_{s.name}")
+        if s.attempts:  # only rates are standardised again
+            spread[f"_avg_{s.name}"] = F.avg(f"_w_{s.name}")
+            spread[f"_std_{s.name}"] = F.stddev_pop(f"_w_{s.name}")
         spread[f"_max_{s.name}"] = F.max(f"_w_{s.name}")
         spread[f"_min_{s.name}"] = F.min(f"_w_{s.name}")
     second = with_group_values(scored, [season], **spread)
