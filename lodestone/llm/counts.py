@@ -16,7 +16,7 @@ from lodestone.llm.pieces import PIECES, LibraryMemory
 @lru_cache(maxsize=2)
 def _tokenizers_counter(path: str):
     memory = LibraryMemory(path, PIECES, len)
-    return lambda text: sum(memory.of(text))
+    return lambda texts: [sum(pieces) for pieces in memory.of_many(texts)]
 
 
 @lru_cache(maxsize=2)
@@ -24,11 +24,11 @@ def _sentencepiece_counter(path: str):
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return lambda text: len(model.encode(text, num_threads=1))
+    return lambda texts: [len(ids) for ids in model.encode(texts, num_threads=1)]
 
 
 def counter(path: str):
-    """The function text -> number of tokens for a vocabulary file, one per worker.
+    """The function list of texts -> numbers of tokens for a vocabulary file, one per worker.
 
     A `.json` file must cut before white space, as byte-level vocabularies do; a `.model` file gets each text whole, since
     its normaliser may look across white space.
@@ -49,7 +49,7 @@ def with_token_counts(df: DataFrame, id_col: str, text_col: str, path: str, limi
         for batch in batches:
             texts = batch.column(1)
             sizes = pc.fill_null(pc.binary_length(texts.cast(pa.binary())), 0).cast(pa.int64())
-            tokens = pa.array([count(t) if t else 0 for t in texts.to_pylist()], pa.int64())
+            tokens = pa.array([n for part in range(0, len(texts), 64) for n in count([t or "" for t in texts.slice(part, 64).to_pylist()])], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), sizes, tokens], names=["id", "n_bytes", "n_tokens"])
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))

@@ -49,18 +49,26 @@ class PieceMemory:
         if batch:
             yield batch
 
+    def forget(self) -> None:
+        """Give the memory back, as a worker that has finished its rows may go on to other work."""
+        self.known.clear()
+
     def of(self, text: str) -> list:
         """The encoded pieces of a whole text, in order."""
-        pieces = self.split(text)
+        return self.of_many([text])[0]
+
+    def of_many(self, texts: list[str]) -> list[list]:
+        """The same for several texts, whose new pieces are encoded together."""
+        pieces = [self.split(t) for t in texts]
         known = self.known
-        fresh = [p for p in set(pieces) if p not in known]
+        fresh = [p for p in set().union(*pieces) if p not in known]
         if fresh:
             if len(known) + len(fresh) > self.limit:
                 known.clear()
-                fresh = list(set(pieces))
+                fresh = list(set().union(*pieces))
             for batch in self._batches(fresh):
                 known.update(zip(batch, self.encode_all(batch)))
-        out = list(map(known.__getitem__, pieces))
+        out = [list(map(known.__getitem__, p)) for p in pieces]
         for piece in fresh:
             if len(piece) > LONGEST_KEPT:
                 del known[piece]
@@ -73,7 +81,7 @@ class LibraryMemory:
     Special strings are cut out first, as the library does; what stands before one ends there.
     """
 
-    def __init__(self, path: str, pattern: re.Pattern, result: Callable):
+    def __init__(self, path: str, pattern: re.Pattern, result: Callable, limit: int = 300_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task has one core
@@ -86,9 +94,9 @@ class LibraryMemory:
         if any(t.lstrip or t.rstrip or t.single_word for t in special):
             raise ValueError("special tokens that take white space or words around them are not supported")
         self.marks = re.compile("(" + "|".join(re.escape(t.content) for t in sorted(special, key=lambda t: -len(t.content))) + ")") if special else None
-        self.memory = PieceMemory(pattern, lambda batch: [result(e) for e in tokenizer.encode_batch_fast(batch, add_special_tokens=False)])
+        self.memory = PieceMemory(pattern, lambda batch: [result(e) for e in tokenizer.encode_batch_fast(batch, add_special_tokens=False)], limit)
 
-    def of(self, text: str) -> list:
-        if self.marks is None or not self.marks.search(text):
-            return self.memory.of(text)
-        return [x for part in self.marks.split(text) if part for x in self.memory.of(part)]
+    def of_many(self, texts: list[str]) -> list[list]:
+        if self.marks is None or not any(map(self.marks.search, texts)):
+            return self.memory.of_many(texts)
+        return [[x for part in self.marks.split(t) if part for x in self.memory.of(part)] for t in texts]

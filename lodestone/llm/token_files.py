@@ -132,12 +132,12 @@ class Reader:
 
 @lru_cache(maxsize=2)
 def _word_encoder(path: str) -> LibraryMemory:
-    return LibraryMemory(path, WORDS, lambda e: np.array(e.ids, "<u4").tobytes())
+    return LibraryMemory(path, WORDS, lambda e: struct.pack(f"<{len(e.ids)}I", *e.ids), limit=800_000)
 
 
-def encode_text(text: str, path: str) -> np.ndarray:
-    """The ids of a whole text by a vocabulary that drops white space."""
-    return np.frombuffer(b"".join(_word_encoder(path).of(text)), "<u4")
+def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
+    """The ids of whole texts by a vocabulary that drops white space."""
+    return [np.frombuffer(b"".join(pieces), "<u4") for pieces in _word_encoder(path).of_many(texts)]
 
 
 def _opened(uri: str):
@@ -173,12 +173,13 @@ def write(df: DataFrame, id_col: str, text_col: str, path: str, end_id: int, bit
                 out = system.open_output_stream(f"{base}/part-{number:06d}.{attempt}.tmp")
                 writer = Writer(out, bits, unit)
             ids.append(batch.column(0))
-            for text in batch.column(1).to_pylist():
-                tokens = np.concatenate([encode_text(text or "", path), end])
-                if int(tokens.max()) >> bits:
-                    raise ValueError(f"an id does not fit {bits} bits")
-                starts.append(writer.add(tokens))
-                sizes.append(len(tokens))
+            for part in range(0, batch.num_rows, 64):
+                for encoded in encode_texts([t or "" for t in batch.column(1).slice(part, 64).to_pylist()], path):
+                    tokens = np.concatenate([encoded, end])
+                    if int(tokens.max()) >> bits:
+                        raise ValueError(f"an id does not fit {bits} bits")
+                    starts.append(writer.add(tokens))
+                    sizes.append(len(tokens))
         if writer is None:
             return
         documents = pa.table({"id": pa.chunked_array(ids), "start": pa.array(starts, pa.int64()), "n_tokens": pa.array(sizes, pa.int64())})
