@@ -27,8 +27,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of 400-byte strings that come more than once; a text of which nothing is left goes."""
-    cut = suffix_index.deduplicated(docs, "doc_id", "text", length=400)
-    text = F.when(F.col("n_removed") > 0, suffix_index.as_text("kept")).otherwise(F.col("text"))
+    cut = suffix_index.deduplicated(docs, "doc_id", "text", length=400, as_text=True)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))  # NULL stays NULL
     left = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_bytes")))
     return left.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 

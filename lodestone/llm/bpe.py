@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.pieces import PIECES, WHITE, PieceMemory
+from lodestone.llm.rows import sliced
 
 START = -1
 NEVER = 1 << 60
@@ -84,7 +85,7 @@ class Transducer:
     stable beside the state's token. Arcs are determined when first needed and kept, `limit` of them at most.
     """
 
-    def __init__(self, merges: Merges, limit: int = 300_000):
+    def __init__(self, merges: Merges, limit: int = 150_000):
         self.merges = merges
         self.limit = limit
         self.longest = max(map(len, merges.ranks))
@@ -177,8 +178,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str, pattern: str) -> PieceMemory:
-    """Text -> little-endian 32-bit ids per piece."""
+def _encoder(path: str, pattern: str) -> tuple[PieceMemory, Transducer]:
+    """The memory of pieces as little-endian 32-bit ids, and the transducer behind it."""
     import regex
 
     transducer = Transducer(Merges(read_ranks(path)))
@@ -198,7 +199,7 @@ def _encoder(path: str, pattern: str) -> PieceMemory:
             out.append(np.array(ids, "<i4").tobytes())
         return out
 
-    return PieceMemory(PIECES, encode_all, limit=400_000)
+    return PieceMemory(PIECES, encode_all, limit=300_000), transducer
 
 
 @lru_cache(maxsize=2)
@@ -207,7 +208,7 @@ def _decoder(path: str) -> dict[int, bytes]:
 
 
 def encode_text(text: str, path: str, pattern: str) -> np.ndarray:
-    return np.frombuffer(b"".join(_encoder(path, pattern).of(text)), "<i4")
+    return np.frombuffer(b"".join(_encoder(path, pattern)[0].of(text)), "<i4")
 
 
 def encode(df: DataFrame, id_col: str, text_col: str, path: str, pattern: str) -> DataFrame:
@@ -218,13 +219,14 @@ def encode(df: DataFrame, id_col: str, text_col: str, path: str, pattern: str) -
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in range(0, batch.num_rows, 512):  # ids take more room than their text
-                rows = batch.slice(part, 512)
-                found = [encode_text(t, path, pattern) if t else np.empty(0, "<i4") for t in rows.column(1).to_pylist()]
-                ends = np.concatenate([[0], np.cumsum([len(f) for f in found], dtype="i8")]).astype("i4")
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found) if found else np.empty(0, "<i4")))
-                yield pa.RecordBatch.from_arrays([rows.column(0), ids], names=["id", "ids"])
+        for rows in sliced(batches, 512):  # ids take more room than their text
+            found = [encode_text(t, path, pattern) if t else np.empty(0, "<i4") for t in rows.column(1).to_pylist()]
+            ends = np.concatenate([[0], np.cumsum([len(f) for f in found], dtype="i8")]).astype("i4")
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+            yield pa.RecordBatch.from_arrays([rows.column(0), ids], names=["id", "ids"])
+        memory, transducer = _encoder(path, pattern)
+        memory.forget()
+        transducer.arcs.clear()
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
@@ -239,13 +241,13 @@ def decode(df: DataFrame, id_col: str, path: str, chunk: int = 4096) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bytes_of = _decoder(path)
-        for batch in batches:
+        for rows in sliced(batches, 512):
             texts = []
-            for ids in batch.column(1):
-                values = ids.values.to_numpy(zero_copy_only=False).tolist() if ids.is_valid else []
+            for ids in rows.column(1):
+                values = ids.values.to_numpy(zero_copy_only=False) if ids.is_valid else np.empty(0, "<i4")
                 stream = StreamDecoder(bytes_of)
-                texts.append("".join([stream.feed(values[i:i + chunk]) for i in range(0, len(values), chunk)]) + stream.finish())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["id", "ids", "text"])
+                texts.append("".join([stream.feed(values[i:i + chunk].tolist()) for i in range(0, len(values), chunk)]) + stream.finish())
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(texts, pa.string())], names=["id", "ids", "text"])
 
     rows = df.select(F.col(id_col).alias("id"), "ids")
     kind = rows.schema["id"].dataType.simpleString()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,3 +20,10 @@ def unwrapped(df: DataFrame, columns: list[str], **new: Column) -> DataFrame:
     return df.select(*kept, *[c.alias(name) for name, c in new.items()])
 
 
+
+
+def sliced(batches: Iterable[pa.RecordBatch], n: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that few texts are held as Python strings at once."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, n):
+            yield batch.slice(first, n)

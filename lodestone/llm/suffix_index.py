@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructType
 
-from lodestone.llm.rows import unwrapped, wrapped
+from lodestone.llm.rows import sliced, unwrapped, wrapped
 from lodestone.session import stored
 
 GRAM = 16
@@ -266,7 +266,7 @@ def deduplicated(df: DataFrame, id_col: str, text_col: str, length: int = 400, b
     both = rows.join(spans, F.col("id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left").select("row", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             kept, sizes, removed, counts = [], [], [], []
             for text, own in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 data = text.encode()

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from lodestone.llm.rows import unwrapped, wrapped
+from lodestone.llm.rows import sliced, unwrapped, wrapped
 
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 20
@@ -32,7 +32,7 @@ def buckets(text: str, known: dict[str, int]) -> list[int]:
     for word in found:
         bucket = known.get(word)
         if bucket is None:
-            if len(known) > 300_000:
+            if len(known) > 200_000:
                 known.clear()
             bucket = known[word] = 1 + zlib.crc32(word.encode()) % (BUCKETS - 1)
         out.append(bucket)
@@ -259,7 +259,7 @@ def with_scores(df: DataFrame, text_col: str, lang_col: str, model: Model) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         tables, known = model.tables(), {}
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(1).to_pylist()
             scores, docs, size = [], [], 0
             for i, text in enumerate(texts):

@@ -141,6 +141,16 @@ def test_repeated_strings_against_brute_force(spark):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def test_kept_text_has_no_broken_characters(spark):
+    passage = "é" * 300 + "漢字" * 100
+    texts = ["x" + passage + "é tail", "yy" + passage + "ñ other", "漢" + passage[300:] + "\U0001F600 end \ufffd"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = [b.decode("utf-8", "ignore") for b, _, _ in cut([t.encode() for t in texts], 400)]
+    assert any(b.decode("utf-8", "replace") != w for (b, _, _), w in zip(cut([t.encode() for t in texts], 400), want))
+    got = {r["doc_id"]: r["kept"] for r in suffix_index.deduplicated(df, "doc_id", "text", as_text=True).collect()}
+    assert [got[i] for i in range(3)] == want
+
+
 def test_other_length_and_long_texts(spark, monkeypatch):
     monkeypatch.setattr(suffix_index, "CHUNK", 700)  # runs are cut at the ends of chunks
     texts = repeated_texts()
