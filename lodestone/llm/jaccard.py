@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.components import labelled
-from lodestone.llm.rows import unwrapped, wrapped
+from lodestone.llm.rows import sliced, unwrapped, wrapped
 from lodestone.session import stored
 
 TREES, DEPTH = 20, 6
@@ -53,7 +53,7 @@ class Shingler:
         known = self.known
         fresh = [w for w in set(words) if w not in known]
         if fresh:
-            if len(known) + len(fresh) > 300_000:
+            if len(known) + len(fresh) > 150_000:
                 known.clear()
                 fresh = list(set(words))
             known.update((w, xxhash.xxh3_64_intdigest(w) >> 1) for w in fresh)
@@ -88,7 +88,7 @@ def sketched(df: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(n)
-        for batch in batches:
+        for batch in sliced(batches):
             contents, sizes, signatures = [], [], []
             for text in batch.column(2).to_pylist():
                 grams = shingle(text)
@@ -211,7 +211,7 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, n: int = 5, thres
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(n)
-        for batch in batches:
+        for batch in sliced(batches):
             found = pa.array([shingle(t).tobytes() for t in batch.column(4).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], found], names=["content", "group", "copies", "blocks", "grams"])
 

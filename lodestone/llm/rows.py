@@ -27,3 +27,4 @@ def sliced(batches: Iterable[pa.RecordBatch], n: int = 1000) -> Iterator[pa.Reco
     for batch in batches:
         for first in range(0, batch.num_rows, n):
             yield batch.slice(first, n)
+    pa.default_memory_pool().release_unused()  # the worker may go on to other work
