@@ -172,10 +172,11 @@ def _evidence(texts: list[np.ndarray], labels: np.ndarray, row_of: np.ndarray, s
 def _calibrate(model: Model, docs: list[np.ndarray], labels: np.ndarray, langs: list[str], least: int = 20) -> None:
     """Scale the logits by logistic regression on the rows kept out; then, by language, the threshold with the best F1.
 
-    A language with fewer than `least` rows of either class takes the threshold over all rows.
+    A language with fewer than `least` rows of either class takes the threshold over all rows; with fewer than five rows of a
+    class in all there is nothing to go by, and the threshold is 0.7.
     """
     if len(docs) == 0 or labels.min() == labels.max():
-        model.thresholds = {"": 0.5}
+        model.thresholds = {"": 0.7}
         return
     tables = model.tables()
     logits = np.concatenate([model.logits(docs[i:i + 64], tables) for i in range(0, len(docs), 64)]).astype(float)
@@ -194,7 +195,7 @@ def _calibrate(model: Model, docs: list[np.ndarray], labels: np.ndarray, langs:
     if a > 0 and np.isfinite([a, b]).all():
         model.scale = (float(a), float(b))
     scores = model.scores(logits)
-    model.thresholds[""] = _best_threshold(scores, labels)
+    model.thresholds[""] = _best_threshold(scores, labels) if min(labels.sum(), (1 - labels).sum()) >= 5 else 0.7
     tags = np.array(langs)
     for lang in sorted(set(langs)):
         own = tags == lang
@@ -273,7 +274,7 @@ def with_scores(df: DataFrame, text_col: str, lang_col: str, model: Model) -> Da
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.float64())], names=["row", "lang", "score"])
 
     scored = rows.mapInArrow(run, StructType([rows.schema["row"], rows.schema["lang"]]).add("score", DoubleType()))
-    limit = F.lit(model.thresholds.get("", 0.5))
+    limit = F.lit(model.thresholds.get("", 0.7))
     for lang, value in sorted(model.thresholds.items()):
         if lang:
             limit = F.when(F.col("lang") == lang, F.lit(value)).otherwise(limit)
