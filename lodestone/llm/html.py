@@ -2,8 +2,9 @@
 
 All pages of a host are merged into one tree of element paths. Each node gets an importance from two entropies: of its
 presentation, that is, how the child sequences at this path vary over the pages, and of its content, that is, how few pages
-share the text blocks below it. Branches of low importance are templates and are cut from each page. What a page declares
-itself (its article, its menus, adverts, forms and comments) goes before the statistics, because a host of few pages has none.
+share the text blocks below it. A branch is a template, and is cut from each page, if its node and all nodes and texts below
+are of low importance. What a page declares itself (its article, its menus, adverts, forms and comments) goes before the
+statistics, because a host of few pages has none.
 """
 
 from __future__ import annotations
@@ -63,6 +64,7 @@ class Block:
 class Page:
     blocks: list[Block] = field(default_factory=list)
     styles: dict[int, set[tuple[str, ...]]] = field(default_factory=dict)
+    above: dict[int, int] = field(default_factory=dict)  # the path of the element above
 
 
 @dataclass
@@ -102,6 +104,7 @@ def parse(source: str, hashes: dict[tuple[int, str], int]) -> Page:
     def pop() -> None:
         done = stack.pop()
         page.styles.setdefault(done.path, set()).add(tuple(done.children))
+        page.above[done.path] = stack[-1].path
 
     for match in TOKEN.finditer(source):
         if match.start() > at:
@@ -217,64 +220,89 @@ def chosen(page: Page, low: frozenset[int] | set[int]) -> list[str]:
     return out
 
 
-STYLE, OWN, BELOW = 0, 1, 2
+STYLE, OWN, BELOW, INSIDE, UNDER = 0, 1, 2, 3, 4
+#: Rows that leave Python at once; a page of very deep elements has many.
+ROWS = 200_000
 
 
 def style_counts(pages: DataFrame, host: str, html_col: str) -> DataFrame:
     """(host, path, kind, feature, count): on how many pages of the host a node has a feature.
 
-    A feature is the child sequence of the node (STYLE), or the text of a block, at its own path if it stands outside the
-    article (OWN), else and at all nodes above it as BELOW. Large hosts are dealt out by feature.
+    A feature is the child sequence of the node (STYLE), or the text of a block: at its own path as OWN if it stands outside
+    the article, else as INSIDE, and at all nodes above it as BELOW. UNDER rows have each node below the path, their count says
+    nothing. Large hosts are dealt out by feature.
     """
 
+    def packed(rows: list[tuple[str, int, int, int]]) -> pa.RecordBatch:
+        types = {"host": pa.string(), "path": pa.int64(), "kind": pa.int32(), "feature": pa.int64()}
+        return pa.RecordBatch.from_arrays([pa.array(values, t) for values, t in zip(zip(*rows), types.values())], names=list(types))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes: dict[tuple[int, str], int] = {}
+        told: set[tuple[str, int]] = set()
+        out: list[tuple[str, int, int, int]] = []
         for batch in batches:
-            hosts, paths, kinds, features = [], [], [], []
             for name, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 page = parse(source, hashes)
                 rows = {(path, STYLE, digest(repr(sorted(styles)))) for path, styles in page.styles.items()}
                 for b in page.blocks:
                     feature = digest(b.text)
                     rows.update((path, BELOW, feature) for path in b.paths[:-1])
-                    rows.add((b.paths[-1], OWN if b.article < 0 else BELOW, feature))
-                for path, kind, feature in rows:
-                    hosts.append(name)
-                    paths.append(path)
-                    kinds.append(kind)
-                    features.append(feature)
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.int64()), pa.array(kinds, pa.int32()), pa.array(features, pa.int64())],
-                                             names=["host", "path", "kind", "feature"])
+                    rows.add((b.paths[-1], OWN if b.article < 0 else INSIDE, feature))
+                out.extend((name, *row) for row in rows)
+                for path in page.above:
+                    if (name, path) in told:
+                        continue
+                    if len(told) > 200_000:
+                        told.clear()
+                    told.add((name, path))
+                    up = path
+                    while up:  # the root is 0
+                        up = page.above[up]
+                        out.append((name, up, UNDER, path))
+                    if len(out) >= ROWS:
+                        yield packed(out)
+                        out = []
+            if out:
+                yield packed(out)
+                out = []
 
     rows = pages.select(F.col(host).alias("host"), F.col(html_col).alias("html")).where("html IS NOT NULL").mapInArrow(run, "host string, path bigint, kind int, feature bigint")
     return rows.groupBy("host", "path", "kind", "feature").count()
 
 
 def node_importance(counts: DataFrame, gamma: float = 0.9) -> DataFrame:
-    """(host, path, pages, importance) of every node of the style tree of every host.
+    """(host, path, pages, importance, text) of every node of the style tree of every host; text is that of its own texts, or NULL.
 
     With m pages that have the node: presentation = entropy of its child sequences, to the base m; content = 1 - mean of
     log_m(pages with the block) over the text blocks below it; importance = (1 - gamma^k) presentation + gamma^k content for k
-    child sequences.
+    child sequences. Texts that stand in the node itself are leaves, with the content of them alone.
     """
-    style, content = F.col("kind") == STYLE, F.col("kind") != STYLE
+    style, content, own = F.col("kind") == STYLE, F.col("kind").isin(OWN, INSIDE, BELOW), F.col("kind").isin(OWN, INSIDE)
     nodes = counts.groupBy("host", "path").agg(
         F.sum(F.when(style, F.col("count"))).alias("pages"),
         F.sum(F.when(style, F.col("count") * F.log("count"))).alias("n_log_n"),
         F.count(F.when(style, 1)).alias("styles"),
         F.avg(F.when(content, F.log("count"))).alias("shared"),
+        F.avg(F.when(own, F.log("count"))).alias("own"),
     )
     m = F.log("pages")
     presentation = F.when(F.col("pages") > 1, (m - F.col("n_log_n") / F.col("pages")) / m).otherwise(1.0)
     text = F.when(F.col("pages") > 1, 1 - F.col("shared") / m).otherwise(1.0)
     weight = F.when(F.col("shared").isNull(), 0.0).otherwise(F.pow(F.lit(gamma), F.col("styles")))
-    return nodes.select("host", "path", "pages", ((1 - weight) * presentation + weight * F.coalesce(text, F.lit(0.0))).alias("importance"))
+    leaf = F.when(F.col("own").isNull(), None).when(F.col("pages") > 1, 1 - F.col("own") / m).otherwise(1.0)
+    return nodes.select("host", "path", "pages", ((1 - weight) * presentation + weight * F.coalesce(text, F.lit(0.0))).alias("importance"), leaf.alias("text"))
 
 
 def template_parts(counts: DataFrame, threshold: float, least_pages: int) -> DataFrame:
-    """(host, part): nodes of low importance, and single blocks outside articles that most pages share at one path."""
-    nodes = node_importance(counts).where(F.col("pages") >= least_pages)
-    low = nodes.where(F.col("importance") < threshold).select("host", "path")
+    """(host, part): nodes of low importance with nothing above `threshold` below them, and single blocks outside articles
+    that most pages share at one path.
+    """
+    found = node_importance(counts)
+    high = found.where(F.greatest("importance", "text") >= threshold).select("host", F.col("path").alias("feature"))
+    under = counts.where(F.col("kind") == UNDER).select("host", "path", "feature").join(high, ["host", "feature"]).select("host", "path").distinct()
+    nodes = found.where(F.col("pages") >= least_pages)
+    low = nodes.where(F.greatest("importance", "text") < threshold).select("host", "path").join(under, ["host", "path"], "left_anti")
     blocks = counts.where((F.col("kind") == OWN) & (F.col("count") >= least_pages)).join(nodes.select("host", "path", "pages"), ["host", "path"])
     shared = blocks.where(1 - F.log("count") / F.log("pages") < threshold)
     return low.select("host", F.col("path").alias("part")).unionByName(shared.select("host", F.col("path").bitwiseXOR(F.col("feature")).alias("part")))
@@ -290,7 +318,7 @@ def with_main_text(pages: DataFrame, url_col: str, html_col: str, threshold: flo
     """
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url_col).cast("string"), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/?#:]*)", 1), F.lit("")))
     source = F.col(html_col).cast("string")
-    counts = style_counts(pages.select(host.alias("host"), source.alias("html")), "host", "html")
+    counts = stored(style_counts(pages.select(host.alias("host"), source.alias("html")), "host", "html"), "style-counts")
     low = template_parts(counts, threshold, least_pages)
     cut = stored(low.groupBy("host").agg(F.sort_array(F.collect_set("part")).alias("low")), "style-trees")
     size = cut.agg(F.sum(F.size("low") * 8 + 64)).first()[0] or 0

@@ -216,6 +216,19 @@ def test_articles_with_the_same_text_are_kept(spark):
     assert {r["text"] for r in html.with_main_text(df, "url", "html").collect()} == {"Same The same article."}
 
 
+@pytest.mark.parametrize("page", ["<div class='c'>{rest}<p>{text}</p></div>", "<div class='c'>{text}{rest}</div>"])
+def test_own_text_below_a_node_of_many_child_sequences_is_kept(spark, page):
+    # 16 child sequences, one of them on 985 of 1,000 pages
+    rest = ["".join(f"<h{1 + k // 4}></h{1 + k // 4}><ul class='u{chr(97 + k)}'></ul>" for k in ([i % 15] if i < 15 else [])) for i in range(1000)]
+    rows = [(i, "http://hot.org/", "<body>" + page.format(rest=rest[i], text=f"The text of page {i}.") + "<div class='t'><p>On every page</p></div></body>") for i in range(1000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    counts = html.style_counts(df.select(F.lit("h").alias("host"), "html"), "host", "html")
+    many = counts.where(F.col("kind") == html.STYLE).groupBy("path").count().where("count = 16").select("path")
+    assert html.node_importance(counts).join(many, "path").first()["importance"] < 0.2
+    got = {r["page_id"]: r["text"] for r in html.with_main_text(df, "url", "html").collect()}
+    assert got == {i: f"The text of page {i}." for i in range(1000)}
+
+
 def labelled_texts(n, seed):
     rng = random.Random(seed)
     bad = {"en": ["vile", "scorn", "brute"], "de": ["wüst", "grob"]}
