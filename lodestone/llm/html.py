@@ -14,13 +14,14 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from lodestone.llm.rows import unwrapped, wrapped
+from lodestone.llm.rows import sliced, unwrapped, wrapped
 from lodestone.session import stored
 
 TOKEN = re.compile(
@@ -225,32 +226,58 @@ STYLE, OWN, BELOW, INSIDE, UNDER = 0, 1, 2, 3, 4
 ROWS = 200_000
 
 
+def distinct_pages(pages: DataFrame, host: str, html_col: str) -> DataFrame:
+    """(host, page, features) of every page of a host, those with the same blocks at the same paths once.
+
+    features: rows of path, kind and feature as 64-bit integers; see `style_counts`. UNDER has the path of the element above.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes: dict[tuple[int, str], int] = {}
+        for batch in sliced(batches):
+            found, features = [], []
+            for source in batch.column(1).to_pylist():
+                page = parse(source, hashes)
+                rows = {(path, STYLE, digest(repr(sorted(styles)))) for path, styles in page.styles.items()}
+                texts = [digest(b.text) for b in page.blocks]
+                for b, feature in zip(page.blocks, texts):
+                    rows.update((path, BELOW, feature) for path in b.paths[:-1])
+                    rows.add((b.paths[-1], OWN if b.article < 0 else INSIDE, feature))
+                rows.update((path, UNDER, above) for path, above in page.above.items())
+                found.append(digest(repr([(b.paths[-1], feature) for b, feature in zip(page.blocks, texts)])))
+                features.append(np.array(sorted(rows), "<i8").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64()), pa.array(features, pa.binary())], names=["host", "page", "features"])
+
+    rows = pages.select(F.col(host).alias("host"), F.col(html_col).alias("html")).where("html IS NOT NULL").mapInArrow(run, "host string, page bigint, features binary")
+    return rows.groupBy("host", "page").agg(F.min("features").alias("features"))
+
+
 def style_counts(pages: DataFrame, host: str, html_col: str) -> DataFrame:
-    """(host, path, kind, feature, count): on how many pages of the host a node has a feature.
+    """(host, path, kind, feature, count): on how many distinct pages of the host a node has a feature.
 
     A feature is the child sequence of the node (STYLE), or the text of a block: at its own path as OWN if it stands outside
     the article, else as INSIDE, and at all nodes above it as BELOW. UNDER rows have each node below the path, their count says
     nothing. Large hosts are dealt out by feature.
     """
 
-    def packed(rows: list[tuple[str, int, int, int]]) -> pa.RecordBatch:
-        types = {"host": pa.string(), "path": pa.int64(), "kind": pa.int32(), "feature": pa.int64()}
-        return pa.RecordBatch.from_arrays([pa.array(values, t) for values, t in zip(zip(*rows), types.values())], names=list(types))
+    def packed(hosts: list[str], sizes: list[int], rows: np.ndarray) -> pa.RecordBatch:
+        names = pa.array(hosts, pa.string()).take(pa.array(np.repeat(np.arange(len(hosts)), sizes)))
+        return pa.RecordBatch.from_arrays([names, pa.array(rows[:, 0]), pa.array(rows[:, 1].astype(np.int32)), pa.array(rows[:, 2])], names=["host", "path", "kind", "feature"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes: dict[tuple[int, str], int] = {}
         told: set[tuple[str, int]] = set()
-        out: list[tuple[str, int, int, int]] = []
-        for batch in batches:
-            for name, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                page = parse(source, hashes)
-                rows = {(path, STYLE, digest(repr(sorted(styles)))) for path, styles in page.styles.items()}
-                for b in page.blocks:
-                    feature = digest(b.text)
-                    rows.update((path, BELOW, feature) for path in b.paths[:-1])
-                    rows.add((b.paths[-1], OWN if b.article < 0 else INSIDE, feature))
-                out.extend((name, *row) for row in rows)
-                for path in page.above:
+        for batch in sliced(batches):
+            hosts = batch.column(0).to_pylist()
+            pages = [np.frombuffer(f, "<i8").reshape(-1, 3) for f in batch.column(1).to_pylist()]
+            rows = np.concatenate(pages)
+            sizes = np.repeat(np.arange(len(pages)), [len(p) for p in pages])
+            plain = rows[:, 1] != UNDER
+            yield packed(hosts, np.bincount(sizes[plain], minlength=len(pages)), rows[plain])
+            names, chains = [], []
+            for name, page in zip(hosts, pages):
+                own = page[page[:, 1] == UNDER]
+                above = dict(zip(own[:, 0].tolist(), own[:, 2].tolist()))
+                for path in above:
                     if (name, path) in told:
                         continue
                     if len(told) > 200_000:
@@ -258,16 +285,16 @@ def style_counts(pages: DataFrame, host: str, html_col: str) -> DataFrame:
                     told.add((name, path))
                     up = path
                     while up:  # the root is 0
-                        up = page.above[up]
-                        out.append((name, up, UNDER, path))
-                    if len(out) >= ROWS:
-                        yield packed(out)
-                        out = []
-            if out:
-                yield packed(out)
-                out = []
-
-    rows = pages.select(F.col(host).alias("host"), F.col(html_col).alias("html")).where("html IS NOT NULL").mapInArrow(run, "host string, path bigint, kind int, feature bigint")
+                        up = above[up]
+                        names.append(name)
+                        chains.append((up, UNDER, path))
+                    if len(chains) >= ROWS:
+                        yield packed(names, [1] * len(names), np.array(chains, np.int64))
+                        names, chains = [], []
+            if chains:
+                yield packed(names, [1] * len(names), np.array(chains, np.int64))
+
+    rows = distinct_pages(pages, host, html_col).select("host", "features").mapInArrow(run, "host string, path bigint, kind int, feature bigint")
     return rows.groupBy("host", "path", "kind", "feature").count()
 
 
@@ -296,7 +323,7 @@ def node_importance(counts: DataFrame, gamma: float = 0.9) -> DataFrame:
 
 def template_parts(counts: DataFrame, threshold: float, least_pages: int) -> DataFrame:
     """(host, part): nodes of low importance with nothing above `threshold` below them, and single blocks outside articles
-    that most pages share at one path.
+    that most pages of the host share at one path: more than half of them, whatever their number.
     """
     found = node_importance(counts)
     high = found.where(F.greatest("importance", "text") >= threshold).select("host", F.col("path").alias("feature"))
@@ -305,6 +332,7 @@ def template_parts(counts: DataFrame, threshold: float, least_pages: int) -> Dat
     low = nodes.where(F.greatest("importance", "text") < threshold).select("host", "path").join(under, ["host", "path"], "left_anti")
     blocks = counts.where((F.col("kind") == OWN) & (F.col("count") >= least_pages)).join(nodes.select("host", "path", "pages"), ["host", "path"])
     shared = blocks.where(1 - F.log("count") / F.log("pages") < threshold)
+    shared = shared.join(found.where("path = 0").select("host", F.col("pages").alias("all_pages")), "host").where(2 * F.col("count") > F.col("all_pages"))
     return low.select("host", F.col("path").alias("part")).unionByName(shared.select("host", F.col("path").bitwiseXOR(F.col("feature")).alias("part")))
 
 
@@ -312,8 +340,8 @@ def with_main_text(pages: DataFrame, url_col: str, html_col: str, threshold: flo
     """All rows and columns, with `text` and `n_chars`, replacing columns of these names.
 
     Parts below `threshold` on at least `least_pages` pages of their host are cut. The host is that of the URL, lower-cased;
-    a NULL URL is the host ''. A NULL or empty page has an empty text; repeated rows are pages of their own. What is cut is
-    stored; they reach the pages by broadcast if they take at most `broadcast_bytes`, else by a join on the host, whose large
+    a NULL URL is the host ''. A NULL or empty page has an empty text; repeated rows keep rows of their own, but pages with equal
+    blocks count once. What is cut is stored; they reach the pages by broadcast if they take at most `broadcast_bytes`, else by a join on the host, whose large
     partitions Spark splits.
     """
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url_col).cast("string"), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/?#:]*)", 1), F.lit("")))

@@ -229,6 +229,16 @@ def test_own_text_below_a_node_of_many_child_sequences_is_kept(spark, page):
     assert got == {i: f"The text of page {i}." for i in range(1000)}
 
 
+@pytest.mark.parametrize("copies, last", [(334, ""), (334, "<p>Seen {i} times</p>"), (600, "")])
+def test_copies_on_a_host_without_articles_are_kept(spark, copies, last):
+    page = "<body><div><p>Call us now</p><p>{text}</p><p>{more}</p>" + last + "</div></body>"
+    rows = [(i, "http://hot.org/", page.format(i=i, text="The copied text.", more="And its end.") if i < copies else page.format(i=i, text=f"Text {i}.", more=f"End {i}.")) for i in range(1000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.with_main_text(df, "url", "html").collect()}
+    seen = lambda i: f" Seen {i} times" if last else ""
+    assert got == {i: ("The copied text. And its end." if i < copies else f"Text {i}. End {i}.") + seen(i) for i in range(1000)}
+
+
 def labelled_texts(n, seed):
     rng = random.Random(seed)
     bad = {"en": ["vile", "scorn", "brute"], "de": ["wüst", "grob"]}
