@@ -1,7 +1,8 @@
 """A convolutional text classifier: hashed word embeddings, filters of several widths, max pooling, trained in numpy.
 
 Words of fewer than MIN_DOCS training texts keep a zero embedding, so that a rare word says nothing. A score depends on the
-text alone. Thresholds are calibrated by language on rows kept out of the fit.
+text alone. Scores and thresholds by language are calibrated on all labelled rows that the fit did not use, each class weighted
+to its share of all labelled rows: the fit itself takes a bounded sample of each class.
 """
 
 from __future__ import annotations
@@ -18,11 +19,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from lodestone.llm.rows import sliced, unwrapped, wrapped
+from lodestone.operators.ordered import broadcast_if_small
+from lodestone.session import stored
 
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 20
 WIDTHS = (1, 2, 3)
 PAD = max(WIDTHS)
+#: Logits are counted in steps of 1 / STEPS, those beyond LIMIT at LIMIT.
+STEPS, LIMIT = 64, 32
+#: Rows of either class from which on a language has a threshold of its own.
+LEAST = 20
 
 
 def buckets(text: str, known: dict[str, int]) -> list[int]:
@@ -155,7 +162,9 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, langs: list[str], dim: int
             seen_rows[rows] += pull**2
             embedding[rows] -= rate * pull / np.sqrt(seen_rows[rows])
             embedding[0] = 0
-    _calibrate(model, [docs[i] for i in np.flatnonzero(kept_out)], labels[kept_out], [langs[i] for i in np.flatnonzero(kept_out)])
+    tables, rest = model.tables(), [docs[i] for i in np.flatnonzero(kept_out)]
+    logits = np.concatenate([np.empty(0), *[model.logits(rest[i:i + 64], tables) for i in range(0, len(rest), 64)]])
+    _calibrate(model, logits, labels[kept_out], [langs[i] for i in np.flatnonzero(kept_out)])
     return model
 
 
@@ -169,48 +178,58 @@ def _evidence(texts: list[np.ndarray], labels: np.ndarray, row_of: np.ndarray, s
     return (0.1 * odds / np.sqrt(1 / (counts[1] + 0.5) + 1 / (counts[0] + 0.5))).astype(np.float32)
 
 
-def _calibrate(model: Model, docs: list[np.ndarray], labels: np.ndarray, langs: list[str], least: int = 20) -> None:
-    """Scale the logits by logistic regression on the rows kept out; then, by language, the threshold with the best F1.
+def _calibrate(model: Model, logits: np.ndarray, labels: np.ndarray, langs: list[str], counts: np.ndarray | None = None, shares: tuple[float, float] = (1.0, 1.0)) -> None:
+    """Scale the logits by logistic regression on rows the fit did not use; then, by language, the threshold with the best F1.
 
-    A language with fewer than `least` rows of either class takes the threshold over all rows; with fewer than five rows of a
-    class in all there is nothing to go by, and the threshold is 0.7.
+    A row stands for `counts` texts, and each of them for shares[label] texts of its class. A language with fewer than LEAST
+    texts of either class takes the threshold over all; with fewer than five of a class in all there is nothing to go by, and
+    the threshold is 0.7.
     """
-    if len(docs) == 0 or labels.min() == labels.max():
+    model.scale, model.thresholds = (1.0, 0.0), {}
+    if len(logits) == 0 or labels.min() == labels.max():
         model.thresholds = {"": 0.7}
         return
-    tables = model.tables()
-    logits = np.concatenate([model.logits(docs[i:i + 64], tables) for i in range(0, len(docs), 64)]).astype(float)
+    counts = np.ones(len(logits)) if counts is None else counts.astype(float)
+    weights = counts * np.where(labels == 1, shares[1], shares[0])
     a, b = 1.0, 0.0
     # soft targets keep the slope finite when the classes do not overlap
-    n1, n0 = labels.sum(), (1 - labels).sum()
+    n1, n0 = counts[labels == 1].sum(), counts[labels == 0].sum()
     target = np.where(labels == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a * logits + b, -30, 30)))
-        w = np.maximum(p * (1 - p), 1e-9)
+        w, off = weights * np.maximum(p * (1 - p), 1e-9), weights * (p - target)
         h = np.array([[np.sum(w * logits**2), np.sum(w * logits)], [np.sum(w * logits), np.sum(w)]]) + 1e-6 * np.eye(2)
-        step = np.linalg.solve(h, [np.sum((p - target) * logits), np.sum(p - target)])
+        step = np.linalg.solve(h, [np.sum(off * logits), np.sum(off)])
         a, b = a - step[0], b - step[1]
         if np.abs(step).max() < 1e-8:
             break
     if a > 0 and np.isfinite([a, b]).all():
         model.scale = (float(a), float(b))
     scores = model.scores(logits)
-    model.thresholds[""] = _best_threshold(scores, labels) if min(labels.sum(), (1 - labels).sum()) >= 5 else 0.7
+    model.thresholds[""] = _best_threshold(scores, labels, weights) if min(n0, n1) >= 5 else 0.7
     tags = np.array(langs)
-    for lang in sorted(set(langs)):
+    for lang in sorted(set(langs) - {""}):
         own = tags == lang
-        if min(labels[own].sum(), (1 - labels[own]).sum()) >= least:
-            model.thresholds[lang] = _best_threshold(scores[own], labels[own])
+        if min(counts[own & (labels == 1)].sum(), counts[own & (labels == 0)].sum()) >= LEAST:
+            model.thresholds[lang] = _best_threshold(scores[own], labels[own], weights[own])
 
 
-def _best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
+def _best_threshold(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
     """Half way between the last score taken and the next, where F1 is best; never outside 0.3 to 0.9."""
-    order = np.argsort(-scores, kind="stable")
-    hits = np.cumsum(labels[order])
-    f1 = 2 * hits / (np.arange(1, len(order) + 1) + labels.sum())
+    values, place = np.unique(-scores, return_inverse=True)  # equal scores are taken together
+    toxic = np.bincount(place, weights * labels)
+    f1 = 2 * np.cumsum(toxic) / (np.cumsum(np.bincount(place, weights)) + toxic.sum())
     best = int(f1.argmax())
-    below = scores[order[best + 1]] if best + 1 < len(order) else 0.0
-    return float(np.clip((scores[order[best]] + below) / 2, 0.3, 0.9))
+    below = -values[best + 1] if best + 1 < len(values) else 0.0
+    return float(np.clip((-values[best] + below) / 2, 0.3, 0.9))
+
+
+def _flagged(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    return labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).distinct()
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, lang_col: str, most: dict[int, int]) -> DataFrame:
@@ -218,13 +237,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
 
     Texts are hashed on the executors; the bound on rows is what may reach the driver.
     """
-    flagged = labels.where(F.col(label_col).isin(*most)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).distinct()
+    flagged = _flagged(labels, id_col, label_col)
     drawn = [flagged.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(n) for k, n in sorted(most.items())]
     chosen = drawn[0]
     for more in drawn[1:]:
         chosen = chosen.unionByName(more)
     # at most sum(most.values()) ids
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"))
+    rows = _texts(docs, id_col, text_col, lang_col)
     rows = rows.join(F.broadcast(chosen), "id").select(F.col("id").cast("string").alias("id"), "text", "label", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,14 +257,67 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", lang_col: str = "lang",
           most_toxic: int = 4000, most_clean: int = 8000, **settings) -> Model:
-    """Fit on a sample bounded by `most_toxic` and `most_clean` labelled texts.
+    """Fit on a sample bounded by `most_toxic` and `most_clean` labelled texts, calibrate on all labelled texts it did not use.
 
-    Labels other than 0 and 1 are left out, as are labels without a document.
+    Labels other than 0 and 1 are left out, as are labels without a document. If neither bound is reached, the texts not used
+    are the fifth of the sample that the fit keeps out.
     """
     sample = labelled_sample(docs, labels, id_col, text_col, label_col, lang_col, {0: most_clean, 1: most_toxic}).toArrow()
     order = sorted(range(sample.num_rows), key=lambda i: (zlib.crc32((sample["id"][i].as_py() or "").encode()), sample["id"][i].as_py() or ""))
     texts = [np.frombuffer(sample["buckets"][i].as_py(), "<i4") for i in order]
-    return fit(texts, np.array([sample["label"][i].as_py() for i in order], np.float32), [sample["lang"][i].as_py() for i in order], **settings)
+    classes = np.array([sample["label"][i].as_py() for i in order], np.float32)
+    model = fit(texts, classes, [sample["lang"][i].as_py() for i in order], **settings)
+    flagged = _flagged(labels, id_col, label_col)
+    counted = dict(flagged.groupBy("label").count().collect())
+    if len(set(classes)) == 2 and (counted.get(1, 0) > most_toxic or counted.get(0, 0) > most_clean):
+        used = [sample["id"][i].as_py() for k, i in enumerate(order) if k % 5 != 4]
+        _calibrate_on_all(model, _texts(docs, id_col, text_col, lang_col).join(broadcast_if_small(flagged), "id"), used)
+    return model
+
+
+def _calibrate_on_all(model: Model, rows: DataFrame, used: list[str]) -> None:
+    """Calibrate on the rows (id, text, label, lang) whose ids were not used, by counts of logits per language and label.
+
+    Languages without a threshold of their own are counted as one, so that what reaches the driver is bounded.
+    """
+    spark = rows.sparkSession
+    shared, known_ids = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(frozenset(used))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, seen = shared.value, known_ids.value
+        tables, known = model.tables(), {}
+        for batch in sliced(batches):
+            free = [i not in seen for i in batch.column(0).to_pylist()]
+            kept = batch.filter(pa.array(free))
+            logits = _logits(kept.column(1).to_pylist(), model, tables, known)
+            steps = np.full(batch.num_rows, LIMIT * STEPS * 2, np.int64)  # of rows that were used
+            steps[np.array(free)] = np.round(np.clip(logits, -LIMIT, LIMIT) * STEPS)
+            yield pa.RecordBatch.from_arrays([batch.column(3), batch.column(2), pa.array(free), pa.array(steps)], names=["lang", "label", "free", "step"])
+
+    rows = rows.select(F.col("id").cast("string").alias("id"), "text", "label", "lang")
+    counts = rows.mapInArrow(run, "lang string, label int, free boolean, step long").groupBy("lang", "label", "free", "step").count()
+    counts = stored(counts, "logits")
+    free, toxic = F.col("free"), F.col("label") == 1
+    own = counts.where("free").groupBy("lang").agg(F.sum(F.when(toxic, F.col("count"))).alias("t"), F.sum(F.when(~toxic, F.col("count"))).alias("c"))
+    own = own.where((F.col("t") >= LEAST) & (F.col("c") >= LEAST)).select("lang", F.col("lang").alias("own"))
+    total = {r["label"]: r for r in counts.groupBy("label").agg(F.sum("count").alias("all"), F.sum(F.when(free, F.col("count"))).alias("free")).collect()}
+    if len(total) < 2 or not all(r["free"] for r in total.values()):
+        return
+    found = counts.where("free").join(own, "lang", "left").groupBy(F.coalesce("own", F.lit("")).alias("lang"), "label", "step").agg(F.sum("count").alias("n")).toArrow()
+    logits, labels = found["step"].to_numpy() / STEPS, found["label"].to_numpy().astype(float)
+    _calibrate(model, logits, labels, found["lang"].to_pylist(), found["n"].to_numpy(), tuple(total[k]["all"] / total[k]["free"] for k in (0, 1)))
+
+
+def _logits(texts: list[str | None], model: Model, tables: dict[int, list[np.ndarray]], known: dict[str, int]) -> np.ndarray:
+    logits, docs, size = [np.empty(0)], [], 0
+    for i, text in enumerate(texts):
+        ids = np.array(buckets(text, known), np.int64) if text else np.empty(0, np.int64)
+        docs.append(padded(model.row_of[ids]))
+        size += len(ids)
+        if size > 20_000 or i + 1 == len(texts):
+            logits.append(model.logits(docs, tables).astype(float))
+            docs, size = [], 0
+    return np.concatenate(logits)
 
 
 def with_scores(df: DataFrame, text_col: str, lang_col: str, model: Model) -> DataFrame:
@@ -261,16 +333,7 @@ def with_scores(df: DataFrame, text_col: str, lang_col: str, model: Model) -> Da
         model = shared.value
         tables, known = model.tables(), {}
         for batch in sliced(batches):
-            texts = batch.column(1).to_pylist()
-            scores, docs, size = [], [], 0
-            for i, text in enumerate(texts):
-                ids = np.array(buckets(text, known), np.int64) if text else np.empty(0, np.int64)
-                docs.append(padded(model.row_of[ids]))
-                size += len(ids)
-                if size > 20_000 or i + 1 == len(texts):
-                    scores.append(model.scores(model.logits(docs, tables).astype(float)))
-                    docs, size = [], 0
-            found = np.concatenate(scores) if scores else np.empty(0)
+            found = model.scores(_logits(batch.column(1).to_pylist(), model, tables, known))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.float64())], names=["row", "lang", "score"])
 
     scored = rows.mapInArrow(run, StructType([rows.schema["row"], rows.schema["lang"]]).add("score", DoubleType()))

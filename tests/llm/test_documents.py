@@ -270,6 +270,22 @@ def test_classifier_on_rows_held_out(spark, odd):
     assert sorted(r["score"] for r in again) == sorted(r["score"] for r in toxicity.with_scores(docs, "text", "lang", model).collect())
 
 
+def test_scores_and_thresholds_stand_for_all_labels_not_for_the_sample(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(4000):
+        toxic, lang = int(rng.random() < 0.06), "de" if i % 4 == 0 else "en"
+        words = [f"{lang}{rng.randrange(200)}" for _ in range(20)] + ["vile"] * (rng.random() < (0.7 if toxic else 0.05))
+        rows.append((i, " ".join(words), lang, toxic))
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    share = np.mean([r[3] for r in rows])
+    model = toxicity.train(docs, labels, most_toxic=100, most_clean=200)
+    scores = [r["score"] for r in toxicity.with_scores(docs, "text", "lang", model).collect()]
+    assert 0.8 * share < np.mean(scores) < 1.25 * share
+    assert {"", "en", "de"} <= set(model.thresholds)
+
+
 def test_classifier_without_labels(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string").withColumn("lang", F.lit("en"))
     none = toxicity.train(docs, spark.createDataFrame([], "doc_id long, toxic int"))
