@@ -26,15 +26,19 @@ from lodestone.session import stored
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|svg|math|iframe|object|select|button)\b(?:[^>=]|=\s*\"[^\"]*+\"|=\s*'[^']*+'|=)*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe)\b(?:[^>=]|=\s*\"[^\"]*+\"|=\s*'[^']*+'|=)*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    # only up to an end tag of its own: without one, or with '/>', the tag alone goes
+    r"|<(?P<shut>svg|select|button)\b(?:[^>=]|=\s*\"[^\"]*+\"|=\s*'[^']*+'|=)*+(?<!/)>(?:[^<]++|<(?!/?(?P=shut)\b))*+</(?P=shut)\s*>"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>=]|=\s*\"[^\"]*+\"|=\s*'[^']*+'|=)*+)>"
     r"|<[!?/][^>]*+>",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr"
+                   " math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup"
+                   " msup mtable mtd mtext mtr munder munderover none semantics".split())
+VOID = frozenset("area base br button col embed hr img input link meta param select source svg track wbr".split())
 #: Elements that end when one of these starts inside them.
 ENDS = {"p": frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul li dt dd".split()),
         "li": frozenset({"li"}), "dt": frozenset({"dt", "dd"}), "dd": frozenset({"dt", "dd"}), "tr": frozenset({"tr"}), "td": frozenset({"td", "th", "tr"}),

@@ -194,6 +194,15 @@ def test_main_text_of_a_page():
         html.chosen(html.parse(broken, {}), set())
 
 
+@pytest.mark.parametrize("part, text", [
+    ('<svg class="x" viewBox="0 0 1 1"/>', ""), ("<math/>", ""), ("<button>Share", "Share "), ("<object data=x>Fallback", "Fallback "), ("<math><mi>x</mi><mo>=</mo><mn>1</mn></math>", "x=1 "),
+    ("<svg><text>drawn</text></svg>", ""), ("<button><div>Share</div></button>", ""), ("<select><option>a<option>b</select>", ""), ("<svg/><svg><g/></svg>", ""),
+])
+def test_text_after_drawings_formulas_and_buttons_is_kept(part, text):
+    page = f"<body><article><p>First</p>{part}<p>Then</p><button>b</button><p>Last</p></article></body>"
+    assert " ".join(html.chosen(html.parse(page, {}), set())) == f"First {text}Then Last"
+
+
 def test_template_of_a_host_is_cut_by_its_importance(spark):
     rows = [(i, "https://User@Host.org:80/p%d" % i, f"<body><div><div>Welcome to our host</div><div><div>Own text {i} of page {i * i}.</div></div><p>Call us now</p></div></body>") for i in range(12)]
     rows += [(50, "https://alone.org/", "<body><div><div>Welcome to our host</div><div><div>Own text.</div></div></div></body>"), (51, None, None), (52, None, ""), (52, "x", "")]
