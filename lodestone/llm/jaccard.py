@@ -1,8 +1,7 @@
-"""Near-duplicate texts: an n-gram Jaccard join by an LSH forest with exact verification.
+"""Near-duplicate texts: an n-gram Jaccard join by MinHash LSH banding with exact verification.
 
-Each tree of the forest orders the texts by a sequence of MinHash values. The matched prefix is shortened from its full
-depth until a pair at the threshold meets in some tree with the target recall; texts that share a prefix of that length
-meet in a node. Inside a node, signatures part what is clearly unlike, and the rest is put together into candidate groups.
+Each tree has a sequence of MinHash values. One prefix length holds for all texts: the longest by which a pair at the
+threshold meets in some tree with the target recall; texts that share a prefix of that length meet in a node. Inside a node, signatures part what is clearly unlike, and the rest is put together into candidate groups.
 Whole groups are then compared exactly, so a pair missed by all trees is still found if its group is.
 """
 
