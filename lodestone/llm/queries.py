@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, chat, counts, decontaminate, html, jaccard, quality, suffix_index, token_files, toxicity
+from lodestone.llm import bpe, chat, counts, decontaminate, html, jaccard, merkle, quality, suffix_index, token_files, toxicity
 from lodestone.session import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +167,50 @@ def op10_toxicity(t: Tables) -> DataFrame:
     model = toxicity.train(t.documents, t.labels.where(~held_out()))
     scored = toxicity.with_scores(t.documents.select("doc_id", "text", "lang"), "text", "lang", model)
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "toxic_flag")
+
+
+MANIFEST_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+SQL_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(range(length(doc_id::varchar)), lambda i: ascii((doc_id::varchar)[i + 1])::bigint)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+SQL_FIELD = "coalesce(strlen({0}::varchar)::varchar || ':' || {0}::varchar, '-')"
+
+
+@query("op12_merkle_manifest", r"""
+with recursive d as (
+    select *, coalesce('s' || source, '') g, FIELDS head, case when CRC % 5 = 0 then translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else text end now
+    from documents),
+f as (
+    select doc_id, g, sha256(head || TEXT) leaf, sha256(head || NOW) now_leaf from d),
+up(g, level, nodes) as (
+    select g, 0, list(leaf order by doc_id, leaf) from f group by g
+    union all
+    select g, level + 1, list_transform(range(0, (len(nodes) + 15) // 16), lambda i: sha256(array_to_string(nodes[i * 16 + 1 : i * 16 + 16], ''))) from up where len(nodes) > 1),
+sub as (select g, nodes[1] subroot, row_number() over (order by g) - 1 pos from up where len(nodes) = 1),
+top(level, nodes) as (
+    select 0, list(subroot order by pos) from sub
+    union all
+    select level + 1, list_transform(range(0, (len(nodes) + 15) // 16), lambda i: sha256(array_to_string(nodes[i * 16 + 1 : i * 16 + 16], ''))) from top where len(nodes) > 1),
+walk(doc_id, leaf, g, level, pos, proof, now) as (
+    select doc_id, leaf, g, 0, row_number() over (partition by g order by doc_id, leaf) - 1, '', now_leaf from f
+    union all
+    select doc_id, leaf, g, level + 1, pos // 16, proof || LEFT || RIGHT, sha256(LEFT || now || RIGHT)
+    from walk join up using (g, level) where len(nodes) > 1),
+last as (select distinct on (doc_id) * from walk order by doc_id, level desc),
+walk2(doc_id, leaf, subroot, level, pos, proof, now) as (
+    select doc_id, leaf, subroot, 0, sub.pos, proof, now from last join sub using (g)
+    union all
+    select doc_id, leaf, subroot, level + 1, pos // 16, proof || LEFT || RIGHT, sha256(LEFT || now || RIGHT)
+    from walk2 join top using (level) where len(nodes) > 1),
+last2 as (select distinct on (doc_id) * from walk2 order by doc_id, level desc)
+select doc_id, leaf, subroot, nodes[1] root, sha256(proof) proof_sha256, now folded_root, now = nodes[1] verified
+from last2, (select nodes from top where len(nodes) = 1)"""
+    .replace("FIELDS", " || ".join(SQL_FIELD.format(f) for f in MANIFEST_FIELDS[:-1])).replace("TEXT", SQL_FIELD.format("text")).replace("NOW", SQL_FIELD.format("now"))
+    .replace("LEFT", "array_to_string(nodes[pos // 16 * 16 + 1 : pos], '')").replace("RIGHT", "array_to_string(nodes[pos + 2 : pos // 16 * 16 + 16], '')").replace("CRC", SQL_CRC32))
+def op12_merkle_manifest(t: Tables) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and the root that every document gives after some were tampered with."""
+    docs = t.documents
+    changed = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.translate("text", *merkle.LOWER)).otherwise(F.col("text"))
+    now = merkle.leaf(*[F.col(f) for f in MANIFEST_FIELDS[:-1]], changed)
+    proofs = merkle.manifest(docs, "doc_id", "source", MANIFEST_FIELDS, now)
+    rows = proofs.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), merkle.folded(F.col("path"), F.col("now")).alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
