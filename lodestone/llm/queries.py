@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, chat, counts, decontaminate, html, jaccard, merkle, quality, suffix_index, token_files, toxicity
+from lodestone.llm import bpe, chat, collocations, counts, decontaminate, html, jaccard, merkle, quality, sketches, suffix_index, token_files, toxicity
 from lodestone.session import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,3 +214,43 @@ def op12_merkle_manifest(t: Tables) -> DataFrame:
     proofs = merkle.manifest(docs, "doc_id", "source", MANIFEST_FIELDS, now)
     rows = proofs.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), merkle.folded(F.col("path"), F.col("now")).alias("folded_root"))
     return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op13_collocations", r"""
+with w as (
+    select lang, regexp_extract_all(piece, '[^\x20\x09]+') w
+    from (select coalesce(lang, 'und') lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) piece from documents)),
+f as (
+    select lang, k, array_to_string(w[i : i + k - 1], ' ') phrase, count(*) f
+    from w, unnest(range(1, 6)) lengths(k), unnest(range(1, len(w) - k + 2)) starts(i) group by all),
+n as (select lang, sum(f) n from f where k = 1 group by lang),
+c as (select lang, k, phrase, f a, string_split(phrase, ' ') s from f where k > 1 and f >= 100),
+cuts as (
+    select c.lang, c.k, c.phrase, a, j, x.f l, y.f r, n, 1000 * a::hugeint * n::hugeint // (x.f::hugeint * y.f::hugeint) score
+    from c join n using (lang), unnest(range(1, k)) places(j), f x, f y
+    where x.lang = c.lang and x.phrase = array_to_string(s[1 : j], ' ') and y.lang = c.lang and y.phrase = array_to_string(s[j + 1 :], ' ')),
+best as (select distinct on (lang, phrase) * from cuts order by lang, phrase, score, j),
+kept as (
+    select * from best b where not exists (
+        select 1 from c where c.lang = b.lang and c.k > b.k and contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' ') and 100 * c.a >= 100 * b.a))
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) rank, phrase, a, l, r, n::bigint n, score::bigint score
+from kept qualify rank <= 2000""")
+def op13_collocations(t: Tables) -> DataFrame:
+    """The first 2,000 phrases of two to five words of every language by the weakest of their cuts."""
+    return collocations.collocations(t.documents, "text", "lang", min_count=100, max_words=5, top=2000)
+
+
+@query("op11_bottom_k", r"""
+with recursive d as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),
+s as (select distinct doc_id, array_to_string(w[i : i + 2], ' ') g from d, unnest(range(1, greatest(len(w) - 2, 1) + 1)) r(i) where len(w) > 0),
+n as (select doc_id, count(*) n from s group by doc_id),
+l as (
+    select a.doc_id x, b.doc_id y
+    from s a join s b using (g) join n m on m.doc_id = a.doc_id join n o on o.doc_id = b.doc_id
+    where a.doc_id <> b.doc_id group by all having 100 * count(*) >= 85 * (any_value(m.n) + any_value(o.n) - count(*))),
+reach(doc_id, r) as (select doc_id, doc_id from d union select reach.doc_id, y from reach join l on r = x)
+select doc_id, coalesce(any_value(n), 0) n_shingles, min(r) component_id, doc_id = min(r) kept from reach left join n using (doc_id) group by doc_id""")
+def op11_bottom_k(t: Tables) -> DataFrame:
+    """Component of every document linked by three-word shingles with a similarity of 0.85 or more."""
+    return sketches.near_duplicates(t.documents, "doc_id", "text", n=3, percent=85)
