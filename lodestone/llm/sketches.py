@@ -2,9 +2,10 @@
 
 One hash function orders all n-grams; a set keeps its 128 least values as its sketch. Inverted lists hold the nodes (distinct
 sets) of the 32 least of them: two linked sets share so many of these that each needs to stand in the lists of its rarest
-values only. Per list every node is paired with the least node; that joins groups of copies without all their pairs. In lists
-whose nodes are not yet in one component, the nodes outside the largest component are compared with all others, block by
-block. The sketch of a pair's union, the least 128 values of both, then filters pairs, and full sets decide.
+values only. Per list every node is paired with the least node; the sketch of a pair's union, the least 128 values of both,
+filters pairs, and full sets decide. That joins groups of copies without all their pairs. In lists whose nodes are not yet in
+one component, the full sets of the nodes outside the largest component are compared with all others, block by block, and
+only links that join components leave a block.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from lodestone.session import spread, stored
 KEPT, LISTED = 128, 32
 #: Chance that a linked pair of large sets shares fewer values than `sure_overlap` says.
 MISS = 1e-9
-#: Nodes of a list that are compared at once with as many others.
-BLOCK = 1024
+#: Nodes of a list, and n-grams of their sets, that are compared at once with as many others.
+BLOCK, BLOCK_GRAMS = 1024, 1 << 20
 WORDS_HELD = 300_000
 _FACTORS = np.random.default_rng(11).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 
@@ -96,7 +97,7 @@ def _index(sets: DataFrame, percent: int) -> DataFrame:
     """(value, node): the inverted lists of the values that each node must be found by, stored.
 
     Of r listed values a linked set shares at least s, so one of the r - s + 1 rarest is shared. A value that no other node has
-    takes one of these places, though it makes no list.
+    takes one of these places, though it makes no list. Of lists that hold the same nodes, one is kept.
     """
     listed = F.slice("sketch", 1, LISTED)
     values = sets.select("node", F.size(listed).alias("r"), F.explode(listed).alias("value"))
@@ -104,98 +105,113 @@ def _index(sets: DataFrame, percent: int) -> DataFrame:
     shared = values.join(lists, "value").groupBy("node", "r").agg(F.sort_array(F.collect_list(F.struct("n", "value"))).alias("found"))  # 32 at most
     places = F.col("r") - F.least(F.lit(sure_overlap(LISTED, percent)), F.ceil(F.col("r") * percent / 100)) + 1
     rarest = F.slice("found", 1, F.greatest(F.lit(0), places - (F.col("r") - F.size("found"))).cast("int"))
-    return stored(shared.select("node", F.explode(rarest).alias("at")).select(F.col("at.value").alias("value"), "node"), "lists")
-
-
-def _met_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b): nodes of two components that share enough listed values; rows (value, i, j, outside, node, comp, listed)."""
-
-    def compared(keys: list, outside, nodes, comps, listed) -> list[tuple[int, int]]:
-        out, sizes = set(), np.array([len(v) for v in listed])
-        owners = np.repeat(np.arange(len(listed)), sizes)
-        values = np.concatenate(listed)
-        order = np.argsort(values, kind="stable")
-        values, owners = values[order], owners[order]
-        for s in np.flatnonzero(outside):
-            low, high = np.searchsorted(values, listed[s], "left"), np.searchsorted(values, listed[s], "right")
-            met = owners[np.concatenate([np.arange(x, y) for x, y in zip(low, high)])]
-            both = np.bincount(met, minlength=len(listed))
-            least = np.minimum(sure, np.ceil(np.minimum(sizes, sizes[s]) * percent / 100))
-            for x in np.flatnonzero((both >= least) & ~outside & (comps != comps[s])):
-                out.add((min(nodes[s], nodes[x]), max(nodes[s], nodes[x])))
-        return list(out)
-
-    sure = sure_overlap(LISTED, percent)
+    index = stored(shared.select("node", F.explode(rarest).alias("at")).select(F.col("at.value").alias("value"), "node"), "lists")
+    nodes = [F.sum(F.xxhash64("node", F.lit(k)).cast("decimal(38,0)")).alias(f"h{k}") for k in (1, 2)]
+    members = index.groupBy("value").agg(F.count("*").alias("n"), *nodes).where("n > 1")
+    return stored(index.join(members.groupBy("n", "h1", "h2").agg(F.min("value").alias("value")), "value").select("value", "node"), "distinct-lists")
+
+
+def _spanning_links(held: list, percent: int) -> list[tuple[int, int]]:
+    """Links between nodes outside and nodes inside that join components, from (outside, node, comp, grams) rows."""
+    inside, outside = [h for h in held if not h[0]], [h for h in held if h[0]]
+    sizes = np.array([len(h[3]) for h in inside])
+    values = np.concatenate([h[3] for h in inside])
+    order = np.argsort(values, kind="stable")
+    values, owners = values[order], np.repeat(np.arange(len(inside)), sizes)[order]
+    root = {h[2]: h[2] for h in held}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    out = []
+    for _, node, comp, grams in outside:
+        low, high = np.searchsorted(values, grams, "left"), np.searchsorted(values, grams, "right")
+        some = high > low
+        low, n = low[some], (high - low)[some]
+        ends = np.cumsum(n)
+        met = owners[np.arange(ends[-1] if len(n) else 0) + np.repeat(low - (ends - n), n)]
+        both = np.bincount(met, minlength=len(inside))
+        for x in np.flatnonzero((both > 0) & (both * 100 >= (sizes + len(grams) - both) * percent)):
+            one, two = find(comp), find(inside[x][2])
+            if one != two:
+                root[max(one, two)] = min(one, two)
+                out.append((node, inside[x][1]))
+    return out
+
+
+def _linked_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that join components, from rows (value, i, j, outside, node, comp, grams); two blocks are held at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-
-        def met():
-            pairs = compared(key, np.array([h[0] for h in held]), [h[1] for h in held], np.array([h[2] for h in held]), [h[3] for h in held])
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-        for batch in sliced(batches):
-            value, i, j, outside, node, comp = (batch.column(k).to_pylist() for k in range(6))
-            for *at, out, own, of, listed in zip(value, i, j, outside, node, comp, (np.array(v, np.int64) for v in batch.column(6).to_pylist())):
-                if at != key:
-                    if any(h[0] for h in held):
-                        yield met()
-                    key, held = at, []
-                held.append((out, own, of, listed))
-        if any(h[0] for h in held):
-            yield met()
+        key, held, sides = None, [], set()
+
+        def links():
+            found = _spanning_links(held, percent) if len(sides) == 2 else []
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        for batch in sliced(batches, 256):
+            at = list(zip(*[batch.column(k).to_pylist() for k in range(6)]))
+            starts, values = batch.column(6).offsets.to_numpy(), batch.column(6).values.to_numpy()
+            for k, (value, i, j, outside, node, comp) in enumerate(at):
+                if (value, i, j) != key:
+                    if held:
+                        yield links()
+                    key, held, sides = (value, i, j), [], set()
+                held.append((outside, node, comp, values[starts[k]:starts[k + 1]].copy()))
+                sides.add(outside)
+        if held:
+            yield links()
 
     keyed = rows.repartition("value", "i", "j").sortWithinPartitions("value", "i", "j")
-    return keyed.select("value", "i", "j", "outside", "node", "comp", "listed").mapInArrow(run, "a bigint, b bigint").distinct()
+    return keyed.select("value", "i", "j", "outside", "node", "comp", "grams").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def _outside_pairs(index: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs between components in the lists that hold more than one.
+def _outside_links(index: DataFrame, comps: DataFrame, sets: DataFrame, grams, percent: int) -> DataFrame:
+    """Links that join components in the lists that hold more than one; `grams` gives the full sets of nodes.
 
-    Nodes outside a list's largest component meet all nodes of the list, in blocks of about 1,024 each: a list is copied as
-    often as its outside nodes fill blocks, so that a group of copies with some strangers is gone through once.
+    Nodes outside a list's largest component meet all nodes of the list, in blocks of about a million n-grams each: a list is
+    copied as often as its outside nodes fill blocks, so that a group of copies with some strangers is gone through once.
     """
     comp = F.coalesce("v", "node")
-    rows = index.join(comps, index["node"] == comps["u"], "left").select("value", "node", comp.alias("comp"))
-    parts = rows.groupBy("value", "comp").agg(F.count("*").alias("c"))
-    lists = parts.groupBy("value").agg(F.max(F.struct("c", "comp")).alias("most"), F.sum("c").alias("n"), F.count("*").alias("parts")).where("parts > 1")
-    lists = lists.select("value", F.col("most.comp").alias("largest"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("n") - F.col("most.c")) / BLOCK).cast("int").alias("outer"))
-    met = rows.join(lists, "value").join(sets.select("node", F.slice("sketch", 1, LISTED).alias("listed")), "node")
+    rows = index.join(comps, index["node"] == comps["u"], "left").select("value", "node", comp.alias("comp")).join(sets.select("node", "size"), "node")
+    parts = rows.groupBy("value", "comp").agg(F.count("*").alias("c"), F.sum("size").alias("s"))
+    lists = parts.groupBy("value").agg(F.max(F.struct("c", "comp", "s")).alias("most"), F.sum("c").alias("n"), F.sum("s").alias("size"), F.count("*").alias("parts")).where("parts > 1")
+    blocks = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_GRAMS)).cast("int")
+    lists = lists.select("value", F.col("most.comp").alias("largest"), blocks(F.col("n"), F.col("size")).alias("blocks"), blocks(F.col("n") - F.col("most.c"), F.col("size") - F.col("most.s")).alias("outer"))
+    met = stored(rows.drop("size").join(lists, "value"), "open-lists")
+    full = grams(met.select("node").distinct()).select("node", "grams")
     own = F.xxhash64("node")
-    inner = met.select("value", F.explode(F.sequence(F.lit(0), F.col("outer") - 1)).alias("i"), F.pmod(own, "blocks").cast("int").alias("j"), F.lit(False).alias("outside"), "node", "comp", "listed")
-    outer = met.where("comp <> largest").select("value", F.pmod(own, "outer").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(True).alias("outside"), "node", "comp", "listed")
-    return _met_in_blocks(inner.unionByName(outer), percent)
+    inner = met.select("value", F.explode(F.sequence(F.lit(0), F.col("outer") - 1)).alias("i"), F.pmod(own, "blocks").cast("int").alias("j"), F.lit(False).alias("outside"), "node", "comp")
+    outer = met.where("comp <> largest").select("value", F.pmod(own, "outer").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(True).alias("outside"), "node", "comp")
+    return stored(_linked_in_blocks(inner.unionByName(outer).join(full, "node"), percent), "outside-links")
 
 
 def _side(sets: DataFrame, name: str, column: str) -> DataFrame:
     return sets.select(F.col("node").alias(name), F.col("size").alias(f"size_{name}"), F.col(column).alias(f"set_{name}"))
 
 
-def _involved(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The rows of the nodes that some pair holds."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    return rows.join(nodes, "node", "left_semi")
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
 
 def union_sketch_passes(percent: int) -> Column:
     """Whether the sketches set_a and set_b leave it possible that 100 * intersection >= percent * union."""
-    union = F.array_sort(F.array_union("set_a", "set_b"))
-    last = F.element_at(union, F.least(F.lit(KEPT), F.size(union)))
-    both = F.size(F.filter(F.array_intersect("set_a", "set_b"), lambda x: x <= last))
+    union, common = F.array_sort(F.array_union("set_a", "set_b")), F.array_intersect("set_a", "set_b")
+    both = F.size(F.array_intersect(common, F.slice(union, 1, KEPT)))
     whole = (F.col("size_a") <= KEPT) & (F.col("size_b") <= KEPT)  # nothing is cut: the sketches are the sets
-    exact = F.size(F.array_intersect("set_a", "set_b")) * 100 >= F.size(union) * percent
+    exact = F.size(common) * 100 >= F.size(union) * percent
     return F.when(whole, exact).otherwise(both >= F.least(F.lit(sure_overlap(KEPT, percent)), F.ceil(F.size(union) * percent / 100)))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, df: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose full sets are linked, stored."""
-    pairs = stored(pairs, "pairs")
-    sketches = stored(_involved(pairs, sets.select("node", "size", "sketch")), "met")
-    likely = stored(pairs.join(_side(sketches, "a", "sketch"), "a").join(_side(sketches, "b", "sketch"), "b").where(union_sketch_passes(percent)).select("a", "b"), "likely")
-    whole = sketches.where(F.col("size") <= KEPT).select("node", "size", F.col("sketch").alias("grams"))
-    large = _involved(likely, sets.where(F.col("size") > KEPT).select("node", "id", "text_hash")).select("node", F.col("id").alias("_id"), F.col("text_hash").alias("_hash"))
+def _full_sets(nodes: DataFrame, sets: DataFrame, df: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
+    """(node, size, grams) of the given nodes, stored: the sketch if nothing was cut, else made from the text again."""
+    wanted = sets.join(nodes, "node", "left_semi")
+    whole = wanted.where(F.col("size") <= KEPT).select("node", "size", F.col("sketch").alias("grams"))
+    large = stored(wanted.where(F.col("size") > KEPT).select("node", F.col("id").alias("_id"), F.col("text_hash").alias("_hash")), "large")
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    texts = texts.join(stored(large, "large"), (F.xxhash64("text") == F.col("_hash")) & F.col("id").eqNullSafe(F.col("_id")))
+    texts = texts.join(large, (F.xxhash64("text") == F.col("_hash")) & F.col("id").eqNullSafe(F.col("_id")))
     texts = texts.groupBy("node").agg(F.min("text").alias("text")).select("node", F.col("text").cast("binary").alias("text"))  # a row may come again
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +220,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, df: DataFrame, id_col: str, tex
             found = [grams(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["node", "size", "grams"])
 
-    full = stored(texts.mapInArrow(run, "node bigint, size bigint, grams array<bigint>").unionByName(whole), "full-sets")
+    return stored(texts.mapInArrow(run, "node bigint, size bigint, grams array<bigint>").unionByName(whole), "full-sets")
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, grams, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose full sets are linked, stored; sketches of their unions sort out most others."""
+    pairs = stored(pairs, "pairs")
+    sketches = stored(sets.select("node", "size", "sketch").join(_nodes(pairs), "node", "left_semi"), "met")
+    likely = stored(pairs.join(_side(sketches, "a", "sketch"), "a").join(_side(sketches, "b", "sketch"), "b").where(union_sketch_passes(percent)).select("a", "b"), "likely")
+    full = grams(_nodes(likely))
     both = F.size(F.array_intersect("set_a", "set_b"))
     joined = likely.join(_side(full, "a", "grams"), "a").join(_side(full, "b", "grams"), "b")
     return stored(joined.where(both * 100 >= (F.col("size_a") + F.col("size_b") - both) * percent).select("a", "b"), "links")
@@ -230,9 +254,13 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, n: int = 3, perce
     index = _index(sets, percent)
     heads = index.groupBy("value").agg(F.min("node").alias("a"), F.max("node").alias("other")).where("a < other").select("value", "a")
     first = index.join(heads, "value").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    links = _verified(first, sets, df, id_col, text_col, n, percent)
+
+    def grams(wanted: DataFrame) -> DataFrame:
+        return _full_sets(wanted, sets, df, id_col, text_col, n)
+
+    links = _linked(first, sets, grams, percent)
     comps = labelled(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    more = _verified(_outside_pairs(index, comps, sets, percent), sets, df, id_col, text_col, n, percent)
+    more = _outside_links(index, comps, sets, grams, percent)
     if not more.isEmpty():
         comps = labelled(comps.unionByName(more.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     of = nodes.join(comps, nodes["node"] == comps["u"], "left").select("content", "least", F.coalesce("v", "node").alias("comp"))
