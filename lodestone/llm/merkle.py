@@ -18,7 +18,7 @@ from lodestone.session import stored
 
 ARITY = 16
 #: Runs whose nodes one window scans together.
-RUNS_PER_BLOCK = 256
+RUNS_PER_BLOCK = 16
 
 LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 PATH = "array<struct<left:string,right:string>>"
@@ -131,7 +131,7 @@ def manifest(df: DataFrame, id_col: str, group_col: str, fields: Sequence[str],
     """
     kept = leaf(*[F.col(f) for f in fields])
     rows = df.select(_group(F.col(group_col)).alias("g"), F.col(id_col).alias("id"), kept.alias("node"), (kept if now is None else F.coalesce(now, kept)).alias("now"))
-    levels = climbed(positioned(rows, ["id", "node"]))
+    levels = climbed(positioned(stored(rows, "merkle-leaves"), ["id", "node"]))
     groups = tops(levels).select(F.lit("").alias("g"), F.col("g").alias("of"), "node")
     roots = climbed(positioned(groups, ["of"]))
     root = tops(roots).select("g", F.expr(f"cast(array() as {PATH})").alias("path"), F.col("node").alias("root"))
