@@ -5,7 +5,7 @@ import importlib
 from lodestone.plans.registry import ORACLES, QUERIES
 
 for _module in (
-    "basics", "joins", "aggregates", "windows", "scalars", "reports", "streams", "udfs", "features", "texts", "metrics", "models", "recommendations", "files",
+    "basics", "joins", "aggregates", "windows", "scalars", "reports", "streams", "udfs", "features", "texts", "metrics", "models", "recommendations", "training", "files",
 ):
     importlib.import_module(f"lodestone.plans.{_module}")
 

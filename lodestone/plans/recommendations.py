@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from lodestone.operators import graph, matrix, ordered, recommend
+from lodestone.operators import graph, matrix, ordered, recommend, similarity
 from lodestone.plans.registry import query
 from lodestone.session import stored
 
@@ -36,6 +36,26 @@ def item_cosine(t):
     return _similar(stored(_ratings(t), "ratings"))
 
 
+@query("rc_item_sampled", _RATINGS + "select item, other, similarity from s")
+def item_sampled(t):
+    """The same pairs from sampled co-ratings, verified exactly."""
+    pairs = similarity.similar_columns(_ratings(t), "u", "item", "v", 0.1)
+    return pairs.withColumn("similarity", F.round("similarity", 6))
+
+
+@query("rc_part_sampled", """
+with r as (select o_custkey u, l_partkey item, sum(l_quantity)::double v from orders join lineitem on o_orderkey = l_orderkey group by 1, 2),
+     m as (select item, sqrt(sum(v * v)) norm from r group by 1)
+select a.item, b.item as other, round(sum(a.v * b.v) / (max(x.norm) * max(y.norm)), 6) similarity
+from r a join r b on a.u = b.u and a.item <> b.item join m x on x.item = a.item join m y on y.item = b.item group by 1, 2
+having sum(a.v * b.v) / (max(x.norm) * max(y.norm)) >= 0.2""")
+def part_sampled(t):
+    """Parts bought by the same customers in like quantities: many items, few of whose pairs are similar."""
+    bought = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")).groupBy(F.col("o_custkey").alias("u"), F.col("l_partkey").alias("item"))
+    pairs = similarity.similar_columns(bought.agg(F.sum("l_quantity").alias("v")), "u", "item", "v", 0.2)
+    return pairs.withColumn("similarity", F.round("similarity", 6))
+
+
 @query("rc_item_top20", _RATINGS + "select item, other, similarity, place from t")
 def item_top20(t):
     return recommend.most_similar(_similar(stored(_ratings(t), "ratings")), 20)
@@ -174,11 +194,12 @@ with e as (select 'N' || c_nationkey a, c_mktsegment b, count(*) n from customer
               union all select i, j, v from s0) group by 1, 2)""" for k in range(1, 6))
 
 
-@query("rc_simrank", _SIMRANK + " select i, j, round(v, 6) as value from s5 where i in (select 'N' || n_nationkey from nation where n_nationkey % 5 = 0)")
+@query("rc_simrank", _SIMRANK + " select i, j, round(v, 6) as value from s5")
 def simrank(t):
-    """Similarity of every fifth nation to all nodes."""
-    nations = t.nation.where(F.col("n_nationkey") % 5 == 0).select(F.concat(F.lit("N"), "n_nationkey").alias("node"))
-    return graph.simrank(stored(_market(t), "market"), nations, "node", 0.6, 5).withColumn("value", F.round("value", 6))
+    """Similarity of every nation and segment to all nodes."""
+    market = stored(_market(t), "market")
+    nodes = market.select(F.col("src").alias("node")).union(market.select("dst")).distinct()
+    return graph.simrank(market, nodes, "node", 0.6, 5).withColumn("value", F.round("value", 6))
 
 
 @query("rc_simrank_items", _SIMRANK + " select i, j, round(v, 6) as value from s5 where i <> j and i in (select b from e)")

@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from lodestone.functions import columns as fn
+from lodestone.operators import ordered
 from lodestone.plans.registry import query
-from lodestone.session import scratch_path
-from lodestone.streaming import jobs
+from lodestone.session import scratch_path, stored
+from lodestone.streaming import jobs, panes
 
 
 def _events(t):
@@ -45,14 +46,14 @@ with p as (select event_type, ts, time_bucket(interval 6 hours, ts, timestamp '1
 @query("st_sliding", _SLIDING_SQL + """
 select start, start + interval 12 hours as "end", event_type, count(*) n from w group by 1, 2, 3""")
 def sliding(t):
-    counts = jobs.windowed_count(_events(t), "ts", ["event_type"], "12 hours", "6 hours")
+    counts = jobs.windowed_count(_events(t), "ts", ["event_type"], "12 hours", "6 hours", lateness=None)  # a replay
     return jobs.running_totals(counts, ["start", "end", "event_type"], "sliding")
 
 
 @query("st_tumbling", """
 select date_trunc('hour', ts) as start, date_trunc('hour', ts) + interval 1 hour as "end", event_type, count(*) n from events group by 1, 2, 3""")
 def tumbling(t):
-    counts = jobs.windowed_count(_events(t), "ts", ["event_type"], "1 hour")
+    counts = jobs.windowed_count(_events(t), "ts", ["event_type"], "1 hour", lateness=None)  # a replay
     return jobs.running_totals(counts, ["start", "end", "event_type"], "tumbling")
 
 
@@ -114,7 +115,7 @@ def quality_counters(t):
 select strftime(ts, '%Y-%m-%d') as date, strftime(ts, '%H') as hour, strftime(ts, '%M') as minute, event_type ad, count(*) clicks
 from events group by 1, 2, 3, 4""")
 def click_trend(t):
-    counts = jobs.windowed_count(_events(t), "ts", ["event_type"], "1 minute")
+    counts = jobs.windowed_count(_events(t), "ts", ["event_type"], "1 minute", lateness=None)  # a replay
     rows = jobs.running_totals(counts, ["start", "end", "event_type"], "click-trend")
     return rows.select(
         F.date_format("start", "yyyy-MM-dd").alias("date"), F.date_format("start", "HH").alias("hour"),
@@ -131,3 +132,29 @@ def watermark_append(t):
     counts = jobs.windowed_count(rows, "at", ["event_type"], "12 hours", "6 hours", lateness="1 hour")
     out = jobs.drain_to_files(counts, scratch_path(t.spark, "late-state"), scratch_path(t.spark, "late-table"))
     return out.withColumns({"start": fn.zoneless(F.col("start")), "end": fn.zoneless(F.col("end"))})
+
+
+@query("st_pane_windows", _SLIDING_SQL + """
+select start, start + interval 12 hours as "end", event_type, count(*) n from w
+where start + interval 12 hours <= (select max(ts) - interval 1 hour from events) group by 1, 2, 3""")
+def pane_windows(t):
+    """Closed sliding windows from panes: the newest pane is added to the running total, the oldest subtracted."""
+    rows = _events(t).withColumn("at", fn.instant(F.col("ts")))
+    windows = panes.sliding_counts(rows, "at", "event_type", F.col("event_id"), pane_seconds=6 * 3600, per_window=2, lateness="1 hour")
+    out = panes.drained(windows, scratch_path(t.spark, "pane-state"), scratch_path(t.spark, "pane-table"))
+    merged = panes.merged(out)
+    return merged.select(*[fn.zoneless(F.col(c)).alias(c) for c in ("start", "end")], F.col("key").alias("event_type"), "n")
+
+
+@query("st_user_recommendations", """
+with i as (select p_size item, p_partkey, row_number() over (partition by p_size order by p_retailprice desc, p_partkey) place from part qualify place <= 5),
+     l as (select item, list(p_partkey order by place) parts from i group by 1),
+     e as (select user_id, ts, event_id, parts from events join l on item = json_extract_string(props, '$.k')::int)
+select user_id, arg_max(array_to_string(parts, ','), row(ts, event_id)) parts from e group by 1""")
+def user_recommendations(t):
+    """Each user's list is that of the item clicked last; items without a list change nothing."""
+    best = ordered.top_per_group(t.part.select(F.col("p_size").alias("item"), "p_partkey", "p_retailprice"), ["item"], [F.col("p_retailprice").desc(), F.col("p_partkey")], 5, "place")
+    lists = best.groupBy("item").agg(F.array_sort(F.collect_list(F.struct("place", "p_partkey"))).alias("parts"))  # five at most
+    lists = lists.select("item", F.array_join(F.transform("parts", lambda p: p["p_partkey"].cast("string")), ",").alias("parts"))
+    clicks = _events(t).select("user_id", "ts", "event_id", F.get_json_object("props", "$.k").cast("int").alias("item"))
+    return jobs.follow_last_item(clicks, stored(lists, "lists"), "user_id", "item", ["ts", "event_id"], "user-recommendations").select("user_id", "parts")

@@ -70,11 +70,11 @@ def per_batch(stream: DataFrame, summary: Callable[[DataFrame], DataFrame], labe
     return spark.read.parquet(path)
 
 
-def windowed_count(stream: DataFrame, time: str, keys: list[str], length: str, slide: str | None = None, lateness: str | None = None) -> DataFrame:
+def windowed_count(stream: DataFrame, time: str, keys: list[str], length: str, slide: str | None = None, *, lateness: str | None) -> DataFrame:
     """Count per sliding or tumbling event-time window.
 
-    A lateness bound lets closed windows leave the state; without it every window stays open,
-    which is what an exact replay of files in any order needs.
+    The lateness bound lets closed windows leave the state. It has no default: None keeps every window open, which only the
+    replay of a bounded set of files in any order may ask for.
     """
     rows = stream.withWatermark(time, lateness) if lateness else stream
     counted = rows.groupBy(F.window(time, length, slide), *keys).agg(F.count(F.lit(1)).alias("n"))
@@ -116,3 +116,25 @@ def merge_last_values(states: DataFrame) -> DataFrame:
 def lookup_join(stream: DataFrame, static: DataFrame, on: str) -> DataFrame:
     """Inner join of a stream with a static table; rows without a match are skipped."""
     return stream.join(static, on)
+
+
+def follow_last_item(
+    clicks: DataFrame, lists: DataFrame, user: str, item: str, order: list[str], label: str, checkpoint: str | None = None, path: str | None = None,
+) -> DataFrame:
+    """Keep for every user the list of the item clicked last, in a keyed table updated batch by batch; returns the table.
+
+    ``lists`` has one row per item. Each micro-batch joins its clicks with it, keeps the last matching click of every user and
+    writes one row per changed user to a folder of its own, so that a retried batch changes nothing. A click on an item without
+    a list, or by no user, leaves the table as it is. Late clicks do not replace newer ones: the greatest ``order`` counts.
+    """
+    spark = clicks.sparkSession
+    path = path or scratch_path(spark, f"{label}-table")
+    values = [c for c in lists.columns if c != item]
+    row = F.struct(*order, *values)
+
+    def changed(batch: DataFrame) -> DataFrame:
+        found = lookup_join(batch.select(user, item, *order), lists, item).where(F.col(user).isNotNull())
+        return found.groupBy(user).agg(F.max_by(row, F.struct(*order)).alias("last"))
+
+    drain(clicks, checkpoint or scratch_path(spark, f"{label}-state"), "append", serving.batch_writer(path, changed))
+    return spark.read.parquet(path).groupBy(user).agg(F.max_by("last", F.struct(*[F.col("last")[c] for c in order])).alias("last")).select(user, "last.*")
