@@ -4,8 +4,8 @@ One hash function orders all n-grams; a set keeps its 128 least values as its sk
 sets) of the 32 least of them: two linked sets share so many of these that each needs to stand in the lists of its rarest
 values only. Per list every node is paired with the least node; the sketch of a pair's union, the least 128 values of both,
 filters pairs, and full sets decide. That joins groups of copies without all their pairs. In lists whose nodes are not yet in
-one component, the full sets of the nodes outside the largest component are compared with all others, block by block, and
-only links that join components leave a block.
+one component, the nodes outside the largest are compared with all others, block by block: sketches put components that may
+be linked into groups, and the full sets of a group decide. Only pairs that join components leave a block.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from lodestone.session import spread, stored
 KEPT, LISTED = 128, 32
 #: Chance that a linked pair of large sets shares fewer values than `sure_overlap` says.
 MISS = 1e-9
-#: Nodes of a list, and n-grams of their sets, that are compared at once with as many others.
+#: Nodes, and n-grams of their sets, that are compared at once with as many others.
 BLOCK, BLOCK_GRAMS = 1024, 1 << 20
 WORDS_HELD = 300_000
 _FACTORS = np.random.default_rng(11).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
@@ -111,14 +111,14 @@ def _index(sets: DataFrame, percent: int) -> DataFrame:
     return stored(index.join(members.groupBy("n", "h1", "h2").agg(F.min("value").alias("value")), "value").select("value", "node"), "distinct-lists")
 
 
-def _spanning_links(held: list, percent: int) -> list[tuple[int, int]]:
-    """Links between nodes outside and nodes inside that join components, from (outside, node, comp, grams) rows."""
+def _spanning(held: list, close) -> list[tuple[int, int]]:
+    """Pairs of components that some close pair of a row outside and a row inside joins; (outside, comp, values) rows."""
     inside, outside = [h for h in held if not h[0]], [h for h in held if h[0]]
-    sizes = np.array([len(h[3]) for h in inside])
-    values = np.concatenate([h[3] for h in inside])
+    sizes = np.array([len(h[2]) for h in inside])
+    values = np.concatenate([h[2] for h in inside])
     order = np.argsort(values, kind="stable")
     values, owners = values[order], np.repeat(np.arange(len(inside)), sizes)[order]
-    root = {h[2]: h[2] for h in held}
+    root = {h[1]: h[1] for h in held}
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -126,66 +126,85 @@ def _spanning_links(held: list, percent: int) -> list[tuple[int, int]]:
         return x
 
     out = []
-    for _, node, comp, grams in outside:
-        low, high = np.searchsorted(values, grams, "left"), np.searchsorted(values, grams, "right")
+    for _, comp, own in outside:
+        low, high = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
         some = high > low
         low, n = low[some], (high - low)[some]
         ends = np.cumsum(n)
         met = owners[np.arange(ends[-1] if len(n) else 0) + np.repeat(low - (ends - n), n)]
         both = np.bincount(met, minlength=len(inside))
-        for x in np.flatnonzero((both > 0) & (both * 100 >= (sizes + len(grams) - both) * percent)):
-            one, two = find(comp), find(inside[x][2])
+        for x in np.flatnonzero((both > 0) & close(both, sizes, len(own))):
+            one, two = find(comp), find(inside[x][1])
             if one != two:
                 root[max(one, two)] = min(one, two)
-                out.append((node, inside[x][1]))
+                out.append((comp, inside[x][1]))
     return out
 
 
-def _linked_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links that join components, from rows (value, i, j, outside, node, comp, grams); two blocks are held at once."""
+def _opened(rows: DataFrame, cost: Column, most: int) -> DataFrame:
+    """(value, i, j, outside, node, comp): the groups of (value, node, comp, size) that hold more than one component, in blocks.
+
+    Rows outside a group's largest component meet all its rows, in blocks of about BLOCK rows and `most` of the cost each: a
+    group is copied as often as its outside rows fill blocks, so that many copies with some strangers are gone through once.
+    """
+    rows = rows.withColumn("cost", cost.cast("bigint"))
+    parts = rows.groupBy("value", "comp").agg(F.count("*").alias("c"), F.sum("cost").alias("s"))
+    groups = parts.groupBy("value").agg(F.max(F.struct("c", "comp", "s")).alias("most"), F.sum("c").alias("n"), F.sum("s").alias("cost"), F.count("*").alias("parts")).where("parts > 1")
+    blocks = lambda n, cost: F.greatest(F.ceil(n / BLOCK), F.ceil(cost / most)).cast("int")
+    groups = groups.select("value", F.col("most.comp").alias("largest"), blocks(F.col("n"), F.col("cost")).alias("blocks"), blocks(F.col("n") - F.col("most.c"), F.col("cost") - F.col("most.s")).alias("outer"))
+    met = stored(rows.select("value", "node", "comp").join(groups, "value"), "open-groups")
+    own, each = F.xxhash64("node"), lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    inner = met.select("value", each("outer").alias("i"), F.pmod(own, "blocks").cast("int").alias("j"), F.lit(False).alias("outside"), "node", "comp")
+    outer = met.where("comp <> largest").select("value", F.pmod(own, "outer").cast("int").alias("i"), each("blocks").alias("j"), F.lit(True).alias("outside"), "node", "comp")
+    return inner.unionByName(outer)
+
+
+def _joining(rows: DataFrame, values: DataFrame, close) -> DataFrame:
+    """(u, v): pairs of components of opened rows that hold a close pair, stored; `values` has (node, values).
+
+    `close(both, sizes, size)` tells from shared values and sizes which rows inside are close to a row outside. Two blocks
+    are held at once, and pairs that a block has joined by others are not written.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, sides = None, [], set()
 
-        def links():
-            found = _spanning_links(held, percent) if len(sides) == 2 else []
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+        def pairs():
+            found = _spanning(held, close) if len(sides) == 2 else []
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["u", "v"])
 
         for batch in sliced(batches, 256):
-            at = list(zip(*[batch.column(k).to_pylist() for k in range(6)]))
-            starts, values = batch.column(6).offsets.to_numpy(), batch.column(6).values.to_numpy()
-            for k, (value, i, j, outside, node, comp) in enumerate(at):
+            at = list(zip(*[batch.column(k).to_pylist() for k in range(5)]))
+            starts, numbers = batch.column(5).offsets.to_numpy(), batch.column(5).values.to_numpy()
+            for k, (value, i, j, outside, comp) in enumerate(at):
                 if (value, i, j) != key:
                     if held:
-                        yield links()
+                        yield pairs()
                     key, held, sides = (value, i, j), [], set()
-                held.append((outside, node, comp, values[starts[k]:starts[k + 1]].copy()))
+                held.append((outside, comp, numbers[starts[k]:starts[k + 1]].copy()))
                 sides.add(outside)
         if held:
-            yield links()
+            yield pairs()
 
-    keyed = rows.repartition("value", "i", "j").sortWithinPartitions("value", "i", "j")
-    return keyed.select("value", "i", "j", "outside", "node", "comp", "grams").mapInArrow(run, "a bigint, b bigint").distinct()
+    keyed = rows.join(values, "node").repartition("value", "i", "j").sortWithinPartitions("value", "i", "j")
+    return stored(keyed.select("value", "i", "j", "outside", "comp", "values").mapInArrow(run, "u bigint, v bigint").distinct(), "joining")
 
 
 def _outside_links(index: DataFrame, comps: DataFrame, sets: DataFrame, grams, percent: int) -> DataFrame:
-    """Links that join components in the lists that hold more than one; `grams` gives the full sets of nodes.
+    """(u, v): pairs of components (u, v) that links between their nodes join.
 
-    Nodes outside a list's largest component meet all nodes of the list, in blocks of about a million n-grams each: a list is
-    copied as often as its outside nodes fill blocks, so that a group of copies with some strangers is gone through once.
+    In the lists that hold several components, sketches that may be of linked sets put components together in groups; in each
+    group, which holds a node once however many lists it stands in, full sets decide.
     """
-    comp = F.coalesce("v", "node")
-    rows = index.join(comps, index["node"] == comps["u"], "left").select("value", "node", comp.alias("comp")).join(sets.select("node", "size"), "node")
-    parts = rows.groupBy("value", "comp").agg(F.count("*").alias("c"), F.sum("size").alias("s"))
-    lists = parts.groupBy("value").agg(F.max(F.struct("c", "comp", "s")).alias("most"), F.sum("c").alias("n"), F.sum("s").alias("size"), F.count("*").alias("parts")).where("parts > 1")
-    blocks = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_GRAMS)).cast("int")
-    lists = lists.select("value", F.col("most.comp").alias("largest"), blocks(F.col("n"), F.col("size")).alias("blocks"), blocks(F.col("n") - F.col("most.c"), F.col("size") - F.col("most.s")).alias("outer"))
-    met = stored(rows.drop("size").join(lists, "value"), "open-lists")
-    full = grams(met.select("node").distinct()).select("node", "grams")
-    own = F.xxhash64("node")
-    inner = met.select("value", F.explode(F.sequence(F.lit(0), F.col("outer") - 1)).alias("i"), F.pmod(own, "blocks").cast("int").alias("j"), F.lit(False).alias("outside"), "node", "comp")
-    outer = met.where("comp <> largest").select("value", F.pmod(own, "outer").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(True).alias("outside"), "node", "comp")
-    return stored(_linked_in_blocks(inner.unionByName(outer).join(full, "node"), percent), "outside-links")
+    sure = sure_overlap(KEPT, percent)
+    nodes = sets.join(comps, sets["node"] == comps["u"], "left").select("node", "size", F.coalesce("v", "node").alias("comp"))
+    listed = _opened(index.join(nodes, "node").select("value", "node", "comp", "size"), F.lit(0), 1)
+    near = _joining(listed, sets.select("node", F.col("sketch").alias("values")), lambda both, sizes, size: both >= np.minimum(sure, np.ceil(np.maximum(sizes, size) * percent / 100)))
+    groups = labelled(near)
+    members = groups.select(F.col("u").alias("comp"), F.col("v").alias("value")).unionByName(groups.select(F.col("v").alias("comp"), F.col("v").alias("value")).distinct())
+    grouped = _opened(nodes.join(members, "comp").select("value", "node", "comp", "size"), F.col("size"), BLOCK_GRAMS)
+    full = grams(nodes.join(members, "comp").select("node"))
+    return _joining(grouped, full.select("node", F.col("grams").alias("values")), lambda both, sizes, size: both * 100 >= (sizes + size - both) * percent)
 
 
 def _side(sets: DataFrame, name: str, column: str) -> DataFrame:
@@ -262,7 +281,7 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, n: int = 3, perce
     comps = labelled(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     more = _outside_links(index, comps, sets, grams, percent)
     if not more.isEmpty():
-        comps = labelled(comps.unionByName(more.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+        comps = labelled(comps.unionByName(more))
     of = nodes.join(comps, nodes["node"] == comps["u"], "left").select("content", "least", F.coalesce("v", "node").alias("comp"))
     leasts = of.groupBy("comp").agg(F.min("least").alias("component_id"))
     named = of.join(leasts, "comp").select("content", "component_id")
