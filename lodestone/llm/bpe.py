@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.pieces import PIECES, WHITE, PieceMemory
-from lodestone.llm.rows import sliced
+from lodestone.llm.rows import sliced, tidy
 
 START = -1
 NEVER = 1 << 60
@@ -230,7 +230,7 @@ def encode(df: DataFrame, id_col: str, text_col: str, path: str, pattern: str) -
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(tidy(run), f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
 
 
 def decode(df: DataFrame, id_col: str, path: str, chunk: int = 4096) -> DataFrame:
@@ -251,4 +251,4 @@ def decode(df: DataFrame, id_col: str, path: str, chunk: int = 4096) -> DataFram
 
     rows = df.select(F.col(id_col).alias("id"), "ids")
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, ids array<int>, text string").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(tidy(run), f"id {kind}, ids array<int>, text string").withColumnRenamed("id", id_col)

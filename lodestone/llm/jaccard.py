@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.components import labelled
-from lodestone.llm.rows import sliced, unwrapped, wrapped
+from lodestone.llm.rows import sliced, tidy, unwrapped, wrapped
 from lodestone.session import stored
 
 TREES, DEPTH = 20, 6
@@ -100,7 +100,7 @@ def sketched(df: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
             )
 
     hashed = rows.select("id", F.xxhash64("text").alias("text_hash"), "text")
-    return stored(hashed.mapInArrow(run, f"id {kind}, text_hash bigint, content binary, size int, signature binary"), "sketches")
+    return stored(hashed.mapInArrow(tidy(run), f"id {kind}, text_hash bigint, content binary, size int, signature binary"), "sketches")
 
 
 def _blocks(blocks: Column, key: str) -> Column:
@@ -215,7 +215,7 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, n: int = 5, thres
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], found], names=["content", "group", "copies", "blocks", "grams"])
 
     # a text that comes twice with one id is the same content
-    sets = texts.select("content", "group", "copies", "blocks", "text").mapInArrow(grams, "content binary, group binary, copies bigint, blocks int, grams binary")
+    sets = texts.select("content", "group", "copies", "blocks", "text").mapInArrow(tidy(grams), "content binary, group binary, copies bigint, blocks int, grams binary")
     dealt = sets.withColumn("b", F.explode(_blocks(F.col("blocks"), "content")))
     dealt = dealt.select("group", F.col("b.i").alias("i"), F.col("b.j").alias("j"), F.col("b.own").alias("own"), "content", "copies", "grams")
 

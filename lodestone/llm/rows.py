@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,23 @@ def unwrapped(df: DataFrame, columns: list[str], **new: Column) -> DataFrame:
     return df.select(*kept, *[c.alias(name) for name, c in new.items()])
 
 
+def give_back() -> None:
+    """Return freed memory to the system: the worker, or the driver, may go on to other work."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The same function over batches, giving memory back when its task ends and its tables are gone."""
+
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        give_back()
+
+    return whole
 
 
 def sliced(batches: Iterable[pa.RecordBatch], n: int = 1000) -> Iterator[pa.RecordBatch]:
@@ -27,4 +45,4 @@ def sliced(batches: Iterable[pa.RecordBatch], n: int = 1000) -> Iterator[pa.Reco
     for batch in batches:
         for first in range(0, batch.num_rows, n):
             yield batch.slice(first, n)
-    pa.default_memory_pool().release_unused()  # the worker may go on to other work
+    pa.default_memory_pool().release_unused()

@@ -1,11 +1,11 @@
-"""Removal of long byte strings that occur more than once, by a logarithmic family of sparse suffix arrays.
-
-Of all suffixes only those at anchors are kept: a window of LENGTH bytes is represented by the position of its least k-gram
-hash among its first SPAN positions, so equal windows have the same anchor at the same place. All starts with one anchor form
-a run. A suffix array orders the anchored suffixes of a batch by the fingerprint of the bytes that every window of a run has
-in common; equal prefixes stand together. New batches are merge-scanned against the existing levels; levels of equal size are
-merged into the next one. Suffixes that met another are then told apart exactly: runs with equal surroundings are repeated
-as a whole, others are halved into ever shorter ranges of starts until each window is compared by itself.
+"""Removal of long byte strings that occur more than once, by a logarithmic family of tables of anchored fingerprints.
+
+Of all starts only anchors are kept: a window of LENGTH bytes is represented by the position of its least k-gram hash among its
+first SPAN positions, so equal windows have the same anchor at the same place. All starts with one anchor form a run, whose
+key is the fingerprint of the bytes that every window of the run has in common. No suffix order is kept: only equality is
+asked for. New batches are counted together with the existing levels; levels of equal size are merged into the next one.
+Anchors that met another are then told apart exactly: runs with equal surroundings are repeated as a whole, others are cut
+into ever shorter ranges of starts until each window is compared by itself.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructType
 
-from lodestone.llm.rows import sliced, unwrapped, wrapped
+from lodestone.llm.rows import sliced, tidy, unwrapped, wrapped
 from lodestone.session import stored
 
 GRAM = 16
@@ -63,7 +63,7 @@ def runs(data: bytes, length: int, span: int) -> Iterator[tuple[int, int, int]]:
 
 
 class SuffixFamily:
-    """Levels of (key, number of suffixes), sorted by key; level r holds 2**r batches. Postings stay with their batch.
+    """Levels of (key, number of anchors); level r holds 2**r batches. Postings stay with their batch.
 
     A batch has the columns id and text. NULL texts are empty. Rows with equal id and text are one document for the
     postings, whose strings all occur twice.
@@ -76,11 +76,11 @@ class SuffixFamily:
         self.met: list[DataFrame] = []
 
     def suffixes(self, docs: DataFrame) -> DataFrame:
-        """The anchored suffixes of a batch in key order, stored."""
+        """The anchored fingerprints of a batch, stored."""
         length, span = self.length, self.span
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in sliced(batches, 500):
                 row, ps, los, his, keys, sames = [], [], [], [], [], []
                 for i, text in enumerate(batch.column(2).to_pylist()):
                     data = (text or "").encode()
@@ -97,11 +97,11 @@ class SuffixFamily:
                     [batch.column(0).take(take), batch.column(1).take(take), *(pa.array(x, pa.int32()) for x in (ps, los, his)), *(pa.array(x, pa.int64()) for x in (keys, sames))],
                     names=["id", "text_hash", "p", "lo", "hi", "key", "same"])
 
-        rows = docs.select("id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, POSTING.format(self.id_type))
+        rows = docs.select("id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(tidy(run), POSTING.format(self.id_type))
         return stored(rows, "suffixes")
 
     def ingest(self, docs: DataFrame) -> None:
-        """Add a batch: its suffix array, a merge scan against all levels, and the merge of equal levels."""
+        """Add a batch: its fingerprints, counted together with those of all levels, and the merge of equal levels."""
         batch = self.suffixes(docs)
         self.batches.append(batch)
         rank = 0
@@ -114,7 +114,7 @@ class SuffixFamily:
         # levels below `rank` are merged with the batch into the level `rank`
         scan = both.groupBy("key").agg(
             F.sum("n").alias("all"), F.sum(F.when(F.col("level") < 0, F.col("n")).otherwise(0)).alias("new"), F.sum(F.when(F.col("level") < rank, F.col("n")).otherwise(0)).alias("n"))
-        scan = stored(scan.where("n > 0").sortWithinPartitions("key"), "level")
+        scan = stored(scan.where("n > 0"), "level")
         self.met.append(scan.where((F.col("new") > 0) & (F.col("all") > 1)).select("key"))
         self.levels = {r: level for r, level in self.levels.items() if r > rank} | {rank: scan.select("key", "n")}
 
@@ -141,7 +141,7 @@ def packed(df: DataFrame, kind: str, values: str, merge: int = 0) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 2000):
             out = []
             for own in batch.column(2):
                 fields = [f.to_numpy(zero_copy_only=False) for f in own.values.flatten()]
@@ -153,7 +153,7 @@ def packed(df: DataFrame, kind: str, values: str, merge: int = 0) -> DataFrame:
                 out.append(np.stack(fields, axis=1).astype("<i4").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["_id", "_hash", values])
 
-    return df.mapInArrow(run, f"_id {kind}, _hash bigint, {values} binary")
+    return df.mapInArrow(tidy(run), f"_id {kind}, _hash bigint, {values} binary")
 
 
 def sized_lists(df: DataFrame, values: str, most: int = 64 << 20) -> DataFrame:
@@ -183,7 +183,7 @@ def repeated_runs(family: SuffixFamily, docs: DataFrame) -> DataFrame:
     kind = family.id_type
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 500):
             row, ps, los, his, around = [], [], [], [], []
             for i, (text, own) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
                 data = (text or "").encode()
@@ -198,12 +198,12 @@ def repeated_runs(family: SuffixFamily, docs: DataFrame) -> DataFrame:
                                              names=["id", "text_hash", "p", "lo", "hi", "around"])
 
     # rows with equal id and text would meet themselves
-    around = texts.select("id", "text_hash", "text", "runs").mapInArrow(contexts, f"id {kind}, text_hash bigint, p int, lo int, hi int, around binary")
+    around = texts.select("id", "text_hash", "text", "runs").mapInArrow(tidy(contexts), f"id {kind}, text_hash bigint, p int, lo int, hi int, around binary")
     around = stored(around.dropDuplicates(["id", "text_hash", "p", "lo"]), "contexts")
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Ranges of `part` starts: what all their windows share, and all that they cover."""
-        for batch in batches:
+        for batch in sliced(batches, 2000):
             row, los, his, keys, sames = [], [], [], [], []
             for i, (lo, hi, data) in enumerate(zip(*(batch.column(c).to_pylist() for c in (3, 4, 5)))):
                 for j in range(lo // part, hi // part + 1):
@@ -218,7 +218,7 @@ def repeated_runs(family: SuffixFamily, docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in (0, 1, 2)), pa.array(los, pa.int32()), pa.array(his, pa.int32()), pa.array(keys, pa.int64()), pa.array(sames, pa.int64())],
                                              names=["id", "text_hash", "p", "lo", "hi", "key", "same"])
 
-    ranges = stored(around.mapInArrow(parts, POSTING.format(kind)), "ranges")
+    ranges = stored(around.mapInArrow(tidy(parts), POSTING.format(kind)), "ranges")
     found, open_ones = _told_apart(ranges, ["key"], ["same"])
     marks.append(found.select("id", "text_hash", (F.col("p") - F.col("hi")).alias("first"), (F.col("p") - F.col("lo")).alias("last")))
     left = open_ones.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("p").alias("_p"), F.col("lo").alias("from"), F.col("hi").alias("to"))
@@ -226,7 +226,7 @@ def repeated_runs(family: SuffixFamily, docs: DataFrame) -> DataFrame:
     single = around.join(left, match).select("id", "text_hash", "p", "hi", "around", "from", "to")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 2000):
             row, starts, one, two = [], [], [], []
             for i, (p, hi, data, first, last) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(2, 7)))):
                 for back in range(first, last + 1):
@@ -239,7 +239,7 @@ def repeated_runs(family: SuffixFamily, docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(starts, pa.int32()), pa.array(one, pa.int64()), pa.array(two, pa.int64())],
                                              names=["id", "text_hash", "first", "one", "two"])
 
-    each = stored(single.mapInArrow(windows, f"id {kind}, text_hash bigint, first int, one bigint, two bigint"), "windows")
+    each = stored(single.mapInArrow(tidy(windows), f"id {kind}, text_hash bigint, first int, one bigint, two bigint"), "windows")
     twice = each.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two")
     marks.append(each.join(twice, ["one", "two"], "left_semi").select("id", "text_hash", "first", F.col("first").alias("last")))
     out = marks[0]
@@ -261,7 +261,7 @@ def deduplicated(df: DataFrame, id_col: str, text_col: str, length: int = 400, b
     for b in range(batches):
         family.ingest(docs.where(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(batches)) == b))
     marks = repeated_runs(family, docs)
-    starts = marks.groupBy("id", "text_hash").agg(F.collect_list(F.struct("first", "last")).alias("starts"))
+    starts = marks.groupBy("id", "text_hash").agg(F.collect_set(F.struct("first", "last")).alias("starts"))  # repeated rows mark the same
     spans = sized_lists(stored(packed(starts, family.id_type, "spans", merge=length), "spans"), "spans")
     both = rows.join(spans, F.col("id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left").select("row", "text", "spans")
 
@@ -286,4 +286,4 @@ def deduplicated(df: DataFrame, id_col: str, text_col: str, length: int = 400, b
     schema = StructType([rows.schema["row"]]).add("kept", StringType() if as_text else BinaryType())
     for name in new:
         schema = schema.add(name, LongType())
-    return unwrapped(both.mapInArrow(cut, schema), df.columns, **{c: F.col(c) for c in ["kept", *new]})
+    return unwrapped(both.mapInArrow(tidy(cut), schema), df.columns, **{c: F.col(c) for c in ["kept", *new]})

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from lodestone.llm.rows import sliced, unwrapped, wrapped
+from lodestone.llm.rows import give_back, sliced, tidy, unwrapped, wrapped
 from lodestone.operators.ordered import broadcast_if_small
 from lodestone.session import stored
 
@@ -248,11 +248,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
-        for batch in batches:
+        for batch in sliced(batches):
             found = [np.array(buckets(t, known), "<i4").tobytes() if t else b"" for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary()), batch.column(2), batch.column(3)], names=["id", "buckets", "label", "lang"])
 
-    return rows.mapInArrow(run, "id string, buckets binary, label int, lang string")
+    return rows.mapInArrow(tidy(run), "id string, buckets binary, label int, lang string")
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", lang_col: str = "lang",
@@ -272,6 +272,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if len(set(classes)) == 2 and (counted.get(1, 0) > most_toxic or counted.get(0, 0) > most_clean):
         used = [sample["id"][i].as_py() for k, i in enumerate(order) if k % 5 != 4]
         _calibrate_on_all(model, _texts(docs, id_col, text_col, lang_col).join(broadcast_if_small(flagged), "id"), used)
+    give_back()
     return model
 
 
@@ -295,7 +296,7 @@ def _calibrate_on_all(model: Model, rows: DataFrame, used: list[str]) -> None:
             yield pa.RecordBatch.from_arrays([batch.column(3), batch.column(2), pa.array(free), pa.array(steps)], names=["lang", "label", "free", "step"])
 
     rows = rows.select(F.col("id").cast("string").alias("id"), "text", "label", "lang")
-    counts = rows.mapInArrow(run, "lang string, label int, free boolean, step long").groupBy("lang", "label", "free", "step").count()
+    counts = rows.mapInArrow(tidy(run), "lang string, label int, free boolean, step long").groupBy("lang", "label", "free", "step").count()
     counts = stored(counts, "logits")
     free, toxic = F.col("free"), F.col("label") == 1
     own = counts.where("free").groupBy("lang").agg(F.sum(F.when(toxic, F.col("count"))).alias("t"), F.sum(F.when(~toxic, F.col("count"))).alias("c"))
@@ -336,7 +337,7 @@ def with_scores(df: DataFrame, text_col: str, lang_col: str, model: Model) -> Da
             found = model.scores(_logits(batch.column(1).to_pylist(), model, tables, known))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.float64())], names=["row", "lang", "score"])
 
-    scored = rows.mapInArrow(run, StructType([rows.schema["row"], rows.schema["lang"]]).add("score", DoubleType()))
+    scored = rows.mapInArrow(tidy(run), StructType([rows.schema["row"], rows.schema["lang"]]).add("score", DoubleType()))
     limit = F.lit(model.thresholds.get("", 0.7))
     for lang, value in sorted(model.thresholds.items()):
         if lang:
