@@ -1,5 +1,6 @@
 """Near-duplicates, repeated strings, main text, toxicity and the pipeline against brute force."""
 
+import hashlib
 import random
 import zlib
 from collections import Counter
@@ -343,12 +344,30 @@ def test_pipeline_stages_against_brute_force(spark):
     assert after["encoding"][1].count() == len(clean)
 
 
+    import public_tokenizers
+    import tiktoken
+    from tiktoken.load import load_tiktoken_bpe
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    codec = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_tiktoken_bpe(path), special_tokens={})
+    before, out = after["encoding"]
+    for r in out.collect():
+        ids = codec.encode_ordinary(before[r["doc_id"]])
+        assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(before[r["doc_id"]].encode()).hexdigest()
+
+
 @pytest.mark.parametrize("stage", range(5))
 def test_stages_take_odd_and_empty_documents(spark, odd, stage):
-    docs = odd.select("doc_id", "text", "lang", F.lit("s").alias("source"), F.length("text").cast("long").alias("n_chars"))
+    """Columns named like those of the operators come through unchanged."""
+    docs = odd.withColumns({"source": F.lit("s"), "n_chars": F.length("text").cast("long"), "toxic_flag": F.lit("extra toxic_flag"), "n_removed": F.lit("extra n_removed")})
     name, run = corpus_pipeline.STAGES[stage]
     out = run(spark, docs, FOLDER)
     kept = out.count()
     assert kept <= docs.count() and run(spark, docs.limit(0), FOLDER).count() == 0
+    if name != "encoding":
+        assert out.columns == docs.columns
+        extras = [c for c in docs.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]
+        assert all(out.where(F.col(c) != f"extra {c}").count() == 0 for c in extras)
     if name == "decontamination":
         assert kept == docs.count()
