@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from lodestone.functions import columns as fn
-from lodestone.operators import descent, lloyd, moments, trees
+from lodestone.operators import descent, factors, lloyd, moments, trees
 from lodestone.plans.registry import query
 from lodestone.session import stored
 
@@ -231,3 +231,52 @@ def explained_variance(t):
     rows = [(k, float(v), float(s)) for k, (v, s) in enumerate(zip(values, np.cumsum(values) / np.trace(matrix)), 1)]
     out = t.spark.createDataFrame(rows, "component int, variance double, share double")
     return out.select("component", F.round("variance", 7).alias("variance"), F.round("share", 6).alias("share"))
+
+
+# --- factors -----------------------------------------------------------------------------------
+
+_REG, _HALF_STEPS = 0.1, 4
+
+
+def _als_sql() -> str:
+    """CTEs of four half-steps of rank 2, whose normal equations are solved by Cramer's rule, and of the loss after each."""
+    start = ", ".join(f"(('0x' || substr(md5(i::varchar || '-{k}'), 1, 8))::ubigint)::double / 4294967296 {c}" for k, c in enumerate("ab"))
+    parts = [f"""r as (select o_custkey u, l_partkey i, avg(l_quantity)::double v from orders join lineitem on o_orderkey = l_orderkey group by all),
+i0 as (select i, {start} from (select distinct i from r))"""]
+    last = {"u": None, "i": "i0"}
+    for step in range(1, _HALF_STEPS + 1):
+        own, other = ("u", "i") if step % 2 else ("i", "u")
+        name = f"{own}{step}"
+        parts.append(f"""{name} as (
+    select {own}, (bb * ra - ab * rb) / (aa * bb - ab * ab) a, (aa * rb - ab * ra) / (aa * bb - ab * ab) b
+    from (select {own}, sum(a * a) + {_REG} * count(*) aa, sum(a * b) ab, sum(b * b) + {_REG} * count(*) bb, sum(a * v) ra, sum(b * v) rb from r join {last[other]} using ({other}) group by all))""")
+        last[own] = name
+        parts.append(f"""loss{step} as (
+    select {step} as half_step, count(*) n, sqrt(avg((v - x.a * y.a - x.b * y.b) ** 2)) rmse,
+        (sum((v - x.a * y.a - x.b * y.b) ** 2) + {_REG} * sum(x.a * x.a + x.b * x.b + y.a * y.a + y.b * y.b)) / count(*) objective
+    from r join {last['u']} x using (u) join {last['i']} y using (i))""")
+    return "with " + ", ".join(parts)
+
+
+def _bought(t):
+    return t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")).groupBy(F.col("o_custkey").alias("u"), F.col("l_partkey").alias("i")).agg(F.avg("l_quantity").alias("v"))
+
+
+@query("ml_als_steps", _als_sql() + " " + " union all ".join(f"select half_step, n, round(rmse, 5) rmse, round(objective, 5) objective from loss{k}" for k in range(1, _HALF_STEPS + 1)))
+def als_steps(t):
+    """Errors and penalised objective after every half-step of a factorization of rank 2."""
+    out = None
+    for step, loss, _, _ in factors.alternate(stored(_bought(t), "bought"), "u", "i", "v", 2, _REG, _HALF_STEPS // 2):
+        objective = (F.col("squared") + F.col("penalty")) / F.col("n")
+        row = loss.select(F.lit(step).alias("half_step"), "n", F.round(F.sqrt(F.col("squared") / F.col("n")), 5).alias("rmse"), F.round(objective, 5).alias("objective"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("ml_als_factors", _als_sql() + f""" select 'user' as side, u as key, round(a, 4) + 0.0 f0, round(b, 4) + 0.0 f1 from u{_HALF_STEPS - 1}
+union all select 'item', i, round(a, 4) + 0.0, round(b, 4) + 0.0 from i{_HALF_STEPS}""")
+def als_factors(t):
+    """Factors of all customers and parts after the last half-step."""
+    *_, (_, _, users, items) = factors.alternate(stored(_bought(t), "bought"), "u", "i", "v", 2, _REG, _HALF_STEPS // 2)
+    sides = [side.select(F.lit(name).alias("side"), "key", *[(F.round(F.col("f")[k], 4) + 0.0).alias(f"f{k}") for k in (0, 1)]) for name, side in (("user", users), ("item", items))]
+    return sides[0].unionByName(sides[1])
