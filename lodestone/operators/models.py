@@ -13,31 +13,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions import columns as fn
-from lodestone.operators.metrics import area_under_pr, area_under_roc, auc_of_counts
-from lodestone.operators.ordered import top_per_group
+from lodestone.operators.metrics import auc_of_counts
+from lodestone.operators.ordered import top_per_group, with_running
 from lodestone.session import stored
 
 
 def binary_report(models: Mapping[str, object], df: DataFrame, label: str) -> DataFrame:
     """Accuracy, area under ROC and area under PR of several fitted models, one row each.
 
-    Rows are ordered by the probability of the label, where a model gives one, else by the margin. Each model scores the
-    table once.
+    Rows are ordered by the probability of the label, where a model gives one, else by the margin. All models' distinct scores
+    are counted in one aggregation and scanned once, from the highest down; both areas come from the running counts.
     """
-    out = None
+    scored = None
     for name, model in models.items():
-        scored = model.transform(df)
-        column = next((c for c in ("probability", "rawPrediction") if c in scored.columns), None)
+        rows = model.transform(df)
+        column = next((c for c in ("probability", "rawPrediction") if c in rows.columns), None)
         score = vector_to_array(column)[1] if column else F.col("prediction")
-        rows = stored(scored.select(F.col(label).alias("label"), score.alias("score"), "prediction"), "scored")
-        right = rows.agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"))
-        row = (
-            right.join(F.broadcast(area_under_roc(rows, "score", "label")))  # one row each
-            .join(F.broadcast(area_under_pr(rows, "score", "label")))
-            .select(F.lit(name).alias("model"), "accuracy", F.col("auc").alias("roc"), F.col("area").alias("pr"))
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+        rows = rows.select(F.lit(name).alias("model"), score.alias("score"), (F.col(label) == 1).alias("_yes"), (F.col(label) == F.col("prediction")).alias("_right"))
+        scored = rows if scored is None else scored.unionByName(rows)
+    counts = scored.groupBy("model", "score").agg(F.count_if("_yes").alias("pos"), F.count_if(~F.col("_yes")).alias("neg"), F.count_if("_right").alias("right"))
+    points = with_running(stored(counts, "scores"), ["model"], [F.col("score").desc()], {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))})
+    before = F.col("tp") - F.col("pos") + F.col("fp") - F.col("neg")  # rows with a higher score
+    precision = F.col("tp") / (F.col("tp") + F.col("fp"))
+    earlier = F.when(before > 0, (F.col("tp") - F.col("pos")) / before).otherwise(precision)
+    found = points.groupBy("model").agg(
+        F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.sum("right").alias("right"),
+        F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2)).alias("wins"), F.sum(F.col("pos") * (precision + earlier) / 2).alias("area"),
+    )
+    return found.select("model", (F.col("right") / (F.col("p") + F.col("n"))).alias("accuracy"), F.try_divide("wins", F.col("p") * F.col("n")).alias("roc"), F.try_divide("area", F.col("p")).alias("pr"))
 
 
 def grid_search(estimator: Estimator, grid: Mapping[str, Sequence], df: DataFrame, label: str, train_share: float, seed: int) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import columns as fn
 from lodestone.operators import features as fe
-from lodestone.operators import spectral
+from lodestone.operators import quantiles, spectral
 from lodestone.plans.registry import query
 from lodestone.session import stored
 
@@ -247,3 +247,20 @@ def sparse_rows(t):
     rows = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
     cells = rows.groupBy("o_custkey", "l_partkey").agg(F.sum("l_quantity").cast("bigint").alias("q"))
     return fe.sparse_rows(stored(cells, "cells"), "o_custkey", "l_partkey", "q", 16)
+
+
+@query("fe_kll_borders", "select i::int as border, (select count(*) from lineitem) n, true as within from range(1, 10) r(i)")
+def kll_borders(t):
+    """Ten parts of the prices from sketches of each return flag, merged; exact ranks tell whether each border is within twice the error."""
+    parts = stored(quantiles.sketched(t.lineitem, ["l_returnflag"], F.col("l_extendedprice")), "sketches")
+    whole = quantiles.merged(parts).select(F.kll_sketch_get_n_double("sketch").alias("n"), quantiles.borders(F.col("sketch"), 10).alias("cuts"))
+    whole = stored(whole, "borders")  # one row
+    price = F.col("l_extendedprice").cast("double")
+    below, upto = F.size(F.filter("cuts", lambda c: c < price)), F.size(F.filter("cuts", lambda c: c <= price))
+    ranks = t.lineitem.join(F.broadcast(whole)).groupBy(below.alias("below"), upto.alias("upto")).agg(F.count(F.lit(1)).alias("rows"))  # a row per place
+    cuts = whole.select("n", F.posexplode("cuts").alias("k", "cut")).join(F.broadcast(stored(ranks, "ranks")))
+    # a value lies under border k if fewer than k + 1 borders are at most it
+    counted = cuts.groupBy("n", "k").agg(F.sum(F.when(F.col("upto") <= F.col("k"), F.col("rows")).otherwise(0)).alias("lower"), F.sum(F.when(F.col("below") <= F.col("k"), F.col("rows")).otherwise(0)).alias("higher"))
+    share, error = (F.col("k") + 1) / 10, 2 * quantiles.rank_error()
+    within = (F.col("lower") / F.col("n") <= share + error) & (F.col("higher") / F.col("n") >= share - error)
+    return counted.select((F.col("k") + 1).alias("border"), "n", within.alias("within"))

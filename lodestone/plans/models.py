@@ -300,7 +300,7 @@ def model_compare(t):
     rows = stored(_returns(t).select("label", "features"), "rows")
     fitted = {
         "logistic regression": LogisticRegression(maxIter=10).fit(rows),
-        "linear svm": LinearSVC(maxIter=10).fit(rows),
+        "linear svm": LinearSVC(maxIter=10, regParam=0.01).fit(rows),
         "naive bayes": NaiveBayes().fit(rows),
         "decision tree": DecisionTreeClassifier(maxDepth=5, impurity="entropy", seed=7).fit(rows),
     }

@@ -5,7 +5,7 @@ from pyspark.ml.feature import CountVectorizer, StopWordsRemover, Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from lodestone.operators import ordered, text
+from lodestone.operators import ordered, text, topics
 from lodestone.plans.registry import query
 from lodestone.session import spread, stored
 
@@ -181,6 +181,45 @@ def lda(t):
     return model.transform(counts).select("doc_id", vector_to_array("topicDistribution").alias("topics"))
 
 
+_TOPICS, _VOCABULARY, _TOPIC_STEPS = 5, 300, 8
+
+
+def _topic_model(t, batches=1):
+    """Topics over the 300 most frequent clean words; (topic weights, perplexities, vocabulary)."""
+    tokens = text.token_rows(t.documents, "doc_id", "text").where(text.clean_token(F.col("token")))
+    tf = stored(text.term_frequencies(tokens, "doc_id"), "tf")
+    words = stored(text.vocabulary(tf, "doc_id", _VOCABULARY, least_documents=2), "words")
+    docs = topics.documents(tf, "doc_id", words)
+    return *topics.fit(docs, words.count(), _TOPICS, _TOPIC_STEPS, batches), words
+
+
+@query("tx_topic_terms")
+def topic_terms(t):
+    """The ten heaviest terms of every topic."""
+    weights, _, words = _topic_model(t)
+    rows = topics.topic_terms(weights, words)
+    return ordered.top_per_group(rows, ["topic"], [F.col("weight").desc(), F.col("term")], 10, "place").select("topic", "place", "term", F.round("weight", 6).alias("weight"))
+
+
+@query("tx_topic_mass", f"""
+with x as (select doc_id, unnest(list_filter(string_split_regex(lower(text), '\\W+'), lambda w: w <> '')) token from documents),
+     c as (select * from x where not regexp_matches(token, '[0-9]') and length(token) >= 2 and token not in ({', '.join(f"'{w}'" for w in text.STOP_WORDS)}))
+select token as term, count(*)::double as mass from c group by 1 having count(distinct doc_id) >= 2 order by count(*) desc, token limit {_VOCABULARY}""")
+def topic_mass(t):
+    """Expected counts of every term over all topics: what the topics share out is what the documents hold."""
+    weights, _, words = _topic_model(t)
+    mass = (weights - 1 / _TOPICS).sum(axis=0)
+    rows = t.spark.createDataFrame([(i, float(x)) for i, x in enumerate(mass)], "idx bigint, mass double")
+    return rows.join(words, "idx").select("term", F.round("mass", 3).alias("mass"))
+
+
+@query("tx_topic_perplexity")
+def topic_perplexity(t):
+    """Perplexity before every step, over all documents and over four hash-chosen batches in turn."""
+    rows = [(n, step, x) for n in (1, 4) for step, x in enumerate(_topic_model(t, n)[1])]
+    return t.spark.createDataFrame(rows, "batches int, step int, perplexity double").withColumn("perplexity", F.round("perplexity", 4))
+
+
 @query("tx_group_counts", "select source, count(*) n from documents group by source")
 def group_counts(t):
     return t.documents.groupBy("source").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "source")

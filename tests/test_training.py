@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.operators import descent, lloyd, moments, similarity, trees
+from lodestone.operators import descent, factors, lloyd, moments, quantiles, similarity, text, topics, trees
 from lodestone.streaming import jobs, panes
 
 # ------------------------------------------------------------------ gradient descent
@@ -300,3 +300,107 @@ def test_each_user_follows_the_item_clicked_last(spark, folder):
         stream = jobs.read_stream(spark, "parquet", spark.createDataFrame(rows, schema).schema, path=f"{folder}/clicks")
         table = jobs.follow_last_item(stream, lists, "user", "item", ["at"], "recs", f"{folder}/state", f"{folder}/table")
     assert sorted(tuple(r) for r in table.select("user", "parts", "at").collect()) == [(1, "c", 20), (3, "c", 12), (4, "c", 31)]
+
+
+# ------------------------------------------------------------------ factors
+
+
+def brute_factors(cells, users, start, rank, reg, steps):
+    p, q, losses = {}, dict(start), []
+    for step in range(1, steps + 1):
+        own, other, at = (p, q, 0) if step % 2 else (q, p, 1)
+        by = defaultdict(list)
+        for u, i, v in cells:
+            by[(u, i)[at]].append(((u, i)[1 - at], v))
+        own.clear()
+        for key, rows in by.items():
+            f, v = np.array([other[k] for k, _ in rows]), np.array([v for _, v in rows])
+            own[key] = np.linalg.solve(f.T @ f + reg * len(rows) * np.eye(rank), f.T @ v)
+        losses.append(sum((v - p[u] @ q[i]) ** 2 + reg * (p[u] @ p[u] + q[i] @ q[i]) for u, i, v in cells if u in p))
+    return p, q, losses
+
+
+def test_half_steps_equal_normal_equations(spark, monkeypatch):
+    """Also when keys are cut into chunks and few keys are solved together; the objective falls with every half-step."""
+    monkeypatch.setattr(factors, "CHUNK", 7)
+    monkeypatch.setattr(factors, "BLOCK", 16)
+    rng = np.random.default_rng(3)
+    true = rng.normal(size=(60, 3)), rng.normal(size=(40, 3))
+    cells = [(int(u), f"item {i}", float(true[0][u] @ true[1][i] + 0.1 * rng.normal())) for u, i in rng.integers(0, (60, 40), size=(900, 2))]
+    cells += [(0, f"item {i}", float(i)) for i in range(40)] * 2  # a user with many ratings, and repeated rows
+    df = spark.createDataFrame(cells + [(None, "item 1", 1.0), (1, None, 1.0), (1, "item 1", None)], "u long, i string, v double").repartition(5)
+    start = {r["key"]: np.array(r["f"]) for r in factors.hash_factors(df.select("i").distinct().dropna(), "i", 4).collect()}
+    p, q, losses = brute_factors(cells, 60, start, 4, 0.05, 6)
+    got = []
+    for _, loss, users, items in factors.alternate(df, "u", "i", "v", 4, 0.05, 3):
+        row = loss.first()
+        got.append(row["squared"] + row["penalty"])
+        assert row["n"] == len(cells)
+    assert got == pytest.approx(losses) and all(b < a for a, b in zip(got, got[1:]))
+    assert {r["key"]: r["f"] for r in users.collect()} == {k: pytest.approx(list(v), abs=1e-6) for k, v in p.items()}
+    assert {r["key"]: r["f"] for r in items.collect()} == {k: pytest.approx(list(v), abs=1e-6) for k, v in q.items()}
+    assert [loss.first()["n"] for _, loss, _, _ in factors.alternate(df.limit(0), "u", "i", "v", 4, 0.05, 1)] == [0, 0]
+
+
+# ------------------------------------------------------------------ quantiles and topics
+
+
+def test_sketches_of_parts_merge(spark):
+    rng = np.random.default_rng(1)
+    values = np.concatenate([rng.normal(size=20_000), rng.exponential(size=20_000) * 100, np.full(5000, 3.0)])
+    df = spark.createDataFrame([(i % 7, float(v)) for i, v in enumerate(values)] + [(1, None)], "part int, v double").repartition(6)
+    parts = quantiles.sketched(df, ["part"], F.col("v"))
+    row = quantiles.merged(parts).select(F.kll_sketch_get_n_double("sketch").alias("n"), F.octet_length("sketch").alias("size"), quantiles.borders(F.col("sketch"), 20).alias("cuts")).first()
+    assert row["n"] == len(values) and row["size"] < 60 * quantiles.K
+    ordered, error = np.sort(values), 2 * quantiles.rank_error()
+    for cut in row["cuts"]:
+        near = [k / 20 for k in range(1, 20)]
+        low, high = np.searchsorted(ordered, cut, "left") / len(values), np.searchsorted(ordered, cut, "right") / len(values)
+        assert any(low - error <= q <= high + error for q in near)
+    cuts = F.array(F.lit(1.0), F.lit(2.0))
+    got = spark.createDataFrame([(0.5,), (1.0,), (1.5,), (9.0,), (None,)], "v double").select(quantiles.bucket(F.col("v"), cuts).alias("b")).collect()
+    assert [r["b"] for r in got] == [0, 1, 1, 2, None]
+
+
+def topic_docs(spark, n=120):
+    rng, rows = random.Random(2), []
+    for d in range(n):
+        words = [f"a{k}" for k in range(8)] if d % 2 else [f"b{k}" for k in range(8)]
+        rows += [(d, rng.choice(words if rng.random() < 0.95 else ["common", "x"]), 1) for _ in range(30)]
+    tf = spark.createDataFrame(rows, "doc long, term string, one int").groupBy("doc", "term").agg(F.count("one").alias("tf"))
+    words = text.vocabulary(tf, "doc", 50, least_documents=2)
+    return topics.documents(tf, "doc", words), words
+
+
+def test_topics_are_told_apart(spark):
+    docs, words = topic_docs(spark)
+    size = words.count()
+    for batches in (1, 3):
+        weights, perplexities = topics.fit(docs, size, 2, 15, batches)
+        assert perplexities[-1] < 0.8 * perplexities[0]
+        rows = topics.topic_terms(weights, words).collect()
+        assert all(sum(r["weight"] for r in rows if r["topic"] == k) == pytest.approx(1) for k in (0, 1))
+        heaviest = [{r["term"][0] for r in sorted((r for r in rows if r["topic"] == k), key=lambda r: -r["weight"])[:8]} for k in (0, 1)]
+        assert sorted(heaviest, key=sorted) == [{"a"}, {"b"}]
+    assert all(b <= a * 1.001 for a, b in zip(topics.fit(docs, size, 2, 8)[1], topics.fit(docs, size, 2, 8)[1][1:]))
+
+
+def test_a_step_equals_a_plain_one(spark):
+    docs, words = topic_docs(spark, 20)
+    size = words.count()
+    start = np.random.default_rng(7).gamma(100.0, 0.01, (3, size))
+    beta = np.exp(topics.digamma(start) - topics.digamma(start.sum(axis=1, keepdims=True)))
+    counts = np.zeros((3, size))
+    for r in docs.collect():
+        gamma, phi = topics.shares(np.array(r["terms"]), np.array(r["counts"]), beta, 1 / 3)
+        counts[:, r["terms"]] += phi
+        assert gamma.sum() == pytest.approx(1 + sum(r["counts"]), rel=1e-3)
+    assert topics.fit(docs, size, 3, 1)[0] == pytest.approx(1 / 3 + counts)
+    assert topics.fit(docs.limit(0), size, 3, 2)[1] == []
+
+
+def test_digamma():
+    x = np.array([0.01, 0.5, 1.0, 2.0, 7.3, 1000.0])
+    want = [-100.56088545786868, -1.9635100260214235, -0.5772156649015329, 0.42278433509846713, 1.917820335541842, 6.907255195648812]
+    assert topics.digamma(x) == pytest.approx(want, rel=1e-6)
+    assert topics.digamma(x + 1) - topics.digamma(x) == pytest.approx(1 / x, rel=1e-6)
