@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.components import labelled
-from lodestone.llm.rows import sliced
+from lodestone.llm.rows import sliced, tidy
 from lodestone.session import spread, stored
 
 KEPT, LISTED = 128, 32
@@ -89,7 +89,7 @@ def _sketched(df: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
                 names=["id", "text_hash", "content", "size", "sketch"],
             )
 
-    out = spread(rows).mapInArrow(run, f"id {kind}, text_hash bigint, content binary, size bigint, sketch array<bigint>")
+    out = spread(rows).mapInArrow(tidy(run), f"id {kind}, text_hash bigint, content binary, size bigint, sketch array<bigint>")
     return stored(out.withColumn("row", F.monotonically_increasing_id()), "bottom-k")
 
 
@@ -187,7 +187,7 @@ def _joining(rows: DataFrame, values: DataFrame, close) -> DataFrame:
             yield pairs()
 
     keyed = rows.join(values, "node").repartition("value", "i", "j").sortWithinPartitions("value", "i", "j")
-    return stored(keyed.select("value", "i", "j", "outside", "comp", "values").mapInArrow(run, "u bigint, v bigint").distinct(), "joining")
+    return stored(keyed.select("value", "i", "j", "outside", "comp", "values").mapInArrow(tidy(run), "u bigint, v bigint").distinct(), "joining")
 
 
 def _outside_links(index: DataFrame, comps: DataFrame, sets: DataFrame, grams, percent: int) -> DataFrame:
@@ -239,7 +239,7 @@ def _full_sets(nodes: DataFrame, sets: DataFrame, df: DataFrame, id_col: str, te
             found = [grams(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["node", "size", "grams"])
 
-    return stored(texts.mapInArrow(run, "node bigint, size bigint, grams array<bigint>").unionByName(whole), "full-sets")
+    return stored(texts.mapInArrow(tidy(run), "node bigint, size bigint, grams array<bigint>").unionByName(whole), "full-sets")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, grams, percent: int) -> DataFrame:
