@@ -58,10 +58,11 @@ def labelled_points(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def tagged_by_file(spark: SparkSession, path: str, pattern: str, name: str) -> DataFrame:
-    """Lines of several files, each with the part of its file name that the pattern captures."""
+def tagged_by_file(spark: SparkSession, path: str, pattern: str, name: str, folder: bool = False) -> DataFrame:
+    """Lines of several files, each with the part of its file name, or of its folder's path, that the pattern captures."""
     lines = spark.read.text(path)
-    return lines.select(F.regexp_extract("_metadata.file_name", pattern, 1).alias(name), "value")
+    source = "_metadata.file_path" if folder else "_metadata.file_name"
+    return lines.select(F.regexp_extract(source, pattern, 1).alias(name), "value")
 
 
 def count_per_file(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -34,10 +34,11 @@ def to_single_file(report: DataFrame, path: str) -> None:
     report.coalesce(1).write.mode("overwrite").text(path)
 
 
-def to_table(df: DataFrame, name: str) -> None:
-    """Drop and re-create a managed table."""
+def to_table(df: DataFrame, name: str, location: str | None = None) -> None:
+    """Drop and re-create a table, managed unless a location is given."""
     df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
-    df.write.saveAsTable(name)
+    writer = df.write.mode("overwrite")
+    (writer.option("path", location) if location else writer).saveAsTable(name)
 
 
 def load_into(df: DataFrame, name: str) -> None:
@@ -45,10 +46,11 @@ def load_into(df: DataFrame, name: str) -> None:
     df.write.insertInto(name)
 
 
-def create_table(spark: SparkSession, name: str, schema: StructType) -> None:
-    """Create an empty Parquet table unless it is there."""
+def create_table(spark: SparkSession, name: str, schema: StructType, location: str | None = None) -> None:
+    """Create an empty Parquet table unless it is there; with a location its files outlive the table."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet")
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{place}")
 
 
 def to_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
