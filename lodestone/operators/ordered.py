@@ -12,22 +12,39 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, BinaryType, StringType
 
 from lodestone.session import stored
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 GROUP_ROWS_SETTING = "spark.lodestone.maxGroupRows"
 GROUP_ROWS = 2_000_000
 
 _AGGREGATES = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a table for broadcast when it is counted to hold at most ``rows`` rows; store a table that is costly to compute.
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes, its texts and lists by their length."""
+    size = F.lit(16)
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            size = size + 16 + F.coalesce(F.octet_length(column), F.lit(0))
+        elif isinstance(field.dataType, AtomicType):
+            size = size + 16
+        else:
+            size = size + 32 + F.coalesce(F.octet_length(column.cast("string")), F.lit(0))
+    return size
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a table for broadcast when it is counted to hold at most ``rows`` rows and ``most`` bytes; store a table that is costly to compute.
 
     A larger table is returned as it is, and Spark picks a shuffled join, which splits skewed partitions at run time.
     """
-    return F.broadcast(df) if df.count() <= rows else df
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(df).cast("bigint")), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and size <= most else df
 
 
 def group_row_bound(df: DataFrame) -> int:

@@ -9,7 +9,7 @@ from pyspark.ml.feature import CountVectorizerModel, NGram, Tokenizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.operators.ordered import top_per_group, with_group_values, with_row_number
+from lodestone.operators.ordered import broadcast_if_small, top_per_group, with_group_values, with_row_number
 from lodestone.session import spread, stored
 
 # The custom stop-word list of the cleaning chain.
@@ -162,7 +162,7 @@ def classified(tf: DataFrame, labels: DataFrame, key: str, smoothing: float) ->
     sums = stored(weights.join(train, key).groupBy("actual", "term").agg(F.sum("x").alias("sum")), "sums")
     size = sums.agg(F.count_distinct("term")).first()[0]
     classes = sums.groupBy("actual").agg(F.log(F.sum("sum") + smoothing * size).alias("z")).join(train.groupBy("actual").agg(F.log(F.count(F.lit(1))).alias("prior")), "actual")
-    classes = F.broadcast(classes.withColumnRenamed("actual", "class"))  # one row per class
+    classes = broadcast_if_small(stored(classes.withColumnRenamed("actual", "class"), "classes"))  # one row per class
     asked = labels.where("NOT train").select(key, "actual")
     mass = weights.groupBy(key).agg(F.sum("x").alias("mass"))
     unseen = float(math.log(smoothing))
