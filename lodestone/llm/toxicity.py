@@ -66,12 +66,14 @@ class Model:
     def logits(self, docs: list[np.ndarray], tables: dict[int, list[np.ndarray]]) -> np.ndarray:
         """Texts, given as padded rows, one after the other in one array."""
         rows = np.concatenate(docs)
-        starts = np.cumsum([0, *map(len, docs)])[:-1]
+        ends = np.cumsum([0, *map(len, docs)])
+        starts, ends = ends[:-1], ends[1:]
         pooled = []
         for width, parts in tables.items():
             total = parts[0][rows]
-            for k in range(1, width):  # the padding keeps a window inside its text
+            for k in range(1, width):
                 total[:-k] += parts[k][rows[k:]]
+                total[ends - k] = -np.inf  # a window that would reach into the next text
             pooled.append(np.maximum.reduceat(total, starts, axis=0))
         hidden = np.maximum(np.concatenate(pooled, axis=1) + self.bias, 0)
         return hidden @ self.weights + self.intercept
