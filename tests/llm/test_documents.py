@@ -303,6 +303,38 @@ def test_classifier_without_labels(spark):
     assert toxicity.with_scores(docs.limit(0), "text", "lang", none).count() == 0
 
 
+def random_model(seed=0, words=50):
+    rng = np.random.default_rng(seed)
+    embedding = np.r_[np.zeros((1, 16)), rng.normal(size=(words - 1, 16))].astype(np.float32)
+    filters = {w: rng.normal(size=(w, 16, 8)).astype(np.float32) for w in toxicity.WIDTHS}
+    size = 8 * len(toxicity.WIDTHS)
+    return toxicity.Model(np.arange(toxicity.BUCKETS) % words, embedding, filters, rng.normal(size=size).astype(np.float32), rng.normal(size=size).astype(np.float32), 0.1)
+
+
+def plain_logit(model, rows):
+    """One text at a time, window by window."""
+    rows = [*rows, *[0] * toxicity.PAD]
+    pooled = []
+    for width, f in model.filters.items():
+        windows = [sum(model.embedding[rows[i + k]] @ f[k] for k in range(width)) for i in range(len(rows) - width + 1)]
+        pooled.append(np.max(windows, axis=0))
+    return np.maximum(np.concatenate(pooled) + model.bias, 0) @ model.weights + model.intercept
+
+
+def test_scores_equal_a_plain_forward_pass(spark):
+    """A text's score is the same alone and among others, empty texts included."""
+    model, rng = random_model(), np.random.default_rng(1)
+    docs = [rng.integers(0, 50, rng.integers(0, 9)) for _ in range(150)]
+    got = model.logits([toxicity.padded(d) for d in docs], model.tables())
+    assert got == pytest.approx([plain_logit(model, d) for d in docs], rel=1e-4, abs=1e-3)
+    texts = [None, "", "one word", *[" ".join(f"{chr(97 + x % 26)}{chr(97 + x // 26)}" for x in d) for d in docs[:40]]]
+    rows = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "id long, text string, lang string").repartition(3)
+    scored = {r["id"]: r["score"] for r in toxicity.with_scores(rows, "text", "lang", model).collect()}
+    for i, text in enumerate(texts):
+        logit = plain_logit(model, [model.row_of[b] for b in toxicity.buckets(text or "", {})])
+        assert scored[i] == pytest.approx(1 / (1 + np.exp(-np.clip(logit, -30, 30))), rel=1e-3, abs=1e-5)
+
+
 def test_held_out_labels_are_not_learned(spark):
     """The scores of op10 do not change when the labels that are held out are turned round."""
     rows = queries.QUERIES["op10_toxicity"](spark, FOLDER).collect()
