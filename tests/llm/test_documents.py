@@ -142,6 +142,27 @@ def test_repeated_strings_against_brute_force(spark):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def test_repeated_strings_by_shuffled_joins(spark, monkeypatch):
+    """What is too large to be broadcast takes shuffled joins, with the same result; repeated rows cut each other."""
+    monkeypatch.setattr(suffix_index, "sized", lambda df, row_bytes, most=0: df)
+    monkeypatch.setattr(suffix_index, "sized_lists", lambda df, values, most=0: df)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        texts = repeated_texts()
+        rows = [*enumerate(texts), (0, texts[0]), (0, texts[0]), (None, texts[9]), (None, None)]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+        want = cut([(t or "").encode() for _, t in rows], 400)
+        got = Counter((r["doc_id"], bytes(r["kept"]), r["n_removed"], r["n_spans"]) for r in suffix_index.deduplicated(df, "doc_id", "text").collect())
+        assert got == Counter((i, *w) for (i, _), w in zip(rows, want))
+        near = [(i, t) for i, t in enumerate(near_copies(40) + near_copies(20, seed=5))] + [(3, near_copies(40)[3])] * 3
+        frame = spark.createDataFrame(near, "doc_id long, text string")
+        found = Counter((r["doc_id"], r["class_id"], r["n_links"]) for r in jaccard.near_duplicates(frame, "doc_id", "text", broadcast_bytes=0).collect())
+        assert found == Counter((i, c, n) for (i, _), (c, n) in zip(near, classes(near)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_kept_text_has_no_broken_characters(spark):
     passage = "é" * 300 + "漢字" * 100
     texts = ["x" + passage + "é tail", "yy" + passage + "ñ other", "漢" + passage[300:] + "\U0001F600 end \ufffd"]
