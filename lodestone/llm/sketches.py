@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.components import labelled
 from lodestone.llm.rows import sliced, tidy
+from lodestone.operators.ordered import broadcast_if_small
 from lodestone.session import spread, stored
 
 KEPT, LISTED = 128, 32
@@ -230,6 +231,7 @@ def _full_sets(nodes: DataFrame, sets: DataFrame, df: DataFrame, id_col: str, te
     whole = wanted.where(F.col("size") <= KEPT).select("node", "size", F.col("sketch").alias("grams"))
     large = stored(wanted.where(F.col("size") > KEPT).select("node", F.col("id").alias("_id"), F.col("text_hash").alias("_hash")), "large")
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    large = broadcast_if_small(large, rows=1 << 20, most=64 << 20)  # else the texts are shuffled
     texts = texts.join(large, (F.xxhash64("text") == F.col("_hash")) & F.col("id").eqNullSafe(F.col("_id")))
     texts = texts.groupBy("node").agg(F.min("text").alias("text")).select("node", F.col("text").cast("binary").alias("text"))  # a row may come again
 
