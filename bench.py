@@ -20,6 +20,7 @@ HEADLINES = [
     "wn_row_number", "wn_running_sum_avg", "wn_equal_freq_bins", "wn_top3_group", "wn_delta", "set_distinct", "st_sliding", "st_user_clicks",
     "udf_aggregator", "fe_standard", "fe_chisq", "tx_token_counts", "tx_tfidf", "ev_auc", "ev_mapk", "ml_linreg", "ml_kmeans", "ml_fpgrowth",
     "rc_item_cosine", "rc_item_based", "rc_simrank", "tx_word2vec", "ml_als_topn", "rp_model_compare",
+    "ml_sgd_sweep", "ml_tree_levels", "rc_part_sampled",
 ]
 
 

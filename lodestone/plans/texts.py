@@ -153,14 +153,17 @@ def doc_cosine(t):
     return text.pair_cosine(weights, "doc_id", pairs, "a", "b").withColumn("cosine", F.round("cosine", 6))
 
 
+#: Parts whose vectors are averaged; the result depends on their number, so it is not that of the cores.
+_WORD2VEC_PARTS = 8
+
+
 @query("tx_word2vec")
 def word2vec(t):
     """Twenty synonyms of the most frequent token, from vectors trained on all documents."""
     tokens = stored(text.word_tokens(spread(t.documents.select("doc_id", "text")), "text", "tokens").select("doc_id", "tokens"), "tokens")
     counts = text.token_counts(tokens.select(F.explode("tokens").alias("token")))
     word = counts.orderBy(F.col("n").desc(), "token").first()["token"]
-    tasks = t.spark.sparkContext.defaultParallelism
-    model = Word2Vec(vectorSize=20, seed=7, numPartitions=tasks, inputCol="tokens", outputCol="v").fit(tokens)
+    model = Word2Vec(vectorSize=20, seed=7, numPartitions=_WORD2VEC_PARTS, inputCol="tokens", outputCol="v").fit(tokens)
     return model.findSynonyms(word, 20).withColumn("query", F.lit(word))
 
 
@@ -168,7 +171,7 @@ def word2vec(t):
 def doc_vectors(t):
     """Mean Word2Vec vector of every document."""
     tokens = stored(text.word_tokens(spread(t.documents.select("doc_id", "text")), "text", "tokens").select("doc_id", "tokens"), "tokens")
-    model = Word2Vec(vectorSize=20, seed=7, numPartitions=t.spark.sparkContext.defaultParallelism, inputCol="tokens", outputCol="v").fit(tokens)
+    model = Word2Vec(vectorSize=20, seed=7, numPartitions=_WORD2VEC_PARTS, inputCol="tokens", outputCol="v").fit(tokens)
     return model.transform(tokens).select("doc_id", vector_to_array("v").alias("v"))
 
 

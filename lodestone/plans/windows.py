@@ -1,4 +1,4 @@
-"""Ranking, running and neighbour plans, none of which needs a whole group in one task."""
+"""Ranking, running and neighbour plans; a group of more rows than `spark.lodestone.maxGroupRows` is spread over tasks."""
 
 from pyspark.sql import functions as F
 
