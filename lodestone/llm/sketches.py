@@ -216,6 +216,11 @@ def _nodes(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
 
+def _of_nodes(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of the given nodes; the nodes are broadcast while they are few, so that the rows stay where they are."""
+    return rows.join(broadcast_if_small(stored(nodes, "nodes"), rows=1 << 20, most=64 << 20), "node", "left_semi")
+
+
 def union_sketch_passes(percent: int) -> Column:
     """Whether the sketches set_a and set_b leave it possible that 100 * intersection >= percent * union."""
     union, common = F.array_sort(F.array_union("set_a", "set_b")), F.array_intersect("set_a", "set_b")
@@ -227,7 +232,7 @@ def union_sketch_passes(percent: int) -> Column:
 
 def _full_sets(nodes: DataFrame, sets: DataFrame, df: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     """(node, size, grams) of the given nodes, stored: the sketch if nothing was cut, else made from the text again."""
-    wanted = sets.join(nodes, "node", "left_semi")
+    wanted = _of_nodes(sets, nodes)
     whole = wanted.where(F.col("size") <= KEPT).select("node", "size", F.col("sketch").alias("grams"))
     large = stored(wanted.where(F.col("size") > KEPT).select("node", F.col("id").alias("_id"), F.col("text_hash").alias("_hash")), "large")
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -247,7 +252,7 @@ def _full_sets(nodes: DataFrame, sets: DataFrame, df: DataFrame, id_col: str, te
 def _linked(pairs: DataFrame, sets: DataFrame, grams, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose full sets are linked, stored; sketches of their unions sort out most others."""
     pairs = stored(pairs, "pairs")
-    sketches = stored(sets.select("node", "size", "sketch").join(_nodes(pairs), "node", "left_semi"), "met")
+    sketches = stored(_of_nodes(sets.select("node", "size", "sketch"), _nodes(pairs)), "met")
     likely = stored(pairs.join(_side(sketches, "a", "sketch"), "a").join(_side(sketches, "b", "sketch"), "b").where(union_sketch_passes(percent)).select("a", "b"), "likely")
     full = grams(_nodes(likely))
     both = F.size(F.array_intersect("set_a", "set_b"))
