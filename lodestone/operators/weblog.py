@@ -37,9 +37,9 @@ def top_ips(lines: DataFrame, k: int) -> DataFrame:
 
 
 def video_audience(lines: DataFrame, k: int) -> DataFrame:
-    """The ``k`` videos seen from most distinct addresses."""
+    """The ``k`` videos seen from most distinct addresses; a line without a valid one counts for none."""
     video = F.regexp_extract("value", VIDEO_PATTERN, 1)
-    seen = lines.select(video.alias("video"), ip_of(F.col("value")).alias("ip")).where("video <> ''")
+    seen = lines.select(video.alias("video"), F.nullif(ip_of(F.col("value")), F.lit("")).alias("ip")).where("video <> ''")
     return seen.groupBy("video").agg(F.countDistinct("ip").alias("n_ips")).orderBy(F.col("n_ips").desc(), "video").limit(k)
 
 

@@ -11,9 +11,9 @@ from lodestone.session import stored
 
 
 def _log_lines(t):
-    """Access-log lines formatted from the events."""
-    user = F.col("user_id")
-    ip = F.concat_ws(".", F.lit("192.168"), F.floor(user / 256).cast("string"), F.pmod(user, F.lit(256)).cast("string"))
+    """Access-log lines formatted from the events; user n has the n-th address from 192.168.0.0 on, so 65536 has 192.169.0.0."""
+    number = F.pmod(F.col("user_id") + (192 << 24 | 168 << 16), F.lit(1 << 32))
+    ip = F.concat_ws(".", *[F.shiftright(number, bits).bitwiseAND(255).cast("string") for bits in (24, 16, 8, 0)])
     status = (
         F.when(F.col("event_type") == "view", "200").when(F.col("event_type") == "click", "206")
         .when(F.col("event_type") == "purchase", "304").when(F.col("event_type") == "signup", "404").otherwise("500")

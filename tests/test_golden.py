@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from lodestone import plans
 from lodestone.functions import columns as fn
 from lodestone.functions import udfs
 from lodestone.operators import features as fe
@@ -123,6 +124,20 @@ def test_address_is_checked_by_value(spark):
     assert [r[0] for r in df.select(weblog.ip_of(F.col("value"))).collect()] == ["10.0.0.7", "", "", "1.22.33.255", ""]
 
 
+def test_video_audience_of_many_users(spark, folder):
+    """Users past 65,535 have addresses of their own; a line without a valid address adds none."""
+    users = [0, 255, 256, 65_535, 65_536, 65_537, 70_000, 1_000_000, None]
+    rows = [(i, u, "view", 1.0, '{"k": %d}' % k) for i, u in enumerate(users) for k in (7, 8) if k == 7 or u != 0]
+    events = spark.createDataFrame(rows, "event_id bigint, user_id bigint, event_type string, value double, props string")
+    events.withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp")).write.parquet(f"{folder}/events.parquet")
+    assert [tuple(r) for r in plans.QUERIES["rp_video_ips"](spark, folder).collect()] == [("7.mp4", 8), ("8.mp4", 7)]
+    top = plans.QUERIES["rp_ip_top"](spark, folder).collect()
+    assert {r["n_ips"] for r in top} == {8}
+    assert {"192.168.255.255", "192.169.0.0", "192.169.17.112"} <= {r["ip"] for r in top}
+    lines = spark.createDataFrame([("1.2.3.4 /5.mp4 ",), ("1.2.3.400 /5.mp4 ",), ("1.2.3.400 /6.mp4 ",)], "value string")
+    assert [tuple(r) for r in weblog.video_audience(lines, 10).collect()] == [("5.mp4", 1), ("6.mp4", 0)]
+
+
 def test_clean_documents_keep_every_document(spark):
     df = spark.createDataFrame([(1, "apple pear apple"), (2, "the 12"), (3, None), (4, ""), (5, "pear once")], "k int, t string")
     assert {r["k"]: r["tokens"] for r in text.clean_documents(df, "k", "t").collect()} == {1: ["apple", "pear", "apple"], 2: [], 3: [], 4: [], 5: ["pear"]}
