@@ -135,8 +135,8 @@ def segment_popular(t):
 
 def _supply(t):
     """Distinct supplier - part edges with the number of line items on each."""
-    named = t.lineitem.select(F.concat(F.lit("S"), "l_suppkey").alias("a"), F.concat(F.lit("P"), "l_partkey").alias("b"))
-    return graph.count_edges(named, "a", "b")
+    edges = graph.count_edges(t.lineitem, "l_suppkey", "l_partkey")  # by numbers, which take less memory than names
+    return edges.select(F.concat(F.lit("S"), "src").alias("src"), F.concat(F.lit("P"), "dst").alias("dst"), "n")
 
 
 def _supply_nodes(t):

@@ -330,6 +330,11 @@ def explained(df, capsys):
     return capsys.readouterr().out
 
 
+def test_supply_edges_are_counted_by_numbers(spark, capsys):
+    plans.QUERIES["gr_triplets"](spark, FOLDER).explain()
+    assert "keys=[l_suppkey" in capsys.readouterr().out
+
+
 def test_filters_and_columns_reach_the_scan(spark, capsys):
     plan = explained(plans.QUERIES["prj_filter_gt"](spark, FOLDER), capsys)
     assert "GreaterThan(c_acctbal,5000.0)" in plan
