@@ -410,6 +410,20 @@ def test_pipeline_stages_against_brute_force(spark):
         assert r["decoded_sha256"] == hashlib.sha256(before[r["doc_id"]].encode()).hexdigest()
 
 
+def test_stages_hold_few_texts_at_once(spark, capsys):
+    """Arrow batches are small in every stage, and no task holds encoders and decoders together."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(20)
+    for given, kept in (("10000", 500), ("0", 500), ("100", 100)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", given)
+        try:
+            out = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
+            assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == kept
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    out.explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
+
+
 @pytest.mark.parametrize("stage", range(5))
 def test_stages_take_odd_and_empty_documents(spark, odd, stage):
     """Columns named like those of the operators come through unchanged."""
