@@ -1,6 +1,9 @@
 """Operators against brute force, stream behaviour over several files, plan checks."""
 
 import math
+import os
+import subprocess
+import sys
 from pathlib import Path
 
 import numpy as np
@@ -229,6 +232,27 @@ def test_scratch_on_executors_of_this_machine():
         scratch_path(Session(), "x")
 
 
+STORING = "ag_groupwise_max", "ev_auc", "fe_quantile", "ml_baseline_rmse"
+ON_EXECUTORS = """
+import sys
+from pyspark.sql import SparkSession
+import __spark_entry__
+settings = {"spark.ui.enabled": "false", "spark.executor.memory": "1g", "spark.sql.shuffle.partitions": "2", "spark.checkpoint.dir": sys.argv[1], "spark.sql.warehouse.dir": sys.argv[1] + "/warehouse"}
+spark = SparkSession.builder.master("local-cluster[2,1,1024]").config(map=settings).getOrCreate()
+for name in sys.argv[2:]:
+    print("rows of", name, __spark_entry__.queries()[name](spark, "/root/testdata/sf0.001").count(), flush=True)
+spark.stop()
+"""
+
+
+def test_stored_tables_on_executors(folder):
+    """Queries with stored tables run on executors that are processes of their own, with a plain path as spark.checkpoint.dir."""
+    repo = str(Path(__file__).resolve().parents[1])
+    run = subprocess.run([sys.executable, "-c", ON_EXECUTORS, folder, *STORING], cwd=folder, env={**os.environ, "PYTHONPATH": repo}, capture_output=True, text=True, timeout=600)
+    ended = [line.split()[2] for line in run.stdout.splitlines() if line.startswith("rows of")]
+    assert run.returncode == 0 and ended == list(STORING), run.stderr[-2000:]
+
+
 def test_scratch_is_cleared(spark, t):
     stored(t.nation, "nation")
     clear_scratch(spark)
