@@ -237,6 +237,17 @@ def test_phrases(spark):
     check_phrases(spark, corpus(1, 200), min_count=5, max_words=5, top=50)
 
 
+def test_phrases_in_small_batches(spark):
+    """Arrow batches are lowered, so that few texts are copied outside the heap at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(name, 10_000)
+    try:
+        collocations.collocations(spark.createDataFrame([("en", "a b. a b")], "lang string, text string"), "text", "lang", min_count=2)
+        assert int(spark.conf.get(name)) == 500
+    finally:
+        spark.conf.unset(name)
+
+
 def test_phrases_in_many_tries_and_flushes(spark, monkeypatch):
     for name, value in (("TRIE_PHRASES", 40), ("WORDS_HELD", 7), ("NUMBERS_HELD", 50)):
         monkeypatch.setattr(collocations, name, value)
