@@ -54,6 +54,17 @@ def test_shuffled_windows_give_the_same(spark, benchmark, monkeypatch):
     assert sorted(map(str, decontaminate.find_hits(docs, "doc_id", "text", benchmark, "item_id", "text").collect())) == want
 
 
+def test_words_are_split(spark):
+    """The words are those of the contract's pattern; no text is copied for each of its words."""
+    texts = ["", " ", ".a", "a.", "..a--B\u00c9\u212a c_d\x7f9", "\U0001f600x \x00y\n", "  Q  ", "\u00a0z\u0130", "a" * 9]
+    df = spark.createDataFrame([(x,) for x in [*texts, None]], "text string")
+    found = df.select("text", decontaminate.words("text").alias("w"))
+    lowered = {x: "".join(c.lower() if c.isascii() else c for c in x) for x in texts}
+    want = {x: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low) for x, low in lowered.items()} | {None: []}
+    assert {r["text"]: r["w"] for r in found.collect()} == want
+    assert "regexp_extract_all" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_decontaminate_odd_rows(odd, benchmark):
     kept = decontaminate.decontaminate(odd, "doc_id", "text", benchmark, "item_id", "text", remove="spans")
     assert kept.columns == odd.columns and sorted(map(str, kept.collect())) == sorted(map(str, odd.collect()))
