@@ -106,7 +106,7 @@ class Transducer:
         whole = self.merges.ranks.get(data)
         if whole is not None:
             return [whole]
-        arcs, child, size, longest = self.arcs, self.merges.child, self.merges.size, self.longest
+        arcs, below_of, size, longest = self.arcs, self.merges.child.get, self.merges.size, self.longest
         if len(arcs) > self.limit:
             arcs.clear()
         n, at, last = len(data), 0, START
@@ -116,7 +116,7 @@ class Transducer:
         while at < n:
             node = 0
             for byte in data[at:at + longest]:
-                below = child.get(node << 8 | byte)
+                below = below_of(node << 8 | byte)
                 if below is None:
                     break
                 node = below
@@ -124,6 +124,12 @@ class Transducer:
             arc = arcs.get(key)
             if arc is None:
                 arc = arcs[key] = self._arc(last, node)
+            if arc and not dead:  # as nearly always
+                last = arc[0]
+                tokens.append(last)
+                choices.append((arc, 0))
+                at += size[last]
+                continue
             pick = 0
             while pick >= len(arc) or (dead and at + size[arc[pick]] in dead):
                 if pick < len(arc):

@@ -61,7 +61,7 @@ class PieceMemory:
         """The same for several texts, whose new pieces are encoded together."""
         pieces = [self.split(t) for t in texts]
         known = self.known
-        fresh = [p for p in set().union(*pieces) if p not in known]
+        fresh = list(set().union(*pieces).difference(known))
         if fresh:
             if len(known) + len(fresh) > self.limit:
                 known.clear()
