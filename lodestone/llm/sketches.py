@@ -94,6 +94,13 @@ def _sketched(df: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     return stored(out.withColumn("row", F.monotonically_increasing_id()), "bottom-k")
 
 
+def _firsts(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows that stand for their content: all with one but its copies, which are broadcast while they are few, so that sketches stay where they are."""
+    copied = nodes.where("copies > 1").select("content", "node")
+    copies = stored(rows.select("content", "row").join(copied, "content").where("row <> node").select("row"), "copies")
+    return rows.where("content is not null").join(broadcast_if_small(copies, rows=1 << 20, most=64 << 20), "row", "left_anti")
+
+
 def _index(sets: DataFrame, percent: int) -> DataFrame:
     """(value, node): the inverted lists of the values that each node must be found by, stored.
 
@@ -187,6 +194,7 @@ def _joining(rows: DataFrame, values: DataFrame, close) -> DataFrame:
         if held:
             yield pairs()
 
+    rows = broadcast_if_small(stored(rows, "blocks"), rows=1 << 20, most=64 << 20)  # so that the values stay where they are
     keyed = rows.join(values, "node").repartition("value", "i", "j").sortWithinPartitions("value", "i", "j")
     return stored(keyed.select("value", "i", "j", "outside", "comp", "values").mapInArrow(tidy(run), "u bigint, v bigint").distinct(), "joining")
 
@@ -275,8 +283,8 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, n: int = 3, perce
     component.
     """
     rows = _sketched(df, id_col, text_col, n)
-    nodes = stored(rows.where("content is not null").groupBy("content").agg(F.min("row").alias("node"), F.min("id").alias("least")), "nodes")
-    sets = stored(rows.join(nodes.select("node"), F.col("row") == F.col("node")).select("node", "id", "text_hash", "size", "sketch"), "sets")
+    nodes = stored(rows.where("content is not null").groupBy("content").agg(F.min("row").alias("node"), F.min("id").alias("least"), F.count("*").alias("copies")), "nodes")
+    sets = stored(_firsts(rows, nodes).select(F.col("row").alias("node"), "id", "text_hash", "size", "sketch"), "sets")
     index = _index(sets, percent)
     heads = index.groupBy("value").agg(F.min("node").alias("a"), F.max("node").alias("other")).where("a < other").select("value", "a")
     first = index.join(heads, "value").where("node <> a").select("a", F.col("node").alias("b")).distinct()

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.llm import collocations, merkle, queries, sketches
+from lodestone.session import stored
 from tests.oracle import normal, sql_rows
 
 FOLDER = "/root/testdata/sf0.001"
@@ -92,6 +93,29 @@ def test_chains_and_blocks(spark, monkeypatch):
     check_components(spark, rows)
 
 
+def test_sketches_stay_in_place(spark, monkeypatch):
+    """Sketches and sets are joined without a shuffle of their own while the other side is small; else the rows are the same."""
+    texts = family(30, 60, 1, 2) + family(20, 400, 2, 30) + family(20, 180, 4, 10)
+    rows = list(enumerate(texts)) + [(900, texts[0]), (901, texts[0].upper()), (902, None), (None, texts[3])]
+    plans = defaultdict(list)
+
+    def recorded(df, label):
+        plans[label].append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, label)
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # Spark's own choice changes with the size
+    try:
+        with monkeypatch.context() as patch:
+            patch.setattr(sketches, "stored", recorded)
+            check_components(spark, rows)
+        assert plans["sets"] and plans["joining"] and not [p for p in plans["sets"] + plans["joining"] if "SortMergeJoin" in p]
+        monkeypatch.setattr(sketches, "broadcast_if_small", lambda df, **most: df)
+        check_components(spark, rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_overlap_bound_and_union_sketch(spark):
     for width in (sketches.LISTED, sketches.KEPT):
         sure = sketches.sure_overlap(width, 85)
