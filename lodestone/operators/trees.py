@@ -50,7 +50,7 @@ def equal_width_bins(value: Column, low: Column, high: Column, bins: int) -> Col
 def bootstrap_weight(key: Column, tree: int) -> Column:
     """How often the row with this key is drawn for a tree: a Poisson number of mean 1 from the hash of both."""
     drawn = F.substring(F.md5(F.concat_ws("-", key, F.lit(tree))), 1, 8)
-    return sum((drawn >= f"{int(p * (1 << 32)):08x}").cast("int") for p in _POISSON)
+    return F.transform(F.array(drawn), lambda d: sum((d >= f"{int(p * (1 << 32)):08x}").cast("int") for p in _POISSON))[0]  # one hash, not one for each bound
 
 
 def impurity(kind: str, pos: Column, n: Column) -> Column:
@@ -101,7 +101,8 @@ def grow(
     """A forest from rows of (label 0 or 1, bins array<int>), one tree for each column of row weights, or one tree.
 
     `nodes` of the result holds one table per level: (tree, node, n, pos, feature, border, gain), n and pos being weighted
-    counts. Rows with a NULL label or NULL bins are left out; without rows a tree has no node.
+    counts. Rows with a NULL label or NULL bins are left out; without rows a tree has no node. Every level computes the weights
+    again: store those that are costly, as `bootstrap_weight` is.
     """
     weights = weights or [F.lit(1)]
     forest = Forest(len(weights), depth, [{} for _ in weights])

@@ -127,20 +127,19 @@ def _node_rows(depth: int) -> str:
     return " union all ".join(f"select * from nodes{level}" for level in range(depth + 1))
 
 
-def _binned_lines(t):
+def _binned(t):
     """(key, label, bins): four columns of line items in 16 bins of equal width each."""
     lines = t.lineitem
     borders = lines.agg(*[f(F.col(c).cast("double")).alias(f"{n}_{c}") for c in _COLUMNS for f, n in ((F.min, "low"), (F.max, "high"))])  # one row
     bins = [trees.equal_width_bins(F.col(c).cast("double"), F.col(f"low_{c}"), F.col(f"high_{c}"), _BINS) for c in _COLUMNS]
-    rows = lines.join(F.broadcast(borders)).select(_line_key().alias("key"), (F.col("l_returnflag") == "R").cast("int").alias("label"), F.array(*bins).alias("bins"))
-    return stored(rows, "binned")
+    return lines.join(F.broadcast(borders)).select(_line_key().alias("key"), (F.col("l_returnflag") == "R").cast("int").alias("label"), F.array(*bins).alias("bins"))
 
 
 @query("ml_tree_levels", " union all ".join(
     f"select '{kind}' as impurity, node, n, pos, feature, border, gain from (with {_tree_sql(3, kind, 20, ['1'])} {_node_rows(3)})" for kind in ("gini", "entropy")))
 def tree_levels(t):
     """All nodes of a tree of depth 3 over line items, by Gini impurity and by entropy."""
-    rows, out = _binned_lines(t), None
+    rows, out = stored(_binned(t), "binned"), None
     for kind in ("gini", "entropy"):
         nodes = trees.leaves(trees.grow(rows, 3, kind, least_rows=20))
         nodes = nodes.select(F.lit(kind).alias("impurity"), "node", "n", "pos", F.col("feature").cast("bigint").alias("feature"), "border", "gain")
@@ -153,14 +152,20 @@ _DRAWN = [" + ".join(f"(substr(md5(key || '-{i}'), 1, 8) >= '{int(p * (1 << 32))
 _FOREST = f"with {_tree_sql(3, 'gini', 20, _DRAWN, 2)}"
 
 
+def _drawn_lines(t):
+    """(label, bins, drawn): binned line items, and how often each tree draws them, which every level asks for."""
+    drawn = F.array(*[trees.bootstrap_weight(F.col("key"), i) for i in range(_TREES)])
+    return stored(_binned(t).select("label", "bins", drawn.alias("drawn")), "drawn")
+
+
 def _forest(rows):
-    return trees.grow(rows, 3, "gini", 20, [trees.bootstrap_weight(F.col("key"), i) for i in range(_TREES)], features=2)
+    return trees.grow(rows, 3, "gini", 20, [F.col("drawn")[i] for i in range(_TREES)], features=2)
 
 
 @query("ml_forest_nodes", f"{_FOREST} select tree, node, n, pos, feature, border, gain from ({_node_rows(3)})")
 def forest_nodes(t):
     """All nodes of a forest: rows drawn by a Poisson bootstrap, two features to choose from at every node."""
-    return trees.leaves(_forest(_binned_lines(t))).withColumn("feature", F.col("feature").cast("bigint"))
+    return trees.leaves(_forest(_drawn_lines(t))).withColumn("feature", F.col("feature").cast("bigint"))
 
 
 @query("ml_forest_oob", f"""{_FOREST},
@@ -171,8 +176,8 @@ voted as (select rid, any_value(y) y, count(*) asked, count(*) filter (yes) said
 select asked, count(*) as "rows", count(*) filter ((2 * said > asked) <> (y = 1)) wrong, round(avg(((2 * said > asked) <> (y = 1))::int), 6) error from voted group by asked""")
 def forest_oob(t):
     """Error of the votes of those trees that did not draw a row, by the number of such trees."""
-    rows = _binned_lines(t)
-    outside = [trees.bootstrap_weight(F.col("key"), i) == 0 for i in range(_TREES)]
+    rows = _drawn_lines(t)
+    outside = [F.col("drawn")[i] == 0 for i in range(_TREES)]
     share = trees.votes(rows, _forest(rows), outside)
     asked = sum(o.cast("int") for o in outside).cast("bigint")
     voted = rows.select("label", asked.alias("asked"), share.alias("share")).where("asked > 0")

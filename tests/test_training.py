@@ -1,5 +1,6 @@
 """Gradient descent, trees, clusters, moments, sampled similarities and incremental windows against brute force."""
 
+import hashlib
 import math
 import random
 from collections import Counter, defaultdict
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.operators import descent, factors, lloyd, moments, quantiles, similarity, text, topics, trees
+from lodestone.plans import QUERIES
 from lodestone.streaming import jobs, panes
 
 # ------------------------------------------------------------------ gradient descent
@@ -112,6 +114,18 @@ def test_tree_equals_a_plain_one(spark, kind):
     assert all(want[node][0] == n for node, n in reached.items() if n)
 
 
+def test_bootstrap_weight_hashes_once(spark):
+    """A row's hash is not made anew for every bound of the Poisson number, nor in every level of the forest's queries."""
+    rows = spark.range(50).select(F.col("id").cast("string").alias("key"))
+    drawn = rows.select("key", trees.bootstrap_weight(F.col("key"), 3).alias("w"))
+    assert drawn._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+    for row in drawn.collect():
+        digest = hashlib.md5(f"{row['key']}-3".encode()).hexdigest()[:8]
+        assert row["w"] == sum(digest >= f"{int(p * (1 << 32)):08x}" for p in trees._POISSON)
+    plan = QUERIES["ml_forest_oob"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5(" not in plan
+
+
 def test_forest_draws_and_votes(spark):
     rng = random.Random(5)
     rows = []
