@@ -5,8 +5,10 @@ import os
 import subprocess
 import sys
 from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
+import pyspark
 import pytest
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
 from pyspark.ml.linalg import Vectors
@@ -245,14 +247,57 @@ spark.stop()
 """
 
 
+def spark_home(folder):
+    """A home of Spark in which executors can make their working folders, without the settings of this machine."""
+    home, given = Path(folder, "home"), Path(pyspark.__file__).parent
+    home.mkdir()
+    for path in given.iterdir():
+        if path.name not in ("conf", "work"):
+            (home / path.name).symlink_to(path)
+    return str(home)
+
+
 def test_stored_tables_on_executors(folder):
     """Queries with stored tables run on executors that are processes of their own, with a plain path as spark.checkpoint.dir."""
     repo = str(Path(__file__).resolve().parents[1])
-    run = subprocess.run([sys.executable, "-c", ON_EXECUTORS, folder, *STORING], cwd=folder, env={**os.environ, "PYTHONPATH": repo}, capture_output=True, text=True, timeout=600)
+    env = {**os.environ, "PYTHONPATH": repo, "SPARK_HOME": spark_home(folder)}
+    run = subprocess.run([sys.executable, "-c", ON_EXECUTORS, folder, *STORING], cwd=folder, env=env, capture_output=True, text=True, timeout=600)
     ended = [line.split()[2] for line in run.stdout.splitlines() if line.startswith("rows of")]
     assert run.returncode == 0 and ended == list(STORING), run.stderr[-2000:]
 
 
+def test_stored_tables_without_a_setting(folder):
+    """Without spark.checkpoint.dir the tables are stored in the warehouse, where all executors find them."""
+    repo = str(Path(__file__).resolve().parents[1])
+    env = {**os.environ, "PYTHONPATH": repo, "SPARK_HOME": spark_home(folder)}
+    unset = ON_EXECUTORS.replace('"spark.checkpoint.dir": sys.argv[1], ', "")
+    run = subprocess.run([sys.executable, "-c", unset, folder, "ev_auc", "fe_quantile"], cwd=folder, env=env, capture_output=True, text=True, timeout=600)
+    ended = [line.split()[2] for line in run.stdout.splitlines() if line.startswith("rows of")]
+    assert run.returncode == 0 and ended == ["ev_auc", "fe_quantile"], run.stderr[-2000:]
+    assert list(Path(folder, "warehouse").glob("lodestone-*/*/*.parquet"))
+
+
+class Machines:
+    """The session as if its executors ran on several machines; of what tasks write for a trial, `lost` rows are not found by the driver."""
+
+    def __init__(self, spark, conf, lost=0, checkpoints=None):
+        self.conf, self.read = conf, spark.read
+        self.range = lambda start, end, *rest: spark.range(start, end - lost, *rest)
+        self.sparkContext = SimpleNamespace(
+            master="spark://host:7077", applicationId="app", defaultParallelism=2, getCheckpointDir=lambda: checkpoints,
+            _jvm=spark.sparkContext._jvm, _jsc=spark.sparkContext._jsc)
+
+
+def test_plain_scratch_on_several_machines(spark, folder):
+    """A path without a file system is one of fs.defaultFS; a local folder is taken if the driver finds what tasks write there."""
+    for number, conf in enumerate(({"spark.checkpoint.dir": folder}, {"spark.sql.warehouse.dir": f"file:{folder}"})):
+        assert scratch_path(Machines(spark, conf), "x").startswith(f"file:{folder}/lodestone-app/x-"), number
+        with pytest.raises(RuntimeError):
+            scratch_path(Machines(spark, conf, lost=1), "x")
+    assert scratch_path(Machines(spark, {"spark.sql.warehouse.dir": "/nowhere"}, checkpoints=f"file:{folder}/given"), "x").startswith(f"file:{folder}/given/lodestone-app/x-")
+    assert not list(Path(folder).rglob("lodestone-trial-*"))
+
+
 def test_scratch_is_cleared(spark, t):
     stored(t.nation, "nation")
     clear_scratch(spark)
