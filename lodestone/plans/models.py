@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import columns as fn
 from lodestone.operators import features as fe
-from lodestone.operators import metrics, models, ordered, relational, text
+from lodestone.operators import metrics, models, ordered, recommend, relational, text
 from lodestone.plans.registry import query
 from lodestone.session import spread, stored
 
@@ -125,14 +125,11 @@ def kmeans_sweep(t):
 
 @query("ml_als_topn")
 def als_topn(t):
-    """Ten best parts of every fiftieth customer by factors."""
+    """Ten best parts of every customer by factors."""
     ratings, users, items = _ratings(t)
     model = ALS(rank=10, maxIter=5, regParam=0.1, seed=7, coldStartStrategy="drop").fit(ratings)
-    asked = users.where(F.col("o_custkey") % 50 == 0).select(F.col("user").cast("int"))
-    top = model.recommendForUserSubset(asked, 10)
-    rows = top.select("user", F.posexplode("recommendations").alias("place", "r"))
-    rows = rows.select("user", (F.col("place") + 1).alias("place"), F.col("r.item").alias("item"), F.col("r.rating").alias("rating"))
-    return rows.join(users, "user").join(items, "item").select(F.col("o_custkey").alias("user"), "place", F.col("l_partkey").alias("item"), "rating")
+    rows = recommend.best_items(model.userFactors, model.itemFactors, "id", "features", 10).withColumn("rating", F.col("score").cast("float"))
+    return rows.join(users, "user").join(items, "item").select(F.col("o_custkey").alias("user"), F.col("place").cast("int"), F.col("l_partkey").alias("item"), "rating")
 
 
 def _ratings(t):

@@ -70,6 +70,39 @@ def test_score_all_in_blocks(t, block):
         assert [item for _, item in sorted(got[own])] == order
 
 
+@pytest.mark.parametrize("block", [(1 << 16, 1 << 18), (40, 130)])
+def test_best_items_in_blocks(spark, block):
+    """All users against all items; equal vectors tie, short ones come last, and a user of length 0 ties everywhere."""
+    random = np.random.default_rng(3)
+    users, items = random.normal(size=(150, 4)).astype("f4"), (random.normal(size=(700, 4)) * random.gamma(2, size=(700, 1))).astype("f4")
+    users[7], items[600:] = 0, items[:100]
+    side = lambda x: spark.createDataFrame([(k * 3, v.tolist()) for k, v in enumerate(x)] + [(None, [1.0] * 4), (1, None)], "id int, features array<float>")
+    got = {}
+    for r in recommend.best_items(side(users), side(items), "id", "features", 5, block).collect():
+        got.setdefault(r["user"], []).append((r["place"], r["item"]))
+    scores = users.astype("f8") @ items.astype("f8").T
+    assert sorted(got) == [3 * k for k in range(150)]
+    for k in range(150):
+        assert [item for _, item in sorted(got[3 * k])] == [3 * i for i in np.lexsort((np.arange(700), -np.round(scores[k], 9)))[:5]]
+    few = recommend.best_items(side(users), side(items[:3]), "id", "features", 5, block)
+    assert few.count() == 150 * 3
+    assert recommend.best_items(side(users[:0]), side(items), "id", "features", 5).isEmpty()
+
+
+@pytest.mark.parametrize("width", [8, 64, 5000])
+def test_best_items_step_by_step(width):
+    """Whatever the steps, no item is left out too early."""
+    random = np.random.default_rng(4)
+    users, items = random.normal(size=(90, 3)).astype("f4"), (random.normal(size=(900, 3)) * random.gamma(1, size=(900, 1))).astype("f4")
+    ids = random.permutation(900)
+    order = np.lexsort((ids, -np.linalg.norm(items, axis=1)))
+    items, ids = items[order], ids[order]
+    found = [np.concatenate(x) for x in zip(*recommend._best(users, items, ids, 6, rows=32, width=width))]
+    scores = users.astype("f8") @ items.astype("f8").T
+    for k in range(90):
+        assert list(found[1][found[0] == k]) == list(np.lexsort((ids, -scores[k]))[:6])
+
+
 def test_map_equals_ranking_metrics(spark):
     predicted = {1: [5, 3, 9], 2: [1, 2, 3], 3: [7, 8, 9]}
     actual = {1: [3, 9, 11, 12], 2: [4], 3: [7]}
@@ -167,6 +200,18 @@ def test_als_recommendations(spark):
     assert out.groupBy("user").count().where("count > 10").isEmpty()
 
 
+def test_als_recommends_to_every_customer(spark, t):
+    out = plans.QUERIES["ml_als_topn"](spark, FOLDER)
+    assert out.dtypes == [("user", "bigint"), ("place", "int"), ("item", "bigint"), ("rating", "float")]
+    got = {}
+    for r in out.collect():
+        got.setdefault(r["user"], []).append((r["place"], r["rating"]))
+    bought = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey").distinct()
+    assert set(got) == {r["o_custkey"] for r in bought.collect()}
+    assert all([place for place, _ in sorted(rows)] == list(range(1, 11)) for rows in got.values())
+    assert all([x for _, x in sorted(rows)] == sorted((x for _, x in rows), reverse=True) for rows in got.values())
+
+
 def test_grid_search_has_one_best(spark):
     rows = plans.QUERIES["ml_grid_search"](spark, FOLDER).collect()
     assert len(rows) == 6 and sum(r["best"] for r in rows) == 1
